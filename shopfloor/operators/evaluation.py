@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions import guarded_round
-from shopfloor.operators.ordered import with_running_total
+from shopfloor.operators.ordered import ONE_TASK_ROWS, with_running_total
 
 
 def positive_rate(df: DataFrame, label: str = "label") -> DataFrame:
@@ -61,7 +61,7 @@ def roc_auc(
     label: str = "label",
     score: str = "score",
     digits: int | None = 6,
-    one_task_rows: int = 100_000,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """One row: positives, negatives and the area under the ROC curve, ties as one half.
 

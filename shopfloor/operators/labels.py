@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions import epoch_micros, guarded_round
 from shopfloor.operators.joins import join_on
-from shopfloor.operators.ordered import with_next_mark
+from shopfloor.operators.ordered import ONE_TASK_ROWS, with_next_mark
 from shopfloor.scratch import materialize
 
 HORIZON_HOURS = 6
@@ -107,6 +107,7 @@ def next_failure(
     failure_ts: str = "downtime_start_ts",
     horizon_hours: float = HORIZON_HOURS,
     how: str = "inner",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Each reading with its machine's next failure, at most one horizon ahead.
 
@@ -132,6 +133,7 @@ def next_failure(
         machine,
         tie_break,
         failure_ts,
+        one_task_rows,
     ).select(*columns)
 
     found = settled.unionByName(searched)
@@ -152,6 +154,7 @@ def _search_next(
     machine: str,
     tie_break: Sequence[str],
     failure_ts: str,
+    one_task_rows: int,
 ) -> DataFrame:
     """Forward as-of join: readings and failures in one order, failures last in a tie."""
     marks = (
@@ -164,6 +167,11 @@ def _search_next(
         marks.withColumn("__is_mark", F.lit(1)), allowMissingColumns=True
     )
     searched = with_next_mark(
-        timeline, [machine], [AT, "__is_mark", *tie_break], "__mark", "__next"
+        timeline,
+        [machine],
+        [AT, "__is_mark", *tie_break],
+        "__mark",
+        "__next",
+        one_task_rows,
     )
     return searched.where(F.col("__is_mark") == 0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shopfloor.functions import guarded_round, hash_bucket
 from shopfloor.operators.evaluation import classification_metrics, roc_auc, to_long
 from shopfloor.operators.joins import join_on
-from shopfloor.operators.ordered import with_sequence
+from shopfloor.operators.ordered import ONE_TASK_ROWS, with_sequence
 from shopfloor.scratch import materialize
 
 FEATURES = ("temperature_c", "vibration_mm_s", "pressure_psi")
@@ -40,6 +40,7 @@ def stratified_split(
     label: str = LABEL,
     test_fraction: float = 0.25,
     name: str = "is_test",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``df`` plus 1 for test rows, the same share of each class to the row.
 
@@ -49,7 +50,12 @@ def stratified_split(
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
     hashed = df.withColumn("__hash", F.md5(text))
     ranked = with_sequence(
-        hashed, [label], ["__hash", *key], df.columns, name="__sequence"
+        hashed,
+        [label],
+        ["__hash", *key],
+        df.columns,
+        "__sequence",
+        one_task_rows,
     )
     sizes = materialize(
         df.groupBy(label).agg(F.round(F.count("*") * test_fraction).alias("__n_test")),
@@ -83,8 +89,8 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 def with_class_weights(
     df: DataFrame, label: str = LABEL, name: str = "weight"
 ) -> DataFrame:
-    weights = materialize(class_weights(df, label), "class-weights")
-    return join_on(df, weights, [label]).select(
+    """``df`` plus the balanced weight of each row's class."""
+    return join_on(df, class_weights(df, label), [label]).select(
         *df.columns, F.col("weight").alias(name)
     )
 
@@ -103,11 +109,11 @@ def train_forest(
     """Random forest with balanced class weights.
 
     ``features_per_split="1"`` tries one random feature per split, the integer square
-    root of three features.
+    root of three features. The training columns are written once, since fitting reads
+    them several times.
     """
-    weighted = with_class_weights(
-        train.select(*features, F.col(label).cast("double").alias(label)), label
-    )
+    rows = train.select(*features, F.col(label).cast("double").alias(label))
+    weighted = materialize(with_class_weights(rows, label), "training-rows")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     forest = RandomForestClassifier(
         featuresCol="features",

@@ -1,8 +1,10 @@
-"""Exact ordered computations without a task per key.
+"""Exact ordered computations over keys of any size.
 
 A window over ``PARTITION BY line ORDER BY ts`` puts a whole line into one task, and
-a window without partitions puts everything there. The functions below spread one
-ordered sequence over many tasks instead:
+a window without partitions puts everything there. That is the cheapest plan while the
+largest key is small, so each function first asks for the size of the largest key: a
+count over one column. Beyond ``one_task_rows`` it spreads the ordered sequence of a
+key over many tasks:
 
 1. rows are range-partitioned on (key, order), so a hot key is cut into many pieces
    of similar size, and each piece is sorted and written once (:func:`lay_out`);
@@ -29,6 +31,16 @@ PIECE = "__piece"
 SHIFT = "__shift"
 # monotonically_increasing_id keeps the partition number above these bits.
 ROW_BITS = 33
+# A key of up to this many rows is sorted by one task in seconds.
+ONE_TASK_ROWS = 2_000_000
+
+
+def fits_one_task(df: DataFrame, key: Sequence[str], one_task_rows: int) -> bool:
+    """Whether no key of ``df`` has more than ``one_task_rows`` rows."""
+    if one_task_rows <= 0:
+        return False
+    sizes = df.groupBy(*key).agg(F.count("*").alias("n"))
+    return (sizes.agg(F.max("n")).first()[0] or 0) <= one_task_rows
 
 
 def lay_out(
@@ -65,8 +77,15 @@ def with_sequence(
     order: Sequence[str],
     keep: Sequence[str],
     name: str = "sequence",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """``keep`` columns plus each row's 0-based place within its key."""
+    """``keep`` columns plus each row's 0-based place within its key.
+
+    ``df`` is read up to three times, so pass a written table rather than a long plan.
+    """
+    if fits_one_task(df, key, one_task_rows):
+        whole = Window.partitionBy(*key).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(whole) - 1).select(*keep, name)
     rows = lay_out(df, key, order, keep, "sequence")
     pieces = rows.groupBy(*key, PIECE).agg(
         F.min(POSITION).alias("first"), F.count("*").alias("n")
@@ -87,16 +106,15 @@ def with_running_total(
     order: Sequence[str],
     value: str,
     name: str,
-    one_task_rows: int = 100_000,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``df`` plus the total of ``value`` over all rows up to and including each row.
 
-    ``order`` lists plain column names, ascending. Meant for aggregated tables: ``df``
-    is written first, and a table of at most ``one_task_rows`` rows takes a plain
-    window; a longer one is laid out in pieces.
+    Rows run over the whole table, in ascending ``order``. Meant for aggregated tables;
+    ``df`` is written first.
     """
     table = materialize(df, "running-input")
-    if table.count() <= one_task_rows:
+    if fits_one_task(table, [], one_task_rows):
         upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return table.withColumn(name, F.sum(value).over(upto))
     rows = lay_out(table, [], order, table.columns, "running")
@@ -115,13 +133,27 @@ def with_running_total(
 
 
 def with_next_mark(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], mark: str, name: str
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    mark: str,
+    name: str,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``df`` plus the nearest non-null ``mark`` at or after each row of its key.
 
     ``mark`` must not fall along ``order`` (it is a copy of the leading order column
     on the rows that carry one), so the nearest mark is the least one still ahead.
     """
+    # Descending order with a growing frame: one pass, where a shrinking frame would
+    # be evaluated anew for every row.
+    if fits_one_task(df, key, one_task_rows):
+        ahead = (
+            Window.partitionBy(*key)
+            .orderBy(*[F.col(c).desc() for c in order])
+            .rowsBetween(Window.unboundedPreceding, 0)
+        )
+        return df.withColumn(name, F.min(mark).over(ahead))
     rows = lay_out(df, key, order, df.columns, "next-mark")
     pieces = rows.groupBy(*key, PIECE).agg(F.min(mark).alias("least"))
     later = (
@@ -133,8 +165,6 @@ def with_next_mark(
         pieces.select(*key, PIECE, F.min("least").over(later).alias("__ahead")),
         "next-mark-ahead",
     )
-    # Descending order with a growing frame: one pass, where a shrinking frame would
-    # be evaluated anew for every row.
     within = (
         Window.partitionBy(*key, PIECE)
         .orderBy(F.col(POSITION).desc())

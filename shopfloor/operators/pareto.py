@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions import guarded_round
-from shopfloor.operators.ordered import with_running_total
+from shopfloor.operators.ordered import ONE_TASK_ROWS, with_running_total
 from shopfloor.scratch import materialize
 
 
@@ -33,7 +33,7 @@ def downtime_pareto(
 
 
 def with_cumulative(
-    pareto: DataFrame, reason: str = "reason", one_task_rows: int = 100_000
+    pareto: DataFrame, reason: str = "reason", one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """``pareto`` plus the running percentage down the list, largest first."""
     ranked = pareto.withColumn("__rank_key", -F.col("total_downtime_hours"))

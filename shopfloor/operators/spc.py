@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions import CONTROL_CONSTANTS, guarded_round
 from shopfloor.operators.joins import join_on
-from shopfloor.operators.ordered import with_sequence
+from shopfloor.operators.ordered import ONE_TASK_ROWS, with_sequence
 from shopfloor.scratch import materialize
 
 SUBGROUP_SIZE = 5
@@ -24,6 +24,7 @@ def subgroups(
     tie_break: Sequence[str] = ("machine_id",),
     value: str = "part_dimension_mm",
     size: int = SUBGROUP_SIZE,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Consecutive groups of ``size`` measurements per line, in time order.
 
@@ -41,6 +42,7 @@ def subgroups(
         order=[ts, *tie_break],
         keep=[line, ts, value],
         name="__sequence",
+        one_task_rows=one_task_rows,
     )
     index = F.floor(F.col("__sequence") / size).cast("bigint")
     grouped = (

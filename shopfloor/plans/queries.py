@@ -227,7 +227,11 @@ def _capability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spc_subgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _groups(spark, sf_dir).select(
+    """On the plan for lines too large for one task; the other charts let size decide."""
+    groups = spc.subgroups(
+        measurements(spark, sf_dir), tie_break=["event_id"], one_task_rows=0
+    )
+    return groups.select(
         "line_id",
         "subgroup_index",
         "subgroup_start_ts",
