@@ -7,7 +7,8 @@ count over one column. Beyond ``one_task_rows`` it spreads the ordered sequence
 key over many tasks:
 
 1. rows are range-partitioned on (key, order), so a hot key is cut into many pieces
-   of similar size, and each piece is sorted and written once (:func:`lay_out`);
+   of similar size, and each piece is sorted and written once (:func:`lay_out`); their
+   number follows from the row count, so a piece fits a task at any scale;
 2. one row per (key, piece) summarises the piece;
 3. the summaries, running over a key's pieces, give what each piece must add.
 
@@ -31,16 +32,24 @@ PIECE = "__piece"
 SHIFT = "__shift"
 # monotonically_increasing_id keeps the partition number above these bits.
 ROW_BITS = 33
-# A key of up to this many rows is sorted by one task in seconds.
-ONE_TASK_ROWS = 2_000_000
+# One task sorts this many narrow rows in some hundred MB.
+ONE_TASK_ROWS = 5_000_000
 
 
-def fits_one_task(df: DataFrame, key: Sequence[str], one_task_rows: int) -> bool:
-    """Whether no key of ``df`` has more than ``one_task_rows`` rows."""
+def piece_count(df: DataFrame, key: Sequence[str], one_task_rows: int) -> int:
+    """How many pieces an ordered pass over ``df`` needs; 0 if every key fits one task.
+
+    The session's shuffle partitions are the least number; more rows than these can
+    take at ``one_task_rows`` each raise it. A limit of 0 asks for pieces in any case.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if one_task_rows <= 0:
-        return False
+        return least
     sizes = df.groupBy(*key).agg(F.count("*").alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) <= one_task_rows
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if (largest or 0) <= one_task_rows:
+        return 0
+    return max(least, -(-total // one_task_rows))
 
 
 def lay_out(
@@ -48,13 +57,14 @@ def lay_out(
     key: Sequence[str],
     order: Sequence[str],
     keep: Sequence[str],
+    pieces: int,
     label: str,
 ) -> DataFrame:
     """Write ``keep`` in (key, order) order, with a position that rises along it."""
     columns = [*key, *order]
     placed = (
         df.select(*dict.fromkeys([*columns, *keep]))
-        .repartitionByRange(*columns)
+        .repartitionByRange(pieces, *columns)
         .sortWithinPartitions(*columns)
         .select(*keep, F.monotonically_increasing_id().alias(POSITION))
     )
@@ -83,17 +93,18 @@ def with_sequence(
 
     ``df`` is read up to three times, so pass a written table rather than a long plan.
     """
-    if fits_one_task(df, key, one_task_rows):
+    pieces = piece_count(df, key, one_task_rows)
+    if not pieces:
         whole = Window.partitionBy(*key).orderBy(*order)
         return df.withColumn(name, F.row_number().over(whole) - 1).select(*keep, name)
-    rows = lay_out(df, key, order, keep, "sequence")
-    pieces = rows.groupBy(*key, PIECE).agg(
+    rows = lay_out(df, key, order, keep, pieces, "sequence")
+    summary = rows.groupBy(*key, PIECE).agg(
         F.min(POSITION).alias("first"), F.count("*").alias("n")
     )
     before = F.coalesce(F.sum("n").over(_earlier_pieces(key)), F.lit(0))
     # At most one row per written piece and per key.
     shifts = materialize(
-        pieces.select(*key, PIECE, (before - F.col("first")).alias(SHIFT)),
+        summary.select(*key, PIECE, (before - F.col("first")).alias(SHIFT)),
         "sequence-shifts",
     )
     return join_on(rows, shifts, [*key, PIECE]).select(
@@ -114,13 +125,14 @@ def with_running_total(
     ``df`` is written first.
     """
     table = materialize(df, "running-input")
-    if fits_one_task(table, [], one_task_rows):
+    pieces = piece_count(table, [], one_task_rows)
+    if not pieces:
         upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return table.withColumn(name, F.sum(value).over(upto))
-    rows = lay_out(table, [], order, table.columns, "running")
-    pieces = rows.groupBy(PIECE).agg(F.sum(value).alias("total"))
+    rows = lay_out(table, [], order, table.columns, pieces, "running")
+    summary = rows.groupBy(PIECE).agg(F.sum(value).alias("total"))
     before = F.coalesce(F.sum("total").over(_earlier_pieces([])), F.lit(0))
-    shifts = materialize(pieces.select(PIECE, before.alias(SHIFT)), "running-shifts")
+    shifts = materialize(summary.select(PIECE, before.alias(SHIFT)), "running-shifts")
     within = (
         Window.partitionBy(PIECE)
         .orderBy(POSITION)
@@ -147,22 +159,23 @@ def with_next_mark(
     """
     # Descending order with a growing frame: one pass, where a shrinking frame would
     # be evaluated anew for every row.
-    if fits_one_task(df, key, one_task_rows):
+    pieces = piece_count(df, key, one_task_rows)
+    if not pieces:
         ahead = (
             Window.partitionBy(*key)
             .orderBy(*[F.col(c).desc() for c in order])
             .rowsBetween(Window.unboundedPreceding, 0)
         )
         return df.withColumn(name, F.min(mark).over(ahead))
-    rows = lay_out(df, key, order, df.columns, "next-mark")
-    pieces = rows.groupBy(*key, PIECE).agg(F.min(mark).alias("least"))
+    rows = lay_out(df, key, order, df.columns, pieces, "next-mark")
+    summary = rows.groupBy(*key, PIECE).agg(F.min(mark).alias("least"))
     later = (
         Window.partitionBy(*key)
         .orderBy(F.col(PIECE).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ahead = materialize(
-        pieces.select(*key, PIECE, F.min("least").over(later).alias("__ahead")),
+        summary.select(*key, PIECE, F.min("least").over(later).alias("__ahead")),
         "next-mark-ahead",
     )
     within = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,21 +31,13 @@ def deduplicate(
 ) -> DataFrame:
     """One row per key: the least by ``order``, then by the remaining columns.
 
-    The survivor is a plain aggregate, so copies meet their rivals inside each map
-    task and a key that owns a large part of the table ships one row per task.
+    Spark keeps the first row per key inside each map task before it shuffles (the
+    partial ``WindowGroupLimit`` of the plan), so of a key that owns a large part of
+    the table only one row per task travels.
     """
-    order = list(order or [])
-    rest = [c for c in df.columns if c not in key and c not in order]
-    if not order and not rest:
+    rest = [c for c in df.columns if c not in key and c not in (order or ())]
+    ranking = [*(order or ()), *rest]
+    if not ranking:
         return df.distinct()
-    survivor = F.min(F.struct(*order, *rest)).alias("__survivor")
-    return (
-        df.groupBy(*key)
-        .agg(survivor)
-        .select(
-            *[
-                F.col(c) if c in key else F.col(f"__survivor.{c}").alias(c)
-                for c in df.columns
-            ]
-        )
-    )
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*ranking))
+    return df.withColumn("__place", place).where(F.col("__place") == 1).drop("__place")

@@ -8,6 +8,7 @@ or a stop, an order priority for a downtime reason.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from shopfloor.operators import (
     silver,
     spc,
 )
+from shopfloor.operators.ordered import ONE_TASK_ROWS
 from shopfloor.scratch import scratch_path
 from shopfloor.sources.readers import read_parquet
 from shopfloor.sources.schemas import SERVED_MACHINE_DAILY_OEE, STG_MACHINE_DAILY_OEE
@@ -226,11 +228,7 @@ def _capability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spc.capability_report(_groups(spark, sf_dir), usl=USL, lsl=LSL)
 
 
-def spc_subgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On the plan for lines too large for one task; the other charts let size decide."""
-    groups = spc.subgroups(
-        measurements(spark, sf_dir), tie_break=["event_id"], one_task_rows=0
-    )
+def _groups_shown(groups: DataFrame) -> DataFrame:
     return groups.select(
         "line_id",
         "subgroup_index",
@@ -240,6 +238,16 @@ def spc_subgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spc_subgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _groups_shown(_groups(spark, sf_dir))
+
+
+def spc_subgroups_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for lines too large for one task, as in the other ``in_pieces`` queries."""
+    rows = measurements(spark, sf_dir)
+    return _groups_shown(spc.subgroups(rows, tie_break=["event_id"], one_task_rows=0))
+
+
 def spc_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = spc.control_limits(_groups(spark, sf_dir))
     figures = ["xbar_bar", "r_bar", "ucl_xbar", "lcl_xbar", "ucl_r", "lcl_r"]
@@ -292,7 +300,9 @@ def failure_horizon_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(spark, sf_dir)
 
 
-def next_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+def next_failure(
+    spark: SparkSession, sf_dir: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     return labels.next_failure(
         table(spark, sf_dir, "events").select("event_id", "user_id", "ts"),
         _failures(spark, sf_dir),
@@ -300,6 +310,7 @@ def next_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts="ts",
         tie_break=["event_id"],
         failure_ts="failure_ts",
+        one_task_rows=one_task_rows,
     )
 
 
@@ -312,9 +323,13 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.hash_split(rows, ["event_id"])
 
 
-def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stratified_split(
+    spark: SparkSession, sf_dir: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     rows = labelled(spark, sf_dir).select("event_id", "label")
-    return model.stratified_split(rows, ["event_id"], "label")
+    return model.stratified_split(
+        rows, ["event_id"], "label", one_task_rows=one_task_rows
+    )
 
 
 def split_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,8 +346,10 @@ def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.classification_metrics(scored(spark, sf_dir), threshold=0.1)
 
 
-def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.roc_auc(scored(spark, sf_dir))
+def roc_auc(
+    spark: SparkSession, sf_dir: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    return evaluation.roc_auc(scored(spark, sf_dir), one_task_rows=one_task_rows)
 
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -434,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "line_oee": line_oee,
     "line_oee_with_rate": line_oee_with_rate,
     "spc_subgroups": spc_subgroups,
+    "spc_subgroups_in_pieces": spc_subgroups_in_pieces,
     "spc_limits": spc_limits,
     "spc_control_chart": spc_control_chart,
     "spc_range_chart": spc_range_chart,
@@ -445,13 +463,16 @@ QUERIES: dict[str, Query] = {
     "downtime_pareto_cumulative": downtime_pareto_cumulative,
     "failure_horizon_label": failure_horizon_label,
     "next_failure": next_failure,
+    "next_failure_in_pieces": partial(next_failure, one_task_rows=0),
     "label_positive_rate": label_positive_rate,
     "hash_split": hash_split,
     "stratified_split": stratified_split,
+    "stratified_split_in_pieces": partial(stratified_split, one_task_rows=0),
     "split_balance": split_balance,
     "class_weights": class_weights,
     "classification_metrics": classification_metrics,
     "roc_auc": roc_auc,
+    "roc_auc_in_pieces": partial(roc_auc, one_task_rows=0),
     "metrics_long": metrics_long,
     "rf_scores": rf_scores,
     "rf_importance": rf_importance,

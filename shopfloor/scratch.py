@@ -18,25 +18,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shopfloor-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a temporary one only for local runs."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(
             f"{CHECKPOINT_SETTING} must name a folder shared by all executors"
         )
-    folder = tempfile.mkdtemp(prefix="shopfloor-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

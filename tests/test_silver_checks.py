@@ -30,6 +30,12 @@ def test_deduplicate_keeps_the_least_row(spark, partitions):
     ]
 
 
+def test_deduplicate_drops_copies_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 k", "id v")
+    plan = silver.deduplicate(df, ["k"], ["v"])._jdf.queryExecution().toString()
+    assert "row_number(), 1, Partial" in plan
+
+
 def test_checks_on_nulls_and_repeats(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "x string")
     assert [tuple(r) for r in checks.check_not_null(df, ["x"]).collect()] == [("x", 1)]

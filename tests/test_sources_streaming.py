@@ -1,5 +1,6 @@
 import os
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,18 @@ def test_scratch_uses_the_configured_folder(spark):
     assert scratch_root(spark) in plan
 
 
+def test_scratch_without_a_configured_folder():
+    def session(**settings):
+        conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+        return SimpleNamespace(conf=conf)
+
+    local = session(**{"spark.master": "local[2]"})
+    assert os.path.isdir(scratch_root(local))
+    assert scratch_root(local) == scratch_root(local)
+    with pytest.raises(RuntimeError, match="shared by all executors"):
+        scratch_root(session(**{"spark.master": "yarn"}))
+
+
 @pytest.fixture
 def stream_dir(tmp_path):
     folder = tmp_path / "stream"

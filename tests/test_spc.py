@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions import capability_grade
 from shopfloor.operators import spc
+from shopfloor.operators.ordered import PIECE, lay_out, piece_count
 
 START = datetime(2026, 7, 1)
 SCHEMA = "line_id string, machine_id string, measured_ts timestamp, part_dimension_mm double"
@@ -85,11 +86,7 @@ def brute_force(rows, size=5):
 def test_ties_and_partitioning_do_not_matter(spark, plan, partitions):
     rows = tied_rows()
     df = spark.createDataFrame(rows, SCHEMA).orderBy(F.rand(partitions))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        found = spc.subgroups(df.repartition(partitions), one_task_rows=plan).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    found = spc.subgroups(df.repartition(partitions), one_task_rows=plan).collect()
     expected = brute_force(rows)
     assert {(r.line_id, r.subgroup_index) for r in found} == set(expected)
     for r in found:
@@ -107,19 +104,22 @@ def test_null_line_is_a_line_and_null_value_is_skipped(spark, plan):
 
 def test_hot_line_spreads_over_pieces(spark):
     """A line with most of the rows ends up in several pieces of the layout."""
-    from shopfloor.operators.ordered import PIECE, lay_out
-
     df = spark.range(4000).select(
         F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("line"), "id"
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        laid = lay_out(df, ["line"], ["id"], ["line", "id"], "test")
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    laid = lay_out(df, ["line"], ["id"], ["line", "id"], 8, "test")
     pieces = laid.where("line = 'hot'").groupBy(PIECE).count().collect()
-    assert len(pieces) >= 3
-    assert max(p["count"] for p in pieces) < 2500
+    assert len(pieces) >= 6
+    assert max(p["count"] for p in pieces) < 1000
+
+
+def test_piece_count_follows_the_rows(spark):
+    df = spark.range(1000).selectExpr("id % 4 line", "id")
+    assert piece_count(df, ["line"], 250) == 0
+    assert piece_count(df, ["line"], 249) == 5
+    assert piece_count(df, ["line"], 10) == 100
+    assert piece_count(df, ["line"], 0) == 4
+    assert piece_count(df.where("false"), [], 10) == 0
 
 
 def test_frozen_limits(spark):
