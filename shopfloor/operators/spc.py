@@ -17,35 +17,42 @@ USL = 50.30
 LSL = 49.70
 
 
-def subgroups(
+def place(
     measurements: DataFrame,
     line: str = "line_id",
     ts: str = "measured_ts",
     tie_break: Sequence[str] = ("machine_id",),
     value: str = "part_dimension_mm",
-    size: int = SUBGROUP_SIZE,
     one_task_rows: int = ONE_TASK_ROWS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Consecutive groups of ``size`` measurements per line, in time order.
-
-    One row per full subgroup: ``line, subgroup_index, subgroup_start_ts, xbar,
-    range``. A line's trailing partial subgroup is dropped, so a line with fewer than
-    ``size`` rows gives no row. Measurements without a value are left out.
+    """Each measurement's 0-based ``place`` within its line, in time order.
 
     ``tie_break`` decides between equal timestamps; together with ``ts`` it has to
     identify a measurement within its line (see :mod:`shopfloor.operators.ordered`).
-    The result is written once, because limits and charts both read it.
+    Measurements without a value are left out. Only line, time and value are kept
+    unless ``keep`` says otherwise.
     """
-    placed = with_sequence(
+    return with_sequence(
         measurements.where(F.col(value).isNotNull()),
         key=[line],
         order=[ts, *tie_break],
-        keep=[line, ts, value],
-        name="__sequence",
+        keep=[line, ts, value] if keep is None else keep,
+        name="place",
         one_task_rows=one_task_rows,
     )
-    index = F.floor(F.col("__sequence") / size).cast("bigint")
-    grouped = (
+
+
+def group_placed(
+    placed: DataFrame,
+    line: str = "line_id",
+    ts: str = "measured_ts",
+    value: str = "part_dimension_mm",
+    size: int = SUBGROUP_SIZE,
+) -> DataFrame:
+    """Full groups of ``size`` consecutive places; a partial one gives no row."""
+    index = F.floor(F.col("place") / size).cast("bigint")
+    return (
         placed.groupBy(line, index.alias("subgroup_index"))
         .agg(
             F.count("*").alias("__n"),
@@ -56,16 +63,38 @@ def subgroups(
         .where(F.col("__n") == size)
         .drop("__n")
     )
-    return materialize(grouped, "subgroups")
+
+
+def subgroups(
+    measurements: DataFrame,
+    line: str = "line_id",
+    ts: str = "measured_ts",
+    tie_break: Sequence[str] = ("machine_id",),
+    value: str = "part_dimension_mm",
+    size: int = SUBGROUP_SIZE,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
+    """Consecutive groups of ``size`` measurements per line, in time order.
+
+    One row per full subgroup: ``line, subgroup_index, subgroup_start_ts, xbar,
+    range``. A line's trailing partial subgroup is dropped, so a line with fewer than
+    ``size`` rows gives no row. See :func:`place` for the order and ``tie_break``.
+    The result is written once, because limits and charts both read it.
+    """
+    placed = place(measurements, line, ts, tie_break, value, one_task_rows)
+    return materialize(group_placed(placed, line, ts, value, size), "subgroups")
 
 
 def control_limits(
     groups: DataFrame, line: str = "line_id", size: int = SUBGROUP_SIZE
 ) -> DataFrame:
-    """One row per line: grand mean, mean range and the limits of both charts."""
+    """One row per line: grand mean, mean range and the limits of both charts.
+
+    Written once, so Spark knows the size of this side when it joins it to subgroups.
+    """
     factors = CONTROL_CONSTANTS[size]
     centre, spread = F.col("xbar_bar"), F.col("r_bar")
-    return (
+    limits = (
         groups.groupBy(line)
         .agg(
             F.count("*").alias("n_subgroups"),
@@ -81,6 +110,7 @@ def control_limits(
             }
         )
     )
+    return materialize(limits, "limits")
 
 
 def capability(
@@ -111,12 +141,8 @@ def outside(value: Column, lower: Column, upper: Column) -> Column:
 
 
 def with_limits(groups: DataFrame, limits: DataFrame, line: str = "line_id") -> DataFrame:
-    """Each subgroup with its line's limits.
-
-    ``limits`` may be frozen ones from an earlier period. It has one row per line and
-    is written first, so Spark knows its size when it picks the join.
-    """
-    return join_on(groups, materialize(limits, "limits"), [line])
+    """Each subgroup with its line's limits, which may be those of an earlier period."""
+    return join_on(groups, limits.drop("n_subgroups"), [line])
 
 
 def control_chart(
@@ -167,13 +193,15 @@ def range_chart(
 
 def capability_report(
     groups: DataFrame,
+    limits: DataFrame | None = None,
     line: str = "line_id",
     usl: float = USL,
     lsl: float = LSL,
     size: int = SUBGROUP_SIZE,
 ) -> DataFrame:
     """One row per line: spread, Cpk, and how many subgroups are out of control."""
-    limits = control_limits(groups, line, size)
+    if limits is None:
+        limits = control_limits(groups, line, size)
     flag = outside(F.col("xbar"), F.col("lcl_xbar"), F.col("ucl_xbar"))
     # A line's limits are the same on each of its subgroups, so any copy will do.
     summary = (

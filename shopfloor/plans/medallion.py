@@ -107,9 +107,10 @@ def build_spc(bronze: Tables, target: str, settings: Settings) -> Tables:
     groups = spc.subgroups(
         arrived, tie_break=["machine_id", *FILE_POSITION], size=settings.subgroup_size
     )
-    chart = spc.control_chart(groups, size=settings.subgroup_size)
+    limits = spc.control_limits(groups, size=settings.subgroup_size)
+    chart = spc.control_chart(groups, limits)
     report = spc.capability_report(
-        groups, usl=settings.usl, lsl=settings.lsl, size=settings.subgroup_size
+        groups, limits, usl=settings.usl, lsl=settings.lsl, size=settings.subgroup_size
     )
     done = {
         "spc_control_chart_data": write_parquet(

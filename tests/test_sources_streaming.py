@@ -5,9 +5,10 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from shopfloor.operators import spc
 from shopfloor.scratch import materialize, scratch_root
 from shopfloor.sources import readers, schemas, tables, writers
-from shopfloor.streaming import ingest
+from shopfloor.streaming import charts, ingest
 
 CSV = (
     "machine_id,line_id,downtime_start_ts,downtime_hours,reason\r\n"
@@ -187,3 +188,35 @@ def test_streaming_daily_downtime(spark, tmp_path):
     daily = ingest.daily_downtime_stream(raw)
     found = run_stream(spark, daily, str(tmp_path / "d"), str(tmp_path / "cp"))
     assert [(r.machine_id, r.downtime_hours) for r in found.collect()] == [("M1", 2.0)]
+
+
+def test_streaming_charts_equal_the_batch_chart(spark, tmp_path):
+    folder = tmp_path / "measured"
+    folder.mkdir()
+    header = "machine_id,line_id,measured_ts,part_dimension_mm,in_spec\n"
+    for i in range(4):
+        rows = [
+            f"M{m},{'A' if m < 3 else 'B'},2026-07-01T{6 * i + h:02d}:00:00,{50 + (7 * h + i + m) % 5 / 10},1"
+            for h in range(6)
+            for m in (1, 2, 3)
+        ]
+        add_file(folder, i, header + "\n".join(rows) + "\n")
+    everything = readers.read_csv(spark, str(folder), schemas.QUALITY_MEASUREMENTS)
+    groups = spc.subgroups(everything)
+    limits = spc.control_limits(groups)
+    expected = spc.control_chart(groups, limits)
+
+    raw = ingest.read_csv_stream(spark, str(folder), schemas.QUALITY_MEASUREMENTS, 1)
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    query = charts.start_charts(raw, limits, target, checkpoint, available_now=True)
+    assert query.awaitTermination(180)
+    found = spark.read.parquet(f"{target}/chart").drop("batch_id")
+    assert found.count() == expected.count() == 9 + 4
+    assert found.exceptAll(expected).count() == 0
+
+    # A repeated batch replaces its own output.
+    batch = everything.where("measured_ts >= timestamp'2026-07-01 18:00:00'")
+    charts.chart_batch(batch, 3, limits, target)
+    again = spark.read.parquet(f"{target}/chart").drop("batch_id")
+    assert again.exceptAll(expected).count() == 0
+    assert again.count() == 13
