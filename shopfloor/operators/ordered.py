@@ -2,8 +2,8 @@
 
 A window over ``PARTITION BY line ORDER BY ts`` puts a whole line into one task, and
 a window without partitions puts everything there. That is the cheapest plan while the
-largest key is small, so each function first asks for the size of the largest key: a
-count over one column. Beyond ``one_task_rows`` it spreads the ordered sequence of a
+largest key is small, so each function first asks for the number of rows, and if that is
+large for the size of the largest key: counts over one column. Beyond ``one_task_rows`` it spreads the ordered sequence of a
 key over many tasks:
 
 1. rows are range-partitioned on (key, order), so a hot key is cut into many pieces
@@ -45,11 +45,15 @@ def piece_count(df: DataFrame, key: Sequence[str], one_task_rows: int) -> int:
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if one_task_rows <= 0:
         return least
-    sizes = df.groupBy(*key).agg(F.count("*").alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (largest or 0) <= one_task_rows:
+    total = df.count()
+    if total <= one_task_rows:
         return 0
-    return max(least, -(-total // one_task_rows))
+    pieces = max(least, -(-total // one_task_rows))
+    if not key:
+        return pieces
+    sizes = df.groupBy(*key).agg(F.count("*").alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0]
+    return 0 if largest <= one_task_rows else pieces
 
 
 def lay_out(
