@@ -8,11 +8,13 @@ place; a rerun needs no clean-up. Only the record of model runs is appended to.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.operators import checks, conform, model, oee, pareto, silver, spc
+from shopfloor.scratch import scratch_scope
 from shopfloor.sources import schemas
 from shopfloor.sources.readers import (
     CORRUPT,
@@ -123,8 +125,11 @@ def build_spc(bronze: Tables, target: str, settings: Settings) -> Tables:
     return done
 
 
-def build_served(days: DataFrame, charts: Tables, target: str) -> tuple[Tables, Tables]:
-    """The published tables in their declared types, and what violates the declaration."""
+def build_served(days: DataFrame, charts: Tables, target: str) -> Tables:
+    """The published tables in their declared types.
+
+    ``served_violations`` counts, per table and rule, what breaks the declaration.
+    """
     plan = {
         "fct_machine_daily_oee": (days, schemas.SERVED_MACHINE_DAILY_OEE),
         "spc_control_chart_data": (
@@ -137,11 +142,16 @@ def build_served(days: DataFrame, charts: Tables, target: str) -> tuple[Tables,
         name: write_parquet(conform.conform(df, table), f"{target}/served/{name}")
         for name, (df, table) in plan.items()
     }
-    violations = {
-        name: conform.conform_violations(served[name], table)
+    violations = [
+        conform.conform_violations(served[name], table).select(
+            F.lit(name).alias("table_name"), "rule", "failures"
+        )
         for name, (_, table) in plan.items()
-    }
-    return served, violations
+    ]
+    served["served_violations"] = write_parquet(
+        reduce(DataFrame.unionByName, violations), f"{target}/checks/served_violations"
+    )
+    return served
 
 
 def build_marts(days: DataFrame, downtime: DataFrame, target: str) -> Tables:
@@ -152,15 +162,14 @@ def build_marts(days: DataFrame, downtime: DataFrame, target: str) -> Tables:
     """
     staged_days = conform.staged(days, schemas.STG_MACHINE_DAILY_OEE)
     staged_stops = conform.staged(downtime, schemas.STG_DOWNTIME_EVENTS)
-    checks.gate(
+    staging_tests = checks.check_summary(
+        staged_days, "stg_machine_daily_oee", not_null=["machine_id", "availability"]
+    ).unionByName(
         checks.check_summary(
-            staged_days, "stg_machine_daily_oee", not_null=["machine_id", "availability"]
-        ).unionByName(
-            checks.check_summary(
-                staged_stops, "stg_downtime_events", not_null=["machine_id"]
-            )
+            staged_stops, "stg_downtime_events", not_null=["machine_id"]
         )
     )
+    checks.gate(write_parquet(staging_tests, f"{target}/checks/staging"))
     marts = {
         "fct_line_oee": write_parquet(
             oee.line_oee(staged_days), f"{target}/marts/fct_line_oee"
@@ -169,18 +178,17 @@ def build_marts(days: DataFrame, downtime: DataFrame, target: str) -> Tables:
             pareto.downtime_pareto(staged_stops), f"{target}/marts/fct_downtime_pareto"
         ),
     }
-    checks.gate(
+    mart_tests = checks.check_summary(
+        marts["fct_line_oee"], "fct_line_oee", not_null=["line_id", "oee"]
+    ).unionByName(
         checks.check_summary(
-            marts["fct_line_oee"], "fct_line_oee", not_null=["line_id", "oee"]
-        ).unionByName(
-            checks.check_summary(
-                marts["fct_downtime_pareto"],
-                "fct_downtime_pareto",
-                not_null=["reason"],
-                unique=["reason"],
-            )
+            marts["fct_downtime_pareto"],
+            "fct_downtime_pareto",
+            not_null=["reason"],
+            unique=["reason"],
         )
     )
+    checks.gate(write_parquet(mart_tests, f"{target}/checks/marts"))
     return marts
 
 
@@ -262,13 +270,14 @@ def run_medallion(
     Raises :class:`shopfloor.operators.checks.DataCheckError` if a data test fails.
     """
     settings = settings or Settings()
-    bronze = build_bronze(spark, source, target, settings)
-    clean = build_silver(bronze, target)
-    days = build_gold(clean, target, settings)
-    charts = build_spc(bronze, target, settings)
-    served, _ = build_served(days, charts, target)
-    marts = build_marts(days, clean["downtime_events"], target)
-    metrics = build_model(clean["sensor_readings"], target, settings)
+    with scratch_scope(spark):
+        bronze = build_bronze(spark, source, target, settings)
+        clean = build_silver(bronze, target)
+        days = build_gold(clean, target, settings)
+        charts = build_spc(bronze, target, settings)
+        served = build_served(days, charts, target)
+        marts = build_marts(days, clean["downtime_events"], target)
+        metrics = build_model(clean["sensor_readings"], target, settings)
     written = {
         **{f"bronze.{name}": df for name, df in bronze.items()},
         **{f"silver.{name}": df for name, df in clean.items()},

@@ -10,19 +10,25 @@ which
   chooses a broadcast join below ``spark.sql.autoBroadcastJoinThreshold`` and a
   sort-merge join (with AQE skew splitting) above it. No join here carries a hint.
 
-Like Spark's own checkpoints the tables stay until the folder's retention removes
-them; they sit under one sub-folder per application.
+The tables sit under one sub-folder per application. Like Spark's own checkpoints they
+stay until the folder's retention removes them, since a lazy result may still need them;
+a job that has written its results wraps itself in :func:`scratch_scope`, which removes
+what it made.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
 
 
 @cache
@@ -44,7 +50,25 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     app = spark.conf.get("spark.app.id", "application")
-    return f"{scratch_root(spark)}/shopfloor/{app}/{label}-{uuid.uuid4().hex}"
+    folder = _scope.get() or f"{scratch_root(spark)}/shopfloor/{app}"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Remove the scratch tables made inside on leaving.
+
+    Results have to be written by then; a lazy one would lose its input.
+    """
+    folder = scratch_path(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

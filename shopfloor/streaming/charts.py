@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopfloor.operators import spc
 from shopfloor.operators.joins import join_on
-from shopfloor.scratch import materialize
+from shopfloor.scratch import materialize, scratch_scope
 
 
 def chart_batch(
@@ -65,7 +65,8 @@ def start_charts(
     """Chart a stream of measurements; read the result from ``target/chart``."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        chart_batch(batch, batch_id, limits, target, **columns)
+        with scratch_scope(batch.sparkSession):
+            chart_batch(batch, batch_id, limits, target, **columns)
 
     writer = silver.writeStream.foreachBatch(on_batch).option(
         "checkpointLocation", checkpoint

@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
         extra={
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -63,6 +63,7 @@ def test_row_counts(run):
     assert counts["marts.fct_downtime_pareto"] == 2
     assert counts["gold.predictive_maintenance_metrics"] == 7
     assert counts["raw.downtime_events"] == 3
+    assert counts["served.served_violations"] > 0
 
 
 def test_contents(spark, run):
@@ -74,6 +75,11 @@ def test_contents(spark, run):
     assert rejected.count() == 1
     served = spark.read.parquet(f"{target}/served/spc_control_chart_data")
     assert dict(served.dtypes)["out_of_control"] == "boolean"
+    violations = spark.read.parquet(f"{target}/checks/served_violations")
+    assert violations.where("failures > 0").count() == 0
+    tests = spark.read.parquet(f"{target}/checks/staging", f"{target}/checks/marts")
+    assert tests.count() == 7
+    assert tests.where("should_error").count() == 0
     chart = spark.read.option("header", True).csv(f"{target}/export/spc_control_chart_data")
     assert chart.columns[:4] == ["line_id", "subgroup_start_ts", "xbar", "range"]
     metrics = spark.read.option("header", True).csv(

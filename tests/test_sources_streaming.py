@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopfloor.operators import spc
-from shopfloor.scratch import materialize, scratch_root
+from shopfloor.scratch import materialize, scratch_root, scratch_scope
 from shopfloor.sources import readers, schemas, tables, writers
 from shopfloor.streaming import charts, ingest
 
@@ -92,12 +92,23 @@ def test_tables_and_views(spark):
     assert tables.publish_view(df.where("cpk > 1"), "good_lines").count() == 1
 
 
-def test_scratch_uses_the_configured_folder(spark):
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+def test_scratch_tables_live_in_the_scratch_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert scratch_root(spark) == configured.rstrip("/")
     plan = materialize(spark.range(5), "five")._jdf.queryExecution().toString()
     assert scratch_root(spark) in plan
 
 
+def test_scratch_scope_removes_its_tables_only(spark):
+    outside = materialize(spark.range(5), "outside")
+    with scratch_scope(spark) as folder:
+        assert materialize(spark.range(3), "inside").count() == 3
+        assert os.listdir(folder)
+    assert not os.path.exists(folder)
+    assert outside.count() == 5
+
+
 def test_scratch_without_a_configured_folder():
     def session(**settings):
         conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
