@@ -21,8 +21,9 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once; keys with a NULL part are ignored."""
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
     return (
-        df.dropna(subset=list(key))
+        df.where(present)
         .groupBy(*key)
         .agg(F.count("*").alias("n_records"))
         .where(F.col("n_records") > 1)
