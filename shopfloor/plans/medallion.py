@@ -7,8 +7,11 @@ place; a rerun needs no clean-up. Only the record of model runs is appended to.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,14 +61,24 @@ class Settings:
     raw_tables: dict = field(default_factory=lambda: dict(schemas.RAW_TABLES))
 
 
+def together(builders: dict[str, Callable[[], DataFrame]]) -> Tables:
+    """Build independent tables at the same time, so a small one fills idle cores."""
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        running = {
+            name: pool.submit(copy_context().run, build)
+            for name, build in builders.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
 def build_bronze(spark: SparkSession, source: str, target: str, settings: Settings) -> Tables:
     """Raw CSV as Parquet; lines that do not parse keep their text beside empty columns."""
-    return {
-        name: write_parquet(
-            read_csv(spark, f"{source}/{name}.csv", schema), f"{target}/bronze/{name}"
-        )
-        for name, schema in settings.raw_tables.items()
-    }
+
+    def build(name: str) -> DataFrame:
+        raw = read_csv(spark, f"{source}/{name}.csv", settings.raw_tables[name])
+        return write_parquet(raw, f"{target}/bronze/{name}")
+
+    return together({name: partial(build, name) for name in settings.raw_tables})
 
 
 def build_silver(bronze: Tables, target: str) -> Tables:
@@ -74,8 +87,9 @@ def build_silver(bronze: Tables, target: str) -> Tables:
     Of several readings of a machine at one time the first to arrive stays. Downtime
     events are not deduplicated: a machine may stop for two reasons at once.
     """
-    done: Tables = {}
-    for name, (ts, date, key) in FACTS.items():
+
+    def fact(name: str) -> DataFrame:
+        ts, date, key = FACTS[name]
         arrived = silver.typed(with_file_position(bronze[name]), ts, date)
         complete = F.col(CORRUPT).isNull() & F.col("machine_id").isNotNull()
         good, rest = silver.split_valid(arrived, complete & F.col(ts).isNotNull())
@@ -85,11 +99,15 @@ def build_silver(bronze: Tables, target: str) -> Tables:
             good = silver.deduplicate(good, key, FILE_POSITION)
         good = good.drop(*FILE_POSITION)
         path = f"{target}/silver/{name}"
-        # Sensor and quality rows arrive by the day; stops are few.
-        done[name] = write_by_date(good, path, date) if key else write_parquet(good, path)
-    shifts = bronze["shift_log"].where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    done["shift_log"] = write_parquet(shifts, f"{target}/silver/shift_log")
-    return done
+        # Sensor and quality rows are many per day; stops are few.
+        return write_by_date(good, path, date) if key else write_parquet(good, path)
+
+    def shift_log() -> DataFrame:
+        shifts = bronze["shift_log"].where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        return write_parquet(shifts, f"{target}/silver/shift_log")
+
+    facts = {name: partial(fact, name) for name in FACTS}
+    return together({**facts, "shift_log": shift_log})
 
 
 def build_gold(silver_tables: Tables, target: str, settings: Settings) -> DataFrame:
@@ -114,15 +132,18 @@ def build_spc(bronze: Tables, target: str, settings: Settings) -> Tables:
     report = spc.capability_report(
         groups, limits, usl=settings.usl, lsl=settings.lsl, size=settings.subgroup_size
     )
-    done = {
-        "spc_control_chart_data": write_parquet(
-            chart, f"{target}/gold/spc_control_chart_data"
-        ),
-        "process_capability": write_parquet(report, f"{target}/gold/process_capability"),
-    }
-    for name, table in done.items():
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        table = write_parquet(df, f"{target}/gold/{name}")
         write_csv(table, f"{target}/export/{name}", table.columns)
-    return done
+        return table
+
+    return together(
+        {
+            "spc_control_chart_data": partial(store, "spc_control_chart_data", chart),
+            "process_capability": partial(store, "process_capability", report),
+        }
+    )
 
 
 def build_served(days: DataFrame, charts: Tables, target: str) -> Tables:
@@ -138,10 +159,14 @@ def build_served(days: DataFrame, charts: Tables, target: str) -> Tables:
         ),
         "process_capability": (charts["process_capability"], schemas.SERVED_CAPABILITY),
     }
-    served = {
-        name: write_parquet(conform.conform(df, table), f"{target}/served/{name}")
-        for name, (df, table) in plan.items()
-    }
+    served = together(
+        {
+            name: partial(
+                write_parquet, conform.conform(df, table), f"{target}/served/{name}"
+            )
+            for name, (df, table) in plan.items()
+        }
+    )
     violations = [
         conform.conform_violations(served[name], table).select(
             F.lit(name).alias("table_name"), "rule", "failures"
@@ -170,14 +195,17 @@ def build_marts(days: DataFrame, downtime: DataFrame, target: str) -> Tables:
         )
     )
     checks.gate(write_parquet(staging_tests, f"{target}/checks/staging"))
-    marts = {
-        "fct_line_oee": write_parquet(
-            oee.line_oee(staged_days), f"{target}/marts/fct_line_oee"
-        ),
-        "fct_downtime_pareto": write_parquet(
-            pareto.downtime_pareto(staged_stops), f"{target}/marts/fct_downtime_pareto"
-        ),
-    }
+    marts = together(
+        {
+            "fct_line_oee": lambda: write_parquet(
+                oee.line_oee(staged_days), f"{target}/marts/fct_line_oee"
+            ),
+            "fct_downtime_pareto": lambda: write_parquet(
+                pareto.downtime_pareto(staged_stops),
+                f"{target}/marts/fct_downtime_pareto",
+            ),
+        }
+    )
     mart_tests = checks.check_summary(
         marts["fct_line_oee"], "fct_line_oee", not_null=["line_id", "oee"]
     ).unionByName(

@@ -1,9 +1,11 @@
+import os
 from datetime import datetime, timedelta
 
 import pytest
 
 from shopfloor.operators.checks import DataCheckError
 from shopfloor.plans import medallion
+from shopfloor.scratch import materialize, scratch_scope
 
 START = datetime(2026, 7, 1)
 MACHINES = {"M1": "LINE-A", "M2": "LINE-A", "M3": "LINE-B"}
@@ -102,6 +104,21 @@ def test_rerun_overwrites(spark, run):
     assert runs.select("run_name").distinct().count() == 2
 
 
+def test_threads_share_the_scratch_scope(spark):
+    with scratch_scope(spark) as folder:
+        made = medallion.together(
+            {"a": lambda: materialize(spark.range(2), "a"), "b": lambda: spark.range(3)}
+        )
+        assert {name: df.count() for name, df in made.items()} == {"a": 2, "b": 3}
+        assert len(os.listdir(folder)) == 1
+
+    def fail():
+        raise ValueError("no table")
+
+    with pytest.raises(ValueError, match="no table"):
+        medallion.together({"a": fail, "b": lambda: spark.range(1)})
+
+
 def test_gate_blocks_the_marts(spark, run, tmp_path):
     _, target, _ = run
     days = spark.read.parquet(f"{target}/gold/fct_machine_daily_oee")
