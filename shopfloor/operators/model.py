@@ -34,6 +34,13 @@ def hash_split(
     return df.withColumn(name, (bucket < test_percent).cast("int"))
 
 
+def time_split(
+    df: DataFrame, ts: str, test_from: str, name: str = "is_test"
+) -> DataFrame:
+    """``df`` plus 1 for rows at or after ``test_from``: train on the past only."""
+    return df.withColumn(name, (F.col(ts) >= F.lit(test_from).cast("timestamp")).cast("int"))
+
+
 def stratified_split(
     df: DataFrame,
     key: Sequence[str],

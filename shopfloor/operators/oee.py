@@ -56,15 +56,18 @@ def machine_daily_oee(
     machine: str = "machine_id",
     line: str = "line_id",
     planned_hours: float = PLANNED_HOURS,
+    spine: str = "quality",
 ) -> DataFrame:
     """The gold fact: one row per machine-day that has quality rows.
 
-    Days with downtime but without quality rows do not appear. Both inputs are
-    grouped on the join key, so the join reuses their partitioning.
+    Days with downtime but without quality rows do not appear unless ``spine="full"``,
+    which gives them no units and an unknown quality rate. Both inputs are grouped on
+    the join key, so the join reuses their partitioning.
     """
+    how = {"quality": "left", "full": "full"}[spine]
     return (
-        daily_quality.join(daily_downtime, [machine, line, "production_date"], "left")
-        .fillna({"downtime_hours": 0.0})
+        daily_quality.join(daily_downtime, [machine, line, "production_date"], how)
+        .fillna({"downtime_hours": 0.0, "units_measured": 0, "units_in_spec": 0})
         .withColumn("planned_hours", F.lit(float(planned_hours)))
         .withColumn(
             "availability", availability(F.col("downtime_hours"), F.col("planned_hours"))

@@ -77,6 +77,12 @@ def test_hash_split_is_independent_of_order(readings):
     assert sides.where("n > 1").count() == 0
 
 
+def test_time_split(spark):
+    df = spark.sql("select timestamp'2026-07-01 00:00:00' + make_interval(0,0,0,id) ts from range(4)")
+    split = model.time_split(df, "ts", "2026-07-03 00:00:00").orderBy("ts")
+    assert [r.is_test for r in split.collect()] == [0, 0, 1, 1]
+
+
 @pytest.mark.parametrize("one_task_rows", [0, 100_000])
 def test_stratified_split_is_exact(readings, one_task_rows):
     split = model.stratified_split(readings, ["id"], one_task_rows=one_task_rows)

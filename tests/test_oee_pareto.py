@@ -10,7 +10,7 @@ D = date(2026, 7, 1)
 
 
 @pytest.fixture
-def days(spark):
+def daily(spark):
     quality = spark.createDataFrame(
         [("M1", "LINE-A", D, f) for f in (1, 1, 1, 0)]
         + [("M2", "LINE-A", D, 1), ("M2", "LINE-A", D, 1)],
@@ -20,9 +20,19 @@ def days(spark):
         [("M1", "LINE-A", D, 1.5), ("M1", "LINE-A", D, 0.5), ("M3", "LINE-B", D, 2.0)],
         "machine_id string, line_id string, downtime_date date, downtime_hours double",
     )
-    return oee.machine_daily_oee(
-        oee.quality_daily(quality), oee.downtime_daily(downtime)
-    )
+    return oee.quality_daily(quality), oee.downtime_daily(downtime)
+
+
+@pytest.fixture
+def days(daily):
+    return oee.machine_daily_oee(*daily)
+
+
+def test_full_spine_keeps_days_with_downtime_only(daily):
+    found = {r.machine_id: r for r in oee.machine_daily_oee(*daily, spine="full").collect()}
+    assert set(found) == {"M1", "M2", "M3"}
+    m3 = found["M3"]
+    assert (m3.units_measured, m3.quality_rate, m3.availability) == (0, None, 0.9167)
 
 
 def test_machine_days(days):
