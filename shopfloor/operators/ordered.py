@@ -2,9 +2,9 @@
 
 A window over ``PARTITION BY line ORDER BY ts`` puts a whole line into one task, and
 a window without partitions puts everything there. That is the cheapest plan while the
-largest key is small, so each function first asks for the number of rows, and if that is
-large for the size of the largest key: counts over one column. Beyond ``one_task_rows`` it spreads the ordered sequence of a
-key over many tasks:
+largest key is small, so each function first asks for the number of rows and, if that is
+large, for the size of the largest key: counts over one column. Beyond
+``one_task_rows`` it spreads the ordered sequence of a key over many tasks:
 
 1. rows are range-partitioned on (key, order), so a hot key is cut into many pieces
    of similar size, and each piece is sorted and written once (:func:`lay_out`); their
@@ -161,8 +161,8 @@ def with_next_mark(
     ``mark`` must not fall along ``order`` (it is a copy of the leading order column
     on the rows that carry one), so the nearest mark is the least one still ahead.
     """
-    # Descending order with a growing frame: one pass, where a shrinking frame would
-    # be evaluated anew for every row.
+    # Both windows descend with a growing frame: one pass, where a shrinking frame
+    # would be evaluated anew for every row.
     pieces = piece_count(df, key, one_task_rows)
     if not pieces:
         ahead = (
