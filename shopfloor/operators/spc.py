@@ -28,15 +28,16 @@ def place(
 ) -> DataFrame:
     """Each measurement's 0-based ``place`` within its line, in time order.
 
-    ``tie_break`` decides between equal timestamps; together with ``ts`` it has to
-    identify a measurement within its line (see :mod:`shopfloor.operators.ordered`).
-    Measurements without a value are left out. Only line, time and value are kept
-    unless ``keep`` says otherwise.
+    ``tie_break`` decides between equal timestamps, and the value between rows that tie
+    on that too, so the places of the values never depend on the arrangement of the
+    rows. To cut a hot line anywhere, ``ts`` and ``tie_break`` have to identify a
+    measurement (see :mod:`shopfloor.operators.ordered`). Measurements without a value
+    are left out. Only line, time and value are kept unless ``keep`` says otherwise.
     """
     return with_sequence(
         measurements.where(F.col(value).isNotNull()),
         key=[line],
-        order=[ts, *tie_break],
+        order=list(dict.fromkeys([ts, *tie_break, value])),
         keep=[line, ts, value] if keep is None else keep,
         name="place",
         one_task_rows=one_task_rows,

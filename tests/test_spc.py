@@ -95,6 +95,16 @@ def test_ties_and_partitioning_do_not_matter(spark, plan, partitions):
         assert (r.xbar, r.range) == pytest.approx((xbar, spread))
 
 
+def test_incomplete_tie_break_is_still_deterministic(spark, plan):
+    rows = [("L", "M1", START, float(v)) for v in range(40)]
+    results = []
+    for seed in (1, 2):
+        df = spark.createDataFrame(rows, SCHEMA).orderBy(F.rand(seed)).repartition(5)
+        found = spc.subgroups(df, one_task_rows=plan).orderBy("subgroup_index")
+        results.append([(r.xbar, r.range) for r in found.collect()])
+    assert results[0] == results[1] == [(5.0 * i + 2, 4.0) for i in range(8)]
+
+
 def test_null_line_is_a_line_and_null_value_is_skipped(spark, plan):
     rows = line_rows(None, [50.0, None, 50.1, 50.2, 50.3, 50.4])
     groups = spc.subgroups(spark.createDataFrame(rows, SCHEMA), one_task_rows=plan)
