@@ -14,12 +14,14 @@ tokens among the first ``p + g``. So
 The smaller set of a pair needs a shorter prefix (its keys carry an index mark), and ``g`` is
 that of the larger one, under which smaller sets that could match are indexed too.
 
-Texts with the same set are one class; only classes are joined. Groups of near copies share
-most keys, so candidates come in rounds: a hub of each key is verified against the key's other
-members, links are closed to components, and a last round verifies every remaining pair
-between different components that share a key (index mark against any, sizes compatible).
-Pairs inside a component need no verification, as the result is the component. No link
-between components can be missed, and nothing is capped.
+Texts with the same set are one class; only classes are joined. Near copies share most keys,
+so a group of them would be candidates of each other. Instead hubs of the keys gather loose
+groups in two rounds. Pairs of different groups that share a key (index mark against any,
+sizes compatible) are verified one by one. Members of a group are compared with its root, and
+with each other by what they differ from the root in: two members are linked only if both are
+linked to the root or their differences share enough tokens, which is a prefix join over the
+differences (:func:`_group_pairs`). Pairs inside a component need no verification, as the
+result is the component. No link between components can be missed, and nothing is capped.
 
 Which tokens are frequent only steers the cost. It is counted over all texts: runs of sets
 report tokens they hold several times, and tokens whose reported sum reaches a share of the
@@ -51,6 +53,8 @@ FREQUENT_SHARE = 0.001
 RUN_TOKENS = 2_000_000
 RUN_LEAST = 4
 STAR_ROUNDS = 2
+# Loose groups hold sets that are less similar than links by so many percent points.
+LOOSER = 30
 PROBE, INDEX = 1, 2
 
 
@@ -152,11 +156,13 @@ def _frequent_keys(
         size = size + 1 if size < 64 else size + size // 64
     wanted.add(_classes(percent, largest))
     for classes in sorted(wanted - {0}):
-        reach = (probe_prefix if classes == own else index_prefix) + classes - rare
-        if reach < 2:
+        # The first common token lies in the plain prefix.
+        prefix = probe_prefix if classes == own else index_prefix
+        if rare >= prefix:
             continue
-        keys, places = _pairs(tokens[:reach], classes)
-        marks = np.where(places < index_prefix + classes - rare, INDEX, 0)
+        keys, places = _pairs(tokens[: prefix + classes - rare], classes)
+        indexed = (places < index_prefix + classes - rare) & (rare < index_prefix)
+        marks = np.where(indexed, INDEX, 0)
         if classes == own:
             marks = marks | PROBE
         yield keys, marks
@@ -190,8 +196,7 @@ def _scan_keys(words: int, percent: int, frequent):
                 keys = [hashes[single]]
                 marks = [np.where(place[single] < index[own], PROBE | INDEX, PROBE)]
                 owners = [own]
-                reach = np.array([_classes(percent, int(n / percent * 100)) for n in sizes])
-                needs = np.flatnonzero(fresh & (rares < sizes) & (rares < probe + reach))
+                needs = np.flatnonzero(fresh & (rares < sizes) & (rares < probe))
                 begin = sets.ends - sizes
                 for i in needs.tolist():
                     mine = slice(begin[i], sets.ends[i])
@@ -256,16 +261,99 @@ def _compatible(percent: int, one: str, two: str):
     return low * 100 >= high * percent
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) that reach the threshold, and all that were tried, as ``linked``."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) with the sizes of intersection and union."""
     first = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    common = F.size(F.array_intersect("ta", "tb"))
-    union = F.size("ta") + F.size("tb") - common
+    common = F.size(F.array_intersect("ta", "tb")).cast("long")
+    union = F.size("ta") + F.size("tb") - F.col("common")
     return (
         pairs.join(first, "a")
         .join(second, "b")
-        .select("a", "b", (common.cast("long") * 100 >= union.cast("long") * percent).alias("linked"))
+        .withColumn("common", common)
+        .select("a", "b", "common", union.cast("long").alias("union"))
+    )
+
+
+def _reaches(percent: int):
+    return F.col("common") * 100 >= F.col("union") * percent
+
+
+def _most_apart(percent: int, sizes):
+    """The largest symmetric difference of two linked sets, from the sum of their sizes."""
+    return F.floor(sizes * (100 - percent) / (100 + percent) + 1e-9).cast("long")
+
+
+def _differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per member of a loose group: the tokens in which it and the group's root differ."""
+    root = sets.select(F.col("node").alias("root"), F.col("tokens").alias("tr"))
+    apart = F.concat(F.array_except("tokens", "tr"), F.array_except("tr", "tokens"))
+    return (
+        groups.withColumnRenamed("comp", "root")
+        .join(sets, "node")
+        .join(root, "root")
+        .select(
+            "root",
+            "node",
+            F.size("tokens").cast("long").alias("n"),
+            F.size("tr").cast("long").alias("n_root"),
+            apart.alias("apart"),
+        )
+    )
+
+
+def _group_pairs(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside loose groups.
+
+    With A = a member's difference to its root, two members differ in
+    ``|A| + |A'| - 2 |A & A'|`` tokens. If that can be small enough without a common token,
+    both are linked to the root; else the pair has to share tokens of A, which few do
+    although they share most of their text: a prefix join over these.
+    """
+    held = _with_comp(differences, labels).withColumn("a", F.size("apart").cast("long"))
+    # Groups that are one component need nothing more.
+    mixed = held.groupBy("root").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    held = materialize(held.join(mixed.where("low <> high").select("root"), "root"), "apart")
+    tokens = held.select("root", "node", "n", "comp", "a", F.explode("apart").alias("token"))
+    seen = tokens.groupBy("root", "token").agg(F.count("*").alias("df"))
+    shared = tokens.join(seen.where("df > 1"), ["root", "token"])
+    # Tokens that only one member has come first in its order and cannot be shared.
+    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))
+    useful = F.count("*").over(Window.partitionBy("node"))
+    ranked = shared.withColumn("useful", useful).withColumn(
+        "place", F.col("a") - F.col("useful") + place
+    )
+    widest = _most_apart(percent, F.col("n") + F.floor(F.col("n") * 100 / percent))
+    least_index = F.greatest(F.lit(1), F.ceil((2 * F.col("a") - widest) / 2))
+    least_probe = F.greatest(F.lit(1), F.col("a") - widest)
+    ranked = materialize(
+        ranked.withColumn("indexed", F.col("place") <= F.col("a") - least_index + 1)
+        .where(F.col("place") <= F.col("a") - F.least(least_probe, least_index) + 1)
+        .select("root", "token", "node", "n", "comp", "a", "useful", "indexed"),
+        "apart-keys",
+    )
+    one, two = (
+        ranked.select("root", "token", *[F.col(c).alias(f"{c}{k}") for c in ranked.columns[2:]])
+        for k in (1, 2)
+    )
+    bound = F.col("a1") + F.col("a2") - _most_apart(percent, F.col("n1") + F.col("n2"))
+    pairs = (
+        one.where("indexed1")
+        .join(two, ["root", "token"])
+        .where(F.expr("comp1 <> comp2 and (a1 < a2 or (a1 = a2 and node1 < node2))"))
+        .where(2 * F.least("useful1", "useful2") >= bound)
+        .where(_compatible(percent, "n1", "n2"))
+        .select(F.col("node1").alias("a"), F.col("node2").alias("b"))
+        .distinct()
+    )
+    first = held.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("apart").alias("one"))
+    second = held.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("apart").alias("two"))
+    differ = F.size("one") + F.size("two") - 2 * F.size(F.array_intersect("one", "two"))
+    return (
+        pairs.join(first, "a")
+        .join(second, "b")
+        .where(differ <= _most_apart(percent, F.col("n1") + F.col("n2")))
+        .select("a", "b")
     )
 
 
@@ -413,16 +501,29 @@ def similarity_components(
         chosen.mapInArrow(_scan_tokens(words), "node long, tokens array<long>"), "tokens"
     )
 
+    # Hubs gather loose groups: sets that are near their root, linked or not.
+    loose_percent = percent - LOOSER
     tried: DataFrame | None = None
-    labels: DataFrame | None = None
-    for turn in range(STAR_ROUNDS + 1):
-        held = _with_comp(keys, labels)
-        pairs = _star_pairs(held, percent, turn) if turn < STAR_ROUNDS else _rest_pairs(held, percent)
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        found = materialize(_verified(pairs, sets, percent), "verified")
+    groups: DataFrame | None = None
+    for turn in range(STAR_ROUNDS):
+        pairs = _star_pairs(_with_comp(keys, groups), percent, turn)
+        found = materialize(_overlaps(pairs, sets), "overlaps")
         tried = found if tried is None else tried.unionByName(found)
-        labels = components(tried.where("linked").select("a", "b"))
+        groups = components(tried.where(_reaches(loose_percent)).select("a", "b"))
+    # Pairs between groups are verified one by one.
+    pairs = _rest_pairs(_with_comp(keys, groups), percent)
+    pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    tried = tried.unionByName(materialize(_overlaps(pairs, sets), "overlaps"))
+    # Pairs within a group: with the root, then by what the members differ from it.
+    differences = materialize(_differences(groups, sets), "differences")
+    apart = _most_apart(percent, F.col("n") + F.col("n_root"))
+    rooted = differences.where((F.size("apart") <= apart) & (F.col("node") != F.col("root")))
+    links = tried.where(_reaches(percent)).select("a", "b").unionByName(
+        rooted.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    )
+    labels = components(links)
+    inner = materialize(_group_pairs(differences, labels, percent), "inner-links")
+    labels = components(links.unionByName(inner))
 
     classes = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("least"))
     linked = nodes.join(labels, "node")
