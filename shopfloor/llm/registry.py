@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from shopfloor.llm.chat import ORACLE_OP8, op8_chat_round_trip
 from shopfloor.llm.jaccard import op4_ngram_jaccard_join
+from shopfloor.llm.packing import op6_linear_grouping_packing
+from shopfloor.llm.quality import ORACLE_OP7, op7_adaptive_quality
 from shopfloor.llm.sharding import op1_hilbert_sharding
 
 QUERIES = {
     "op1_hilbert_sharding": op1_hilbert_sharding,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_linear_grouping_packing": op6_linear_grouping_packing,
+    "op7_adaptive_quality": op7_adaptive_quality,
     "op8_chat_round_trip": op8_chat_round_trip,
 }
 
 ORACLE = {
+    "op7_adaptive_quality": ORACLE_OP7,
     "op8_chat_round_trip": ORACLE_OP8,
 }
