@@ -52,9 +52,14 @@ FREQUENT_SHARE = 0.001
 # Runs of sets of about so many tokens report those they hold at least so often.
 RUN_TOKENS = 2_000_000
 RUN_LEAST = 4
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 # Loose groups hold sets that are less similar than links by so many percent points.
 LOOSER = 30
+# Keys of frequent tokens pass the first shuffle in so many parts.
+SALTS = 64
+# The filter that spares texts without partner a shuffle has 2**23 bits: 1 MB, whatever the
+# input. Where it fills up it lets more texts pass, and the join after it still decides.
+FILTER_BITS = 23
 PROBE, INDEX = 1, 2
 
 
@@ -76,8 +81,9 @@ def _scan_sets(words: int):
         often = counts >= RUN_LEAST
         tokens, counts = tokens[often].view(np.int64), counts[often]
         none = pa.nulls(len(tokens), pa.int64())
+        short = pa.nulls(len(tokens), pa.int32())
         return pa.record_batch(
-            [none, none, none, none, pa.array(tokens), pa.array(counts)],
+            [none, none, short, none, pa.array(tokens), pa.array(counts)],
             ["id", "c1", "c2", "n", "token", "count"],
         )
 
@@ -225,15 +231,18 @@ def _scan_keys(words: int, percent: int, frequent):
     return run
 
 
-def _scan_texts(words: int):
-    """(text) to (c1, c2, text), each set once in a batch."""
+def _scan_texts(words: int, wanted):
+    """(text) to (c1, c2, text) of wanted sets, each once in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         for batch in batches:
             seen: set = set()
             for first, sets in shingles.slabs(batch.column(0), words):
                 c1, c2 = shingles.signatures(sets)
-                fresh = np.flatnonzero(_fresh(seen, c1, c2, sets.sizes()))
+                spot = c1 & np.int64((1 << FILTER_BITS) - 1)
+                hit = (bits[spot >> np.int64(6)] >> (spot & np.int64(63)) & np.int64(1)).astype(bool)
+                fresh = np.flatnonzero(hit & _fresh(seen, c1, c2, sets.sizes()))
                 text = batch.column(0).take(pa.array(fresh + first))
                 yield pa.record_batch(
                     [pa.array(c1[fresh]), pa.array(c2[fresh]), text], ["c1", "c2", "text"]
@@ -421,31 +430,56 @@ def _rest_pairs(keys: DataFrame, percent: int) -> DataFrame:
 
 
 def _shared_keys(texts: DataFrame, words: int, percent: int, frequent) -> DataFrame:
-    """The keys that sets of different classes have in common: (key, c1, c2, n, mark)."""
-    schema = "hot boolean, key long, c1 long, c2 long, n int, mark byte"
+    """The keys that sets of compatible sizes have in common: (key, c1, c2, n, mark).
+
+    Keys of rare tokens have few members, so a window finds those with a partner. Those of
+    frequent ones may have any number: they pass that shuffle spread over salts, are then
+    counted on the map side, and joined, which splits large keys.
+    """
+    schema = "hot boolean, key long, c1 long, c2 int, n int, mark byte"
     found = texts.mapInArrow(_scan_keys(words, percent, frequent), schema)
-    # Keys of rare tokens have few members. Those of frequent ones may have any number:
-    # these are counted before the shuffle and joined, which splits large keys.
-    found = materialize(found, "keys")
-    per_key = Window.partitionBy("key")
-    rare = (
-        found.where("not hot")
-        .withColumn("low", F.min("c1").over(per_key))
-        .withColumn("high", F.max("c1").over(per_key))
-        .where("low <> high")
-        .select("key", "c1", "c2", "n", "mark")
+    indexed = F.col("mark").bitwiseAND(F.lit(INDEX)) > 0
+    salt = F.when(F.col("hot"), F.pmod("c1", F.lit(SALTS))).otherwise(0)
+    by_size = Window.partitionBy("key", "salt").orderBy("n", (~indexed), "c1", "c2")
+    smaller = F.max(F.when(indexed, F.col("n"))).over(
+        by_size.rowsBetween(Window.unboundedPreceding, -1)
+    )
+    candidates = materialize(
+        found.withColumn("salt", salt)
+        .withColumn("smaller", smaller)
+        .withColumn("larger", F.lead("n").over(by_size))
+        .where(
+            F.col("hot")
+            | (F.col("smaller") * 100 >= F.col("n") * percent)
+            | (indexed & (F.col("larger") * percent <= F.col("n") * 100))
+        )
+        .select(*found.columns),
+        "candidate-keys",
     )
-    hot = found.where("hot").select("key", "c1", "c2", "n", "mark")
+    hot = candidates.where("hot")
     met = hot.groupBy("key").agg(F.min("c1").alias("low"), F.max("c1").alias("high"))
     often = hot.join(met.where("low <> high").select("key"), "key")
     return materialize(
-        rare.unionByName(often)
+        candidates.where("not hot")
+        .unionByName(often)
         .groupBy("key", "c1", "c2", "n")
         .agg(F.bit_or("mark").alias("mark")),
         "shared-keys",
     )
 
 
+def _filter_words(nodes: DataFrame) -> np.ndarray:
+    """A bit per hash value of the nodes' ``c1``: a fixed number of bits, summed up by Spark."""
+    spot = F.col("c1").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = nodes.groupBy(F.shiftright(spot, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(c1 & 63 as int))")).alias("bits")
+    )
+    found = words.toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
 def similarity_components(
     documents: DataFrame,
     words: int = 5,
@@ -462,7 +496,7 @@ def similarity_components(
     texts = given.select("text")
     scanned = materialize(
         given.mapInArrow(
-            _scan_sets(words), "id long, c1 long, c2 long, n long, token long, count long"
+            _scan_sets(words), "id long, c1 long, c2 int, n long, token long, count long"
         ),
         "sets",
     )
@@ -489,7 +523,8 @@ def similarity_components(
     keys = materialize(
         shared.join(nodes, ["c1", "c2"]).select("key", "node", "n", "mark"), "node-keys"
     )
-    signed = texts.mapInArrow(_scan_texts(words), "c1 long, c2 long, text string")
+    wanted = spark.sparkContext.broadcast(_filter_words(nodes))
+    signed = texts.mapInArrow(_scan_texts(words, wanted), "c1 long, c2 int, text string")
     first = Window.partitionBy("c1", "c2").orderBy("node")
     chosen = (
         signed.join(nodes, ["c1", "c2"])

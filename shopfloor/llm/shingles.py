@@ -120,7 +120,7 @@ def slabs(texts: pa.Array, words: int) -> Iterator[tuple[int, Sets]]:
 
 
 def signatures(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of each set; together they name the set."""
+    """Digests of 64 and 32 bits of each set; together they name the set."""
     out = []
     for salt in (0x51ED270B, 0x2545F491):
         weighed = mix(sets.hashes + np.uint64(salt)) if len(sets.hashes) else sets.hashes
@@ -128,4 +128,4 @@ def signatures(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
         begin = np.concatenate([[0], sets.ends[:-1]]) if len(sets.ends) else sets.ends
         digest = mix((total[sets.ends] - total[begin]) ^ (sets.ends - begin).astype(np.uint64))
         out.append(digest.view(np.int64))
-    return out[0], out[1]
+    return out[0], (out[1] >> np.int64(32)).astype(np.int32)
