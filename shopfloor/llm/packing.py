@@ -37,9 +37,9 @@ from shopfloor.scratch import materialize
 
 MAX_TOKENS = 1024
 END_ID = 2
-# Lengths above this part of a sequence are large.
-LARGE = 1 / 8
-GROUPS = (16, 40)
+# Tried in turn: lengths above which part of a sequence are large, and into how many groups
+# they go. The choice that needs the fewest sequences stays.
+CHOICES = ((1 / 3, 16), (1 / 3, 48), (1 / 4, 48), (1 / 8, 48), (1 / 2, 16))
 # Texts are handed to the tokenizer in lots of about so many characters.
 LOT_CHARS = 400_000
 
@@ -276,19 +276,23 @@ class _Packer:
                     self.free[gap].append((first + used, bins - used))
 
 
-def plan_runs(counts: np.ndarray, capacity: int, groups: Sequence[int] = GROUPS) -> tuple[Runs, int]:
-    """Runs and the number of sequences, by the number of groups that needs the fewest."""
+def plan_runs(
+    counts: np.ndarray, capacity: int, choices: Sequence[tuple[float, int]] = CHOICES
+) -> tuple[Runs, int]:
+    """Runs and the number of sequences, by the choice that needs the fewest."""
     best: _Packer | None = None
-    large = int(capacity * LARGE) + 1
-    for number in groups:
+    fewest = -(-int((counts * np.arange(len(counts))).sum()) // capacity)
+    for part, groups in choices:
         packer = _Packer(counts, capacity)
-        sizes, members = group_lengths(counts, large, number)
+        sizes, members = group_lengths(counts, int(capacity * part) + 1, groups)
         if sizes:
             plan = configurations(sizes, [sum(m.values()) for m in members], capacity)
             packer.substitute(sizes, members, plan)
         packer.best_fit()
         if best is None or packer.sequences < best.sequences:
             best = packer
+        if best.sequences == fewest:
+            break
     return best.runs, best.sequences
 
 
