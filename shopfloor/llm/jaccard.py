@@ -16,8 +16,8 @@ that of the larger one, under which smaller sets that could match are indexed to
 
 Texts with the same set are one class; only classes are joined. Near copies share most keys,
 so a group of them would be candidates of each other. Instead hubs of the keys gather loose
-groups in two rounds. Pairs of different groups that share a key (index mark against any,
-sizes compatible) are verified one by one. Members of a group are compared with its root, and
+groups, by what bitmaps of the sets allow. Pairs of different groups that share a key (index
+mark against any, sizes compatible) and whose bitmaps allow a link are verified one by one. Members of a group are compared with its root, and
 with each other by what they differ from the root in: two members are linked only if both are
 linked to the root or their differences share enough tokens, which is a prefix join over the
 differences (:func:`_group_pairs`). Pairs inside a component need no verification, as the
@@ -39,9 +39,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopfloor.llm import shingles
 from shopfloor.llm.components import components
@@ -53,8 +55,8 @@ FREQUENT_SHARE = 0.001
 RUN_TOKENS = 2_000_000
 RUN_LEAST = 4
 STAR_ROUNDS = 1
-# Loose groups hold sets that are less similar than links by so many percent points.
-LOOSER = 30
+# Loose groups hold sets whose bitmaps allow a similarity less than links by so many points.
+LOOSER = 15
 # Keys of frequent tokens pass the first shuffle in so many parts.
 SALTS = 64
 # The filter that spares texts without partner a shuffle has 2**23 bits: 1 MB, whatever the
@@ -75,16 +77,16 @@ def _fresh(seen: set, c1: np.ndarray, c2: np.ndarray, sizes: np.ndarray) -> np.n
 
 def _scan_sets(words: int):
     """(id, text) to one row per text, and one per token that a run holds several times."""
+    names = ["id", "c1", "c2", "n", "bits", "token", "count"]
 
     def report(held: list[np.ndarray]) -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         often = counts >= RUN_LEAST
         tokens, counts = tokens[often].view(np.int64), counts[often]
         none = pa.nulls(len(tokens), pa.int64())
-        short = pa.nulls(len(tokens), pa.int32())
+        short, blank = pa.nulls(len(tokens), pa.int32()), pa.nulls(len(tokens), pa.binary())
         return pa.record_batch(
-            [none, none, short, none, pa.array(tokens), pa.array(counts)],
-            ["id", "c1", "c2", "n", "token", "count"],
+            [none, none, short, none, blank, pa.array(tokens), pa.array(counts)], names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,10 +99,9 @@ def _scan_sets(words: int):
                 sizes = sets.sizes()
                 rows = len(sizes)
                 none = pa.nulls(rows, pa.int64())
-                yield pa.record_batch(
-                    [batch.column(0).slice(first, rows), *map(pa.array, (c1, c2, sizes)), none, none],
-                    ["id", "c1", "c2", "n", "token", "count"],
-                )
+                bits = pa.array(shingles.bitmaps(sets), pa.binary())
+                own = [batch.column(0).slice(first, rows), *map(pa.array, (c1, c2, sizes))]
+                yield pa.record_batch([*own, bits, none, none], names)
                 fresh = _fresh(seen, c1, c2, sizes)
                 held.append(sets.hashes[np.repeat(fresh, sizes)])
                 size += len(held[-1])
@@ -270,8 +271,27 @@ def _compatible(percent: int, one: str, two: str):
     return low * 100 >= high * percent
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) with the sizes of intersection and union."""
+def _possible(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) that could reach the similarity, judged by bitmaps of the sets."""
+
+    def bound(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
+    ) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(
+                [shingles.most_common(*row) for row in zip(*batch, strict=True)], dtype="int64"
+            )
+
+    most = F.pandas_udf(bound, T.LongType())
+    first = bits.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("b1"))
+    second = bits.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("b2"))
+    judged = pairs.join(first, "a").join(second, "b").withColumn("most", most("b1", "b2", "n1", "n2"))
+    union = F.col("n1") + F.col("n2") - F.col("most")
+    return judged.where(F.col("most") * 100 >= union * percent).select("a", "b")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) whose sets reach the similarity."""
     first = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb")).cast("long")
@@ -280,14 +300,11 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         pairs.join(first, "a")
         .join(second, "b")
         .withColumn("common", common)
-        .select("a", "b", "common", union.cast("long").alias("union"))
+        .where(F.col("common") * 100 >= union * percent)
+        .select("a", "b")
     )
 
 
-def _reaches(percent: int):
-    return F.col("common") * 100 >= F.col("union") * percent
-
-
 def _most_apart(percent: int, sizes):
     """The largest symmetric difference of two linked sets, from the sum of their sizes."""
     return F.floor(sizes * (100 - percent) / (100 + percent) + 1e-9).cast("long")
@@ -311,6 +328,41 @@ def _differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _core_links(differences: DataFrame, percent: int) -> DataFrame:
+    """Links of each group's most typical member, which deviates least from the majority.
+
+    They join most of a group of near copies, so few pairs of its members are left to look at.
+    """
+    members = differences.groupBy("root").agg(F.count("*").alias("members"))
+    tokens = differences.select("root", "node", F.explode("apart").alias("token"))
+    seen = tokens.groupBy("root", "token").agg(F.count("*").alias("df")).join(members, "root")
+    seen = seen.select("root", "token", (F.col("df") * 2 > F.col("members")).alias("usual"))
+    usual = seen.where("usual").groupBy("root").agg(F.count("*").alias("all"))
+    own = (
+        tokens.join(seen, ["root", "token"])
+        .groupBy("root", "node")
+        .agg(F.sum(F.when(F.col("usual"), -1).otherwise(1)).alias("off"))
+    )
+    deviation = F.coalesce("off", F.lit(0)) + F.coalesce("all", F.lit(0))
+    core = (
+        differences.select("root", "node")
+        .join(own, ["root", "node"], "left")
+        .join(usual, "root", "left")
+        .groupBy("root")
+        .agg(F.min(F.struct(deviation.alias("off"), "node"))["node"].alias("core"))
+    )
+    typical = differences.join(core, "root").where("node = core").select(
+        "root", "core", F.col("n").alias("n1"), F.col("apart").alias("one")
+    )
+    differ = F.size("one") + F.size("apart") - 2 * F.size(F.array_intersect("one", "apart"))
+    return (
+        differences.join(materialize(typical, "cores"), "root")
+        .where(F.col("node") != F.col("core"))
+        .where(differ <= _most_apart(percent, F.col("n") + F.col("n1")))
+        .select(F.col("core").alias("a"), F.col("node").alias("b"))
+    )
+
+
 def _group_pairs(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between components inside loose groups.
 
@@ -496,11 +548,18 @@ def similarity_components(
     texts = given.select("text")
     scanned = materialize(
         given.mapInArrow(
-            _scan_sets(words), "id long, c1 long, c2 int, n long, token long, count long"
+            _scan_sets(words),
+            "id long, c1 long, c2 int, n long, bits binary, token long, count long",
         ),
         "sets",
     )
     rows = scanned.where("n is not null").select("id", "c1", "c2", "n")
+    classes = materialize(
+        scanned.where("n > 0")
+        .groupBy("c1", "c2")
+        .agg(F.min("id").alias("least"), F.max("n").alias("n"), F.first("bits").alias("bits")),
+        "classes",
+    )
     total = rows.count()
     often = (
         scanned.where("token is not null")
@@ -523,11 +582,32 @@ def similarity_components(
     keys = materialize(
         shared.join(nodes, ["c1", "c2"]).select("key", "node", "n", "mark"), "node-keys"
     )
-    wanted = spark.sparkContext.broadcast(_filter_words(nodes))
+    bits = materialize(nodes.join(classes, ["c1", "c2"]).select("node", "n", "bits"), "bitmaps")
+    # Hubs gather loose groups: sets that may be near their hub, linked or not.
+    groups: DataFrame | None = None
+    edges: DataFrame | None = None
+    for turn in range(STAR_ROUNDS):
+        pairs = _star_pairs(_with_comp(keys, groups), percent, turn)
+        near = materialize(_possible(pairs, bits, percent - LOOSER), "near")
+        edges = near if edges is None else edges.unionByName(near)
+        groups = components(edges)
+    # Pairs of different groups that may be links.
+    pairs = _rest_pairs(_with_comp(keys, groups), percent)
+    rest = materialize(_possible(pairs, bits, percent), "rest")
+
+    needed = materialize(
+        groups.select("node")
+        .union(rest.select("a"))
+        .union(rest.select("b"))
+        .distinct()
+        .join(nodes, "node"),
+        "needed",
+    )
+    wanted = spark.sparkContext.broadcast(_filter_words(needed))
     signed = texts.mapInArrow(_scan_texts(words, wanted), "c1 long, c2 int, text string")
     first = Window.partitionBy("c1", "c2").orderBy("node")
     chosen = (
-        signed.join(nodes, ["c1", "c2"])
+        signed.join(needed, ["c1", "c2"])
         .withColumn("copy", F.row_number().over(first))
         .where("copy = 1")
         .select("node", "text")
@@ -535,32 +615,21 @@ def similarity_components(
     sets = materialize(
         chosen.mapInArrow(_scan_tokens(words), "node long, tokens array<long>"), "tokens"
     )
-
-    # Hubs gather loose groups: sets that are near their root, linked or not.
-    loose_percent = percent - LOOSER
-    tried: DataFrame | None = None
-    groups: DataFrame | None = None
-    for turn in range(STAR_ROUNDS):
-        pairs = _star_pairs(_with_comp(keys, groups), percent, turn)
-        found = materialize(_overlaps(pairs, sets), "overlaps")
-        tried = found if tried is None else tried.unionByName(found)
-        groups = components(tried.where(_reaches(loose_percent)).select("a", "b"))
-    # Pairs between groups are verified one by one.
-    pairs = _rest_pairs(_with_comp(keys, groups), percent)
-    pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    tried = tried.unionByName(materialize(_overlaps(pairs, sets), "overlaps"))
-    # Pairs within a group: with the root, then by what the members differ from it.
+    # Pairs between groups are verified one by one; members of a group are compared with its
+    # root, then with each other by what they differ from the root in.
     differences = materialize(_differences(groups, sets), "differences")
     apart = _most_apart(percent, F.col("n") + F.col("n_root"))
     rooted = differences.where((F.size("apart") <= apart) & (F.col("node") != F.col("root")))
-    links = tried.where(_reaches(percent)).select("a", "b").unionByName(
-        rooted.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    links = materialize(
+        _linked(rest, sets, percent)
+        .unionByName(rooted.select(F.col("root").alias("a"), F.col("node").alias("b")))
+        .unionByName(_core_links(differences, percent)),
+        "outer-links",
     )
     labels = components(links)
     inner = materialize(_group_pairs(differences, labels, percent), "inner-links")
     labels = components(links.unionByName(inner))
 
-    classes = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("least"))
     linked = nodes.join(labels, "node")
     comps = linked.join(classes, ["c1", "c2"]).groupBy("comp").agg(F.min("least").alias("component"))
     named = materialize(linked.join(comps, "comp").select("c1", "c2", "component"), "named")

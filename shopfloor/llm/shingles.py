@@ -129,3 +129,31 @@ def signatures(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
         digest = mix((total[sets.ends] - total[begin]) ^ (sets.ends - begin).astype(np.uint64))
         out.append(digest.view(np.int64))
     return out[0], (out[1] >> np.int64(32)).astype(np.int32)
+
+
+def bitmaps(sets: Sets) -> list[bytes]:
+    """Per set a bitmap of 2 to 4 bits per token: which low bits of hashes occur."""
+    out, first = [], 0
+    for last in sets.ends.tolist():
+        size = 1 << max(6, int(2 * (last - first) - 1).bit_length())
+        hit = np.zeros(size, dtype=bool)
+        hit[(sets.hashes[first:last] & np.uint64(size - 1)).astype(np.int64)] = True
+        out.append(np.packbits(hit, bitorder="little").tobytes())
+        first = last
+    return out
+
+
+def most_common(one: bytes, two: bytes, n1: int, n2: int) -> int:
+    """An upper bound of two sets' common tokens from their bitmaps and sizes.
+
+    Each bit that one bitmap alone has stands for a token that the other set lacks.
+    """
+    a, b = (np.frombuffer(x, dtype=np.uint64) for x in (one, two))
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    both = a & b
+    lacks1 = int(np.bitwise_count(a ^ both).sum())
+    lacks2 = int(np.bitwise_count(b ^ both).sum())
+    return min(n1 - lacks1, n2 - lacks2)
