@@ -54,6 +54,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_folder(folder: str) -> Iterator[str]:
+    """Put the scratch tables made inside below ``folder``, which stays."""
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[str]:
     """Remove the scratch tables made inside on leaving.
@@ -61,14 +71,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
     Results have to be written by then; a lazy one would lose its input.
     """
     folder = scratch_path(spark, "scope")
-    token = _scope.set(folder)
     try:
-        yield folder
+        with scratch_folder(folder):
+            yield folder
     finally:
-        _scope.reset(token)
-        context = spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
