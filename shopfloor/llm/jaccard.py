@@ -646,6 +646,69 @@ def similarity_components(
     )
 
 
+def one_of_each(
+    documents: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The row with the least id of each group of linked texts; texts without words stay.
+
+    Only texts of the one class that has that id travel, and of equal texts only the first
+    leaves the task that read it.
+    """
+    columns = documents.columns
+    found = materialize(
+        similarity_components(documents, words, percent, key, text), "components"
+    )
+    # Per group the class that holds its least id, and that id; nulls last.
+    classes = found.where("n > 0").groupBy("component", "c1", "c2").agg(F.min("id").alias("id"))
+    first = Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), "c1", "c2")
+    chosen = materialize(
+        classes.withColumn("place", F.row_number().over(first)).where("place = 1")
+        # Groups of which no text has an id share the name null; each class of them stays.
+        .unionByName(classes.where("component is null").withColumn("place", F.lit(1)))
+        .select(F.col("c1").alias("k1"), F.col("c2").alias("k2"))
+        .distinct(),
+        "chosen",
+    )
+    signed = documents.select(
+        F.struct(*columns).alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("id")
+    )
+    schema = T.StructType(
+        [
+            T.StructField("row", signed.schema["row"].dataType),
+            T.StructField("id", T.LongType()),
+            T.StructField("c1", T.LongType()),
+            T.StructField("c2", T.IntegerType()),
+            T.StructField("n", T.LongType()),
+        ]
+    )
+    rows = signed.select("row", "text", "id").mapInArrow(_sign(words), schema)
+    blank = rows.where("n = 0").select("row.*")
+    place = Window.partitionBy("c1", "c2").orderBy(F.col("id").asc_nulls_last())
+    kept = (
+        rows.where("n > 0")
+        .withColumn("place", F.row_number().over(place))
+        .where("place = 1")
+        .join(chosen, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")), "left_semi")
+    )
+    return kept.select("row.*").unionByName(blank)
+
+
+def _sign(words: int):
+    """(row, text, id) to (row, id, c1, c2, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, sets in shingles.slabs(batch.column(1), words):
+                c1, c2 = shingles.signatures(sets)
+                part = batch.slice(first, len(c1))
+                yield pa.record_batch(
+                    [part.column(0), part.column(2), *map(pa.array, (c1, c2, sets.sizes()))],
+                    ["row", "id", "c1", "c2", "n"],
+                )
+
+    return run
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under a 4-word shingle similarity of 0.85."""
     found = similarity_components(table(spark, sf_dir, "documents"), words=4, percent=85)
