@@ -682,15 +682,19 @@ def one_of_each(
         ]
     )
     rows = signed.select("row", "text", "id").mapInArrow(_sign(words), schema)
-    blank = rows.where("n = 0").select("row.*")
-    place = Window.partitionBy("c1", "c2").orderBy(F.col("id").asc_nulls_last())
-    kept = (
-        rows.where("n > 0")
+    # Rows without words are no copies of each other: each is a partition of its own.
+    alone = F.when(F.col("n") == 0, F.monotonically_increasing_id())
+    place = Window.partitionBy("c1", "c2", "alone").orderBy(F.col("id").asc_nulls_last())
+    firsts = (
+        rows.withColumn("alone", alone)
         .withColumn("place", F.row_number().over(place))
         .where("place = 1")
-        .join(chosen, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")), "left_semi")
     )
-    return kept.select("row.*").unionByName(blank)
+    return (
+        firsts.join(chosen, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")), "left")
+        .where((F.col("n") == 0) | F.col("k1").isNotNull())
+        .select("row.*")
+    )
 
 
 def _sign(words: int):
