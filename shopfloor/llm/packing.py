@@ -23,6 +23,7 @@ they occur; columns that are not named are not read; an empty table gives an emp
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,7 +42,7 @@ END_ID = 2
 # they go. The choice that needs the fewest sequences stays.
 CHOICES = ((1 / 3, 16), (1 / 3, 48), (1 / 4, 48), (1 / 8, 48), (1 / 2, 16))
 # Texts are handed to the tokenizer in lots of about so many characters.
-LOT_CHARS = 400_000
+LOT_CHARS = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -53,6 +54,55 @@ def default_tokenizer() -> str:
 # --- tokens --------------------------------------------------------------------------
 
 
+# What byte-level BPE splits texts by before it merges, for the characters of PLAIN.
+_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+"
+    rf"| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+"
+)
+_NOT_PLAIN = re.compile("[^\t-\r -~¡-ɏ]")
+# The ids of words are kept from text to text, up to so many words of at most so many characters.
+KEPT_WORDS = 500_000
+KEPT_CHARS = 64
+_kept: dict[str, dict[str, bytes]] = {}
+
+
+class WordwiseEncoder:
+    """The ids of texts, word by word: the tokenizer splits a text first and merges within words.
+
+    Words repeat, so each is handed to the tokenizer once and remembered. Texts with other
+    characters than those of Western European scripts go to the tokenizer as they are.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.kept = _kept.setdefault(path, {})
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(found.ids, dtype="<u4").tobytes()
+
+    def ids(self, texts: Sequence[str]) -> list[bytes]:
+        """Per text its ids as little-endian unsigned 32-bit numbers."""
+        different = dict.fromkeys(texts)
+        other = [t for t in different if _NOT_PLAIN.search(t)]
+        different.update(zip(other, self._encoded(other), strict=True))
+        words = {t: _WORDS.findall(t) for t, done in different.items() if done is None}
+        if len(self.kept) > KEPT_WORDS:
+            self.kept.clear()
+        new = list(set().union(*words.values()) - self.kept.keys())
+        self.kept.update(zip(new, self._encoded(new), strict=True))
+        for text, own in words.items():
+            different[text] = b"".join(map(self.kept.__getitem__, own))
+        for word in new:
+            if len(word) > KEPT_CHARS:
+                del self.kept[word]
+        return [different[t] for t in texts]
+
+
 def _lots(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     first, size = 0, 0
     for row, text in enumerate(texts):
@@ -79,25 +129,24 @@ def cut_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(tokenizer)
-        encoder.encode_special_tokens = True
+        encoder = WordwiseEncoder(tokenizer)
+        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for first, lot in _lots(texts):
                 rows, pieces, starts, lengths, ids = [], [], [], [], []
-                for row, found in enumerate(encoder.encode_batch_fast(lot, add_special_tokens=False), first):
-                    raw = np.array([*found.ids, end_id], dtype="<u4")
+                for row, found in enumerate(encoder.ids(lot), first):
+                    raw = found + end
+                    size = len(raw) // 4
                     start = 0
-                    stop = len(raw) % max_tokens or min(max_tokens, len(raw))
+                    stop = size % max_tokens or min(max_tokens, size)
                     number = 0
-                    while start < len(raw):
+                    while start < size:
                         rows.append(row)
                         pieces.append(number)
                         starts.append(start)
                         lengths.append(stop - start)
-                        ids.append(raw[start:stop].tobytes())
+                        ids.append(raw[4 * start : 4 * stop])
                         start, stop, number = stop, stop + max_tokens, number + 1
                 yield pa.record_batch(
                     [
