@@ -124,10 +124,15 @@ def job_steps(spark: SparkSession, source: str, target: str, trees: int) -> dict
 
 
 def main() -> None:
+    scratch = tempfile.TemporaryDirectory(prefix="shopfloor-bench-")
     spark = build_session(
         "shopfloor-bench",
         master=f"local[{CPUS}]",
-        extra={"spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g"},
+        extra={
+            "spark.sql.shuffle.partitions": CPUS,
+            "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": scratch.name,
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     wanted = set(sys.argv[1:])
@@ -144,7 +149,7 @@ def main() -> None:
         seconds[name] = min(timed(once) for _ in range(repeats))
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     if not wanted or "job" in wanted:
-        work = tempfile.mkdtemp(prefix="shopfloor-bench-")
+        work = f"{scratch.name}/job"
         write_inputs(spark, SF_DIR, f"{work}/in")
         job_steps(spark, f"{work}/in", f"{work}/rehearsal", 2)
         seconds |= job_steps(spark, f"{work}/in", f"{work}/out", 200)
@@ -162,6 +167,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    scratch.cleanup()
 
 
 if __name__ == "__main__":

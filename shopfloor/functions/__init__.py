@@ -3,6 +3,7 @@
 from shopfloor.functions.columns import (
     capability_grade,
     epoch_micros,
+    exact_sum,
     guarded_round,
     hash_bucket,
     spec_flag,
@@ -14,6 +15,7 @@ __all__ = [
     "ControlConstants",
     "capability_grade",
     "epoch_micros",
+    "exact_sum",
     "guarded_round",
     "hash_bucket",
     "spec_flag",

@@ -54,3 +54,8 @@ def hash_bucket(key: Sequence[Column], buckets: int = 100) -> Column:
     text = F.concat_ws("|", *[column.cast("string") for column in key])
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return (head % F.lit(buckets)).cast("int")
+
+
+def exact_sum(column: str) -> Column:
+    """The sum as a double, added up as decimals of six digits: any order gives the same."""
+    return F.sum(F.col(column).cast("decimal(28,6)")).cast("double")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions import guarded_round
-from shopfloor.operators.ordered import ONE_TASK_ROWS, with_running_total
+from shopfloor.operators.ordered import with_running_total
 
 
 def positive_rate(df: DataFrame, label: str = "label") -> DataFrame:
@@ -61,7 +61,7 @@ def roc_auc(
     label: str = "label",
     score: str = "score",
     digits: int | None = 6,
-    one_task_rows: int = ONE_TASK_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """One row: positives, negatives and the area under the ROC curve, ties as one half.
 
@@ -72,7 +72,7 @@ def roc_auc(
         F.count_if(F.col(label) == 1).alias("__pos"),
         F.count_if(F.col(label) != 1).alias("__neg"),
     )
-    ranked = with_running_total(by_score, ["__score"], "__neg", "__upto", one_task_rows)
+    ranked = with_running_total(by_score, ["__score"], "__neg", "__upto", pieces)
     # Exact for any count: wins may exceed what a bigint product can hold.
     beaten = F.col("__upto").cast("double") - F.col("__neg") / F.lit(2.0)
     pairs = F.col("n_positive").cast("double") * F.col("n_negative")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopfloor.functions import epoch_micros, guarded_round
 from shopfloor.operators.joins import join_on
-from shopfloor.operators.ordered import ONE_TASK_ROWS, with_next_mark
 from shopfloor.scratch import materialize
 
 HORIZON_HOURS = 6
@@ -37,12 +36,14 @@ def _slot(at: Column, horizon: int) -> Column:
 def _failure_slots(failures: DataFrame, machine: str, ts: str, horizon: int) -> DataFrame:
     """Per machine and slot of one horizon: bounds of its failures and of the next slot's.
 
+    A failure of an unknown machine is nobody's failure.
+
     A failure at most one horizon ahead lies in the reading's own slot or the next one,
     so each slot's first and last failure, and the next slot's first, decide the label.
     """
     at = epoch_micros(F.col(ts))
     per_slot = (
-        failures.where(F.col(ts).isNotNull())
+        failures.where(F.col(ts).isNotNull() & F.col(machine).isNotNull())
         .groupBy(machine, _slot(at, horizon).alias(SLOT))
         .agg(F.min(at).alias("__first"), F.max(at).alias("__last"))
     )
@@ -103,40 +104,45 @@ def next_failure(
     failures: DataFrame,
     machine: str = "machine_id",
     ts: str = "reading_ts",
-    tie_break: Sequence[str] = (),
     failure_ts: str = "downtime_start_ts",
     horizon_hours: float = HORIZON_HOURS,
     how: str = "inner",
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Each reading with its machine's next failure, at most one horizon ahead.
 
     Adds ``next_failure_ts`` and ``hours_to_failure``. ``how="inner"`` keeps readings
-    that have such a failure, ``how="left"`` keeps all. ``tie_break`` names columns
-    that tell apart readings of one machine at one time.
+    that have such a failure, ``how="left"`` keeps all. Unknown machines have none.
 
-    Slot bounds settle every reading except those between two failures of one slot;
-    only these go through the ordered search.
+    Readings and failures share one timeline per machine and slot of one horizon. The
+    first failure of a slot also stands at the end of the slot before, so the nearest
+    failure ahead within a slot's timeline is the answer: one shuffle, in which a
+    machine is spread over its slots.
     """
     horizon = int(horizon_hours * MICROS_PER_HOUR)
-    slotted = _with_slots(readings, failures, machine, ts, failure_ts, horizon)
-    at, first, last = F.col(AT), F.col("__first"), F.col("__last")
-    between = F.coalesce((at > first) & (at <= last), F.lit(False))
-    upcoming = F.when(F.col("__upcoming") <= at + F.lit(horizon), F.col("__upcoming"))
-    bound = F.when(at <= first, first).otherwise(upcoming)
-
-    columns = [*readings.columns, AT, "__next"]
-    settled = slotted.where(~between).withColumn("__next", bound).select(*columns)
-    searched = _search_next(
-        slotted.where(between).select(*readings.columns, AT),
-        failures,
-        machine,
-        tie_break,
-        failure_ts,
-        one_task_rows,
-    ).select(*columns)
-
-    found = settled.unionByName(searched)
+    at = epoch_micros(F.col(ts))
+    timed = readings.withColumn(AT, at).withColumn(SLOT, _slot(at, horizon))
+    failed = epoch_micros(F.col(failure_ts))
+    known = failures.where(F.col(failure_ts).isNotNull() & F.col(machine).isNotNull())
+    marks = known.select(machine, failed.alias("__mark"), _slot(failed, horizon).alias(SLOT))
+    ahead = marks.groupBy(machine, SLOT).agg(F.min("__mark").alias("__mark")).select(
+        machine, "__mark", (F.col(SLOT) - F.lit(horizon)).alias(SLOT)
+    )
+    marked = marks.distinct().unionByName(ahead).withColumn(AT, F.col("__mark"))
+    timeline = timed.withColumn("__is_mark", F.lit(0)).unionByName(
+        marked.withColumn("__is_mark", F.lit(1)), allowMissingColumns=True
+    )
+    # Descending, so the frame grows and each row is visited once.
+    upcoming = (
+        Window.partitionBy(machine, SLOT)
+        .orderBy(F.col(AT).desc(), F.col("__is_mark").desc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    nearest = F.min("__mark").over(upcoming)
+    found = (
+        timeline.withColumn("__next", nearest)
+        .where(F.col("__is_mark") == 0)
+        .withColumn("__next", F.when(F.col("__next") <= F.col(AT) + F.lit(horizon), F.col("__next")))
+    )
     if how == "inner":
         found = found.where(F.col("__next").isNotNull())
     hours = (F.col("__next") - F.col(AT)) / F.lit(MICROS_PER_HOUR)
@@ -146,32 +152,3 @@ def next_failure(
         stamp.alias("next_failure_ts"),
         guarded_round(hours, 6).alias("hours_to_failure"),
     )
-
-
-def _search_next(
-    open_readings: DataFrame,
-    failures: DataFrame,
-    machine: str,
-    tie_break: Sequence[str],
-    failure_ts: str,
-    one_task_rows: int,
-) -> DataFrame:
-    """Forward as-of join: readings and failures in one order, failures last in a tie."""
-    marks = (
-        failures.where(F.col(failure_ts).isNotNull())
-        .select(machine, epoch_micros(F.col(failure_ts)).alias(AT))
-        .distinct()
-        .withColumn("__mark", F.col(AT))
-    )
-    timeline = open_readings.withColumn("__is_mark", F.lit(0)).unionByName(
-        marks.withColumn("__is_mark", F.lit(1)), allowMissingColumns=True
-    )
-    searched = with_next_mark(
-        timeline,
-        [machine],
-        [AT, "__is_mark", *tie_break],
-        "__mark",
-        "__next",
-        one_task_rows,
-    )
-    return searched.where(F.col("__is_mark") == 0)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from shopfloor.functions import guarded_round, hash_bucket
 from shopfloor.operators.evaluation import classification_metrics, roc_auc, to_long
 from shopfloor.operators.joins import join_on
-from shopfloor.operators.ordered import ONE_TASK_ROWS, with_sequence
+from shopfloor.operators.ordered import with_sequence
 from shopfloor.scratch import materialize
 
 FEATURES = ("temperature_c", "vibration_mm_s", "pressure_psi")
@@ -47,25 +50,26 @@ def stratified_split(
     label: str = LABEL,
     test_fraction: float = 0.25,
     name: str = "is_test",
-    one_task_rows: int = ONE_TASK_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """``df`` plus 1 for test rows, the same share of each class to the row.
 
     Within a class the rows with the least key hashes form the test side. ``key`` has
-    to identify a row. Costs one sort; :func:`hash_split` costs none.
+    to identify a row. ``df`` is evaluated and written once, then sorted;
+    :func:`hash_split` costs neither.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
-    hashed = df.withColumn("__hash", F.md5(text))
+    hashed = materialize(df.withColumn("__hash", F.md5(text)), "split-input")
     ranked = with_sequence(
         hashed,
         [label],
         ["__hash", *key],
         df.columns,
         "__sequence",
-        one_task_rows,
+        pieces,
     )
     sizes = materialize(
-        df.groupBy(label).agg(F.round(F.count("*") * test_fraction).alias("__n_test")),
+        hashed.groupBy(label).agg(F.round(F.count("*") * test_fraction).alias("__n_test")),
         "class-sizes",
     )
     in_test = F.col("__sequence") < F.col("__n_test")
@@ -84,9 +88,9 @@ def split_balance(df: DataFrame, label: str = LABEL, split: str = "is_test") ->
 
 
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Balanced weight ``n / (k * n_c)`` of each of the k classes."""
+    """Balanced weight ``n / (k * n_c)`` of each of the k classes; NULL is no class."""
     counts = materialize(
-        df.groupBy(label).agg(F.count("*").alias("n_rows")), "class-counts"
+        df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n_rows")), "class-counts"
     )
     total = counts.agg(F.sum("n_rows")).scalar()
     classes = counts.agg(F.count("*")).scalar()
@@ -102,6 +106,14 @@ def with_class_weights(
     )
 
 
+def trainable(
+    df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with a label and all features, and the rest."""
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*features, label]])
+    return df.where(complete), df.where(~complete)
+
+
 def train_forest(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -111,22 +123,33 @@ def train_forest(
     min_leaf: int = 5,
     max_bins: int = 128,
     features_per_split: str = "1",
-    cache_node_ids: bool = True,
+    cache_node_ids: bool = False,
     seed: int = 42,
+    training_partitions: int = 16,
+    max_training_rows: int | None = None,
 ) -> PipelineModel:
     """Random forest with balanced class weights.
 
     ``features_per_split="1"`` tries one random feature per split, the integer square
-    root of three features. The training columns are written once, since fitting reads
-    them several times. ``cache_node_ids`` keeps each row's node per tree, which spares
-    walking every tree anew at every level at the price of four bytes per row and tree.
+    root of three features. Rows without label or with a missing feature are left out.
+    The training columns are written once, since fitting reads them several times.
+
+    MLlib draws its bootstrap samples per partition, so the rows are dealt into
+    ``training_partitions`` by their hash and sorted there: the model depends on the rows,
+    the seed and that number, not on the cluster. Raise it with the number of rows.
+    ``max_training_rows`` bounds the rows by their hash (in expectation).
+    ``cache_node_ids`` keeps each row's node per tree, which spares walking every tree anew
+    at every level at the price of four bytes per row and tree.
     """
-    rows = train.select(*features, F.col(label).cast("double").alias(label))
+    complete, _ = trainable(train, features, label)
+    rows = complete.select(*features, F.col(label).cast("double").alias(label))
+    if max_training_rows is not None:
+        share = min(1.0, max_training_rows / max(rows.count(), 1))
+        chosen = F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.lit(1_000_000))
+        rows = rows.where(chosen < round(share * 1_000_000))
     weighted = materialize(with_class_weights(rows, label), "training-rows")
-    cores = weighted.sparkSession.sparkContext.defaultParallelism
-    if weighted.rdd.getNumPartitions() < cores:
-        # Fitting passes over the rows many times; a small table would use few cores.
-        weighted = weighted.repartition(cores)
+    columns = weighted.columns
+    weighted = weighted.repartition(training_partitions, *columns).sortWithinPartitions(*columns)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     forest = RandomForestClassifier(
         featuresCol="features",
@@ -144,7 +167,10 @@ def train_forest(
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` plus the class-1 probability ``score`` and the hard ``prediction``."""
+    """``df`` plus the class-1 probability ``score`` and the hard ``prediction``.
+
+    Rows with a missing feature cannot be scored; see :func:`trainable`.
+    """
     return model.transform(df).select(
         *[F.col(c) for c in df.columns],
         vector_to_array("probability")[1].alias("score"),
@@ -173,10 +199,24 @@ def evaluation_metrics(
 
 
 def run_record(
-    metrics: DataFrame, run_name: str, params: dict[str, object]
+    metrics: DataFrame,
+    run_name: str,
+    params: dict[str, object],
+    started: datetime | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Long rows ``run_name, kind, name, value`` of one training run, ready to append."""
+    """Long rows of one training run, ready to append.
+
+    ``run_id, started_at, run_name, kind, name, value``; every call is a run of its own
+    unless ``run_id`` says otherwise.
+    """
     spark = metrics.sparkSession
+    run_id = run_id or uuid.uuid4().hex
+    started = started or datetime.now(UTC)
+    identity = [
+        F.lit(run_id).alias("run_id"),
+        F.lit(started.isoformat()).cast("timestamp").alias("started_at"),
+    ]
     given = spark.createDataFrame(
         [(run_name, "param", name, str(value)) for name, value in params.items()],
         "run_name string, kind string, name string, value string",
@@ -187,7 +227,7 @@ def run_record(
         F.col("metric").alias("name"),
         F.col("value").cast("string").alias("value"),
     )
-    return given.unionByName(measured)
+    return given.unionByName(measured).select(*identity, "*")
 
 
 def save_model(model: PipelineModel, root: str, name: str, version: int) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.functions import guarded_round
+from shopfloor.functions import exact_sum, guarded_round
 
 PLANNED_HOURS = 24.0
 
@@ -38,10 +38,10 @@ def downtime_daily(
 ) -> DataFrame:
     """Hours lost per machine, line and day; an event counts on the day it starts.
 
-    Rounded to six digits, which removes the noise of the order of addition.
+    Summed as decimals of six digits, so the order of addition does not matter.
     """
     return downtime.groupBy(machine, line, F.col(date).alias("production_date")).agg(
-        guarded_round(F.sum(hours), 6).alias("downtime_hours")
+        exact_sum(hours).alias("downtime_hours")
     )
 
 
@@ -61,13 +61,21 @@ def machine_daily_oee(
     """The gold fact: one row per machine-day that has quality rows.
 
     Days with downtime but without quality rows do not appear unless ``spine="full"``,
-    which gives them no units and an unknown quality rate. Both inputs are grouped on
+    which gives them no units and an unknown quality rate; units that are unknown for
+    another reason stay NULL. Both inputs are grouped on
     the join key, so the join reuses their partitioning.
     """
     how = {"quality": "left", "full": "full"}[spine]
+    filled = {"downtime_hours": 0.0}
+    if spine == "full":
+        daily_quality = daily_quality.withColumn("__measured", F.lit(True))
+    absent = F.col("__measured").isNull() if spine == "full" else F.lit(False)
+    units = ("units_measured", "units_in_spec")
     return (
         daily_quality.join(daily_downtime, [machine, line, "production_date"], how)
-        .fillna({"downtime_hours": 0.0, "units_measured": 0, "units_in_spec": 0})
+        .withColumns({c: F.when(absent, F.lit(0)).otherwise(F.col(c)) for c in units})
+        .drop("__measured")
+        .fillna(filled)
         .withColumn("planned_hours", F.lit(float(planned_hours)))
         .withColumn(
             "availability", availability(F.col("downtime_hours"), F.col("planned_hours"))

@@ -1,17 +1,17 @@
 """Exact ordered computations over keys of any size.
 
-A window over ``PARTITION BY line ORDER BY ts`` puts a whole line into one task, and
-a window without partitions puts everything there. That is the cheapest plan while the
-largest key is small, so each function first asks for the number of rows and, if that is
-large, for the size of the largest key: counts over one column. Beyond
-``one_task_rows`` it spreads the ordered sequence of a key over many tasks:
-
-1. rows are range-partitioned on (key, order), so a hot key is cut into many pieces
-   of similar size, and each piece is sorted and written once (:func:`lay_out`); their
-   number follows from the row count, so a piece fits a task at any scale;
+A window over ``PARTITION BY line ORDER BY ts`` puts a whole line into one task, and a
+window without partitions puts everything there. So the ordered sequence is always cut:
+
+1. rows are range-partitioned on (key, order), so a hot key is cut into many pieces of
+   similar size, and each piece is sorted and written once (:func:`lay_out`);
 2. one row per (key, piece) summarises the piece;
 3. the summaries, running over a key's pieces, give what each piece must add.
 
+The source is read twice, for the sample of the range partitioning and for the layout.
+``pieces`` sets the number of range partitions; without it the session's shuffle
+partitions hold, and adaptive execution joins small ones.
+
 ``order`` has to identify a row within its key (end it with an id, or with the file
 position columns of :func:`shopfloor.sources.readers.with_file_position`): rows that
 tie on all of it cannot be cut apart, and their sequence would be arbitrary.
@@ -32,28 +32,6 @@ PIECE = "__piece"
 SHIFT = "__shift"
 # monotonically_increasing_id keeps the partition number above these bits.
 ROW_BITS = 33
-# One task sorts this many narrow rows in some hundred MB.
-ONE_TASK_ROWS = 5_000_000
-
-
-def piece_count(df: DataFrame, key: Sequence[str], one_task_rows: int) -> int:
-    """How many pieces an ordered pass over ``df`` needs; 0 if every key fits one task.
-
-    The session's shuffle partitions are the least number; more rows than these can
-    take at ``one_task_rows`` each raise it. A limit of 0 asks for pieces in any case.
-    """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if one_task_rows <= 0:
-        return least
-    total = df.count()
-    if total <= one_task_rows:
-        return 0
-    pieces = max(least, -(-total // one_task_rows))
-    if not key:
-        return pieces
-    sizes = df.groupBy(*key).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0]
-    return 0 if largest <= one_task_rows else pieces
 
 
 def lay_out(
@@ -61,14 +39,14 @@ def lay_out(
     key: Sequence[str],
     order: Sequence[str],
     keep: Sequence[str],
-    pieces: int,
     label: str,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Write ``keep`` in (key, order) order, with a position that rises along it."""
     columns = [*key, *order]
     placed = (
         df.select(*dict.fromkeys([*columns, *keep]))
-        .repartitionByRange(pieces, *columns)
+        .repartitionByRange(*([pieces] if pieces else []), *columns)
         .sortWithinPartitions(*columns)
         .select(*keep, F.monotonically_increasing_id().alias(POSITION))
     )
@@ -91,17 +69,10 @@ def with_sequence(
     order: Sequence[str],
     keep: Sequence[str],
     name: str = "sequence",
-    one_task_rows: int = ONE_TASK_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """``keep`` columns plus each row's 0-based place within its key.
-
-    ``df`` is read up to three times, so pass a written table rather than a long plan.
-    """
-    pieces = piece_count(df, key, one_task_rows)
-    if not pieces:
-        whole = Window.partitionBy(*key).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(whole) - 1).select(*keep, name)
-    rows = lay_out(df, key, order, keep, pieces, "sequence")
+    """``keep`` columns plus each row's 0-based place within its key."""
+    rows = lay_out(df, key, order, [*dict.fromkeys([*keep, *key])], "sequence", pieces)
     summary = rows.groupBy(*key, PIECE).agg(
         F.min(POSITION).alias("first"), F.count("*").alias("n")
     )
@@ -121,7 +92,7 @@ def with_running_total(
     order: Sequence[str],
     value: str,
     name: str,
-    one_task_rows: int = ONE_TASK_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """``df`` plus the total of ``value`` over all rows up to and including each row.
 
@@ -129,11 +100,7 @@ def with_running_total(
     ``df`` is written first.
     """
     table = materialize(df, "running-input")
-    pieces = piece_count(table, [], one_task_rows)
-    if not pieces:
-        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return table.withColumn(name, F.sum(value).over(upto))
-    rows = lay_out(table, [], order, table.columns, pieces, "running")
+    rows = lay_out(table, [], order, table.columns, "running", pieces)
     summary = rows.groupBy(PIECE).agg(F.sum(value).alias("total"))
     before = F.coalesce(F.sum("total").over(_earlier_pieces([])), F.lit(0))
     shifts = materialize(summary.select(PIECE, before.alias(SHIFT)), "running-shifts")
@@ -146,48 +113,3 @@ def with_running_total(
         join_on(rows.withColumn("__within", F.sum(value).over(within)), shifts, [PIECE])
         .select(*table.columns, (F.col("__within") + F.col(SHIFT)).alias(name))
     )
-
-
-def with_next_mark(
-    df: DataFrame,
-    key: Sequence[str],
-    order: Sequence[str],
-    mark: str,
-    name: str,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """``df`` plus the nearest non-null ``mark`` at or after each row of its key.
-
-    ``mark`` must not fall along ``order`` (it is a copy of the leading order column
-    on the rows that carry one), so the nearest mark is the least one still ahead.
-    """
-    # Both windows descend with a growing frame: one pass, where a shrinking frame
-    # would be evaluated anew for every row.
-    pieces = piece_count(df, key, one_task_rows)
-    if not pieces:
-        ahead = (
-            Window.partitionBy(*key)
-            .orderBy(*[F.col(c).desc() for c in order])
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        return df.withColumn(name, F.min(mark).over(ahead))
-    rows = lay_out(df, key, order, df.columns, pieces, "next-mark")
-    summary = rows.groupBy(*key, PIECE).agg(F.min(mark).alias("least"))
-    later = (
-        Window.partitionBy(*key)
-        .orderBy(F.col(PIECE).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ahead = materialize(
-        summary.select(*key, PIECE, F.min("least").over(later).alias("__ahead")),
-        "next-mark-ahead",
-    )
-    within = (
-        Window.partitionBy(*key, PIECE)
-        .orderBy(F.col(POSITION).desc())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    marked = rows.withColumn("__within", F.min(mark).over(within))
-    return join_on(marked, ahead, [*key, PIECE]).select(
-        *df.columns, F.coalesce("__within", "__ahead").alias(name)
-    )

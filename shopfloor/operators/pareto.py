@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.functions import guarded_round
-from shopfloor.operators.ordered import ONE_TASK_ROWS, with_running_total
+from shopfloor.functions import exact_sum, guarded_round
+from shopfloor.operators.ordered import with_running_total
 from shopfloor.scratch import materialize
 
 
@@ -21,7 +21,7 @@ def downtime_pareto(
     by_reason = materialize(
         downtime.groupBy(reason).agg(
             F.count("*").alias("event_count"),
-            guarded_round(F.sum(hours), 2).alias("total_downtime_hours"),
+            guarded_round(exact_sum(hours), 2).alias("total_downtime_hours"),
         ),
         "downtime-by-reason",
     )
@@ -33,7 +33,7 @@ def downtime_pareto(
 
 
 def with_cumulative(
-    pareto: DataFrame, reason: str = "reason", one_task_rows: int = ONE_TASK_ROWS
+    pareto: DataFrame, reason: str = "reason", pieces: int | None = None
 ) -> DataFrame:
     """``pareto`` plus the running percentage down the list, largest first."""
     ranked = pareto.withColumn("__rank_key", -F.col("total_downtime_hours"))
@@ -42,7 +42,7 @@ def with_cumulative(
         ["__rank_key", reason],
         "pct_of_total_downtime",
         "__running",
-        one_task_rows,
+        pieces,
     )
     return (
         total.withColumn("cumulative_pct", guarded_round(F.col("__running") * 100, 2))

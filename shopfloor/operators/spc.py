@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions import CONTROL_CONSTANTS, guarded_round
 from shopfloor.operators.joins import join_on
-from shopfloor.operators.ordered import ONE_TASK_ROWS, with_sequence
+from shopfloor.operators.ordered import with_sequence
 from shopfloor.scratch import materialize
 
 SUBGROUP_SIZE = 5
@@ -23,7 +23,7 @@ def place(
     ts: str = "measured_ts",
     tie_break: Sequence[str] = ("machine_id",),
     value: str = "part_dimension_mm",
-    one_task_rows: int = ONE_TASK_ROWS,
+    pieces: int | None = None,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Each measurement's 0-based ``place`` within its line, in time order.
@@ -40,7 +40,7 @@ def place(
         order=list(dict.fromkeys([ts, *tie_break, value])),
         keep=[line, ts, value] if keep is None else keep,
         name="place",
-        one_task_rows=one_task_rows,
+        pieces=pieces,
     )
 
 
@@ -73,7 +73,7 @@ def subgroups(
     tie_break: Sequence[str] = ("machine_id",),
     value: str = "part_dimension_mm",
     size: int = SUBGROUP_SIZE,
-    one_task_rows: int = ONE_TASK_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Consecutive groups of ``size`` measurements per line, in time order.
 
@@ -82,7 +82,7 @@ def subgroups(
     ``size`` rows gives no row. See :func:`place` for the order and ``tie_break``.
     The result is written once, because limits and charts both read it.
     """
-    placed = place(measurements, line, ts, tie_break, value, one_task_rows)
+    placed = place(measurements, line, ts, tie_break, value, pieces)
     return materialize(group_placed(placed, line, ts, value, size), "subgroups")
 
 

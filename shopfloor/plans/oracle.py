@@ -29,7 +29,7 @@ QUALITY_DAILY = f"""
 DOWNTIME_DAILY = f"""
     SELECT user_id AS machine_id, user_id % 5 AS line_id,
            CAST(ts AS DATE) AS production_date,
-           {rounded("sum(value / 100)", 6)} AS downtime_hours
+           CAST(sum(CAST(value / 100 AS DECIMAL(28, 6))) AS DOUBLE) AS downtime_hours
     FROM events WHERE event_type = 'error' GROUP BY 1, 2, 3
 """
 DAYS_BEFORE_FILL = f"""
@@ -80,7 +80,7 @@ CAPABILITY = f"""
 """
 BY_REASON = f"""
     SELECT o_orderpriority AS reason, count(*) AS event_count,
-           {rounded("sum(o_totalprice)", 2)} AS total_downtime_hours
+           {rounded("CAST(sum(CAST(o_totalprice AS DECIMAL(28, 6))) AS DOUBLE)", 2)} AS total_downtime_hours
     FROM orders GROUP BY 1
 """
 PARETO = f"""
@@ -283,6 +283,28 @@ ORACLE: dict[str, str] = {
               FROM events)
         WHERE next_failure_ts IS NOT NULL
     """,
+    "next_failure_left": f"""
+        SELECT event_id, user_id, ts, next_failure_ts,
+               {rounded("CAST(epoch_us(next_failure_ts) - epoch_us(ts) AS DOUBLE) / 3.6e9", 6)}
+                   AS hours_to_failure
+        FROM (SELECT event_id, user_id, ts,
+                     min(CASE WHEN event_type = 'error' THEN ts END) OVER ({AHEAD})
+                         AS next_failure_ts
+              FROM events)
+    """,
+    # What holds for every fitted forest.
+    "rf_scores": f"""
+        SELECT event_id, label, true AS score_in_range, true AS prediction_agrees
+        FROM ({LABELLED}) WHERE {IS_TEST} = 1
+    """,
+    "rf_importance": """
+        SELECT unnest(['value', 'hour_of_day', 'k']) AS feature, true AS is_share,
+               CAST(1 AS DOUBLE) AS total
+    """,
+    "scan_dates": """
+        SELECT event_id, value, CAST(ts AS DATE) AS reading_date FROM events
+        WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'
+    """,
     "label_positive_rate": f"""
         SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive,
                {rounded("avg(label)", 6)} AS positive_rate
@@ -383,6 +405,6 @@ ORACLE: dict[str, str] = {
     ),
 }
 
-# The same results are due on the plans for large keys.
+# The same results are due whatever the number of pieces.
 for _name in ("spc_subgroups", "next_failure", "stratified_split", "roc_auc"):
     ORACLE[f"{_name}_in_pieces"] = ORACLE[_name]

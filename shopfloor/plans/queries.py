@@ -25,8 +25,7 @@ from shopfloor.operators import (
     silver,
     spc,
 )
-from shopfloor.operators.ordered import ONE_TASK_ROWS
-from shopfloor.scratch import scratch_path
+from shopfloor.scratch import materialize, scratch_path
 from shopfloor.sources.readers import read_parquet
 from shopfloor.sources.schemas import SERVED_MACHINE_DAILY_OEE, STG_MACHINE_DAILY_OEE
 from shopfloor.sources.writers import write_by_date
@@ -34,6 +33,8 @@ from shopfloor.sources.writers import write_by_date
 Query = Callable[[SparkSession, str], DataFrame]
 
 TARGET, TOLERANCE = 50.0, 30.0
+# For queries that set the number of pieces of an ordered pass.
+PIECES = 16
 USL, LSL = TARGET + TOLERANCE, TARGET - TOLERANCE
 FEATURES = ("value", "hour_of_day", "k")
 TABLES = (
@@ -174,6 +175,18 @@ def partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of some days, read from the folders of these days alone."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "value", F.to_date("ts").alias("reading_date")
+    )
+    path = scratch_path(spark, "events-by-date")
+    write_by_date(rows, path, "reading_date")
+    return read_parquet(
+        spark, path, schema=rows.schema, date="reading_date", start="2024-01-05", end="2024-01-11"
+    )
+
+
 # --- quality, downtime, OEE ----------------------------------------------------------
 
 
@@ -243,9 +256,9 @@ def spc_subgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spc_subgroups_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for lines too large for one task, as in the other ``in_pieces`` queries."""
+    """Cut into a given number of pieces, as in the other ``in_pieces`` queries."""
     rows = measurements(spark, sf_dir)
-    return _groups_shown(spc.subgroups(rows, tie_break=["event_id"], one_task_rows=0))
+    return _groups_shown(spc.subgroups(rows, tie_break=["event_id"], pieces=PIECES))
 
 
 def spc_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,17 +313,14 @@ def failure_horizon_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(spark, sf_dir)
 
 
-def next_failure(
-    spark: SparkSession, sf_dir: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def next_failure(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     return labels.next_failure(
         table(spark, sf_dir, "events").select("event_id", "user_id", "ts"),
         _failures(spark, sf_dir),
         machine="user_id",
         ts="ts",
-        tie_break=["event_id"],
         failure_ts="failure_ts",
-        one_task_rows=one_task_rows,
+        how=how,
     )
 
 
@@ -324,12 +334,10 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stratified_split(
-    spark: SparkSession, sf_dir: str, one_task_rows: int = ONE_TASK_ROWS
+    spark: SparkSession, sf_dir: str, pieces: int | None = None
 ) -> DataFrame:
     rows = labelled(spark, sf_dir).select("event_id", "label")
-    return model.stratified_split(
-        rows, ["event_id"], "label", one_task_rows=one_task_rows
-    )
+    return model.stratified_split(rows, ["event_id"], "label", pieces=pieces)
 
 
 def split_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,14 +354,12 @@ def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.classification_metrics(scored(spark, sf_dir), threshold=0.1)
 
 
-def roc_auc(
-    spark: SparkSession, sf_dir: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    return evaluation.roc_auc(scored(spark, sf_dir), one_task_rows=one_task_rows)
+def roc_auc(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
+    return evaluation.roc_auc(scored(spark, sf_dir), pieces=pieces)
 
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scored(spark, sf_dir)
+    rows = materialize(scored(spark, sf_dir), "scored")
     hard = evaluation.classification_metrics(rows, threshold=0.1, digits=None)
     area = evaluation.roc_auc(rows, digits=None)
     return evaluation.to_long(
@@ -361,21 +367,31 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(evaluation.to_long(area.select("roc_auc")))
 
 
-def rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_rows(spark, sf_dir)
-    fitted = model.train_forest(
-        rows.where(F.col("is_test") == 0), FEATURES, "label", trees=20
+def rf_scores(spark: SparkSession, sf_dir: str, trees: int = 200) -> DataFrame:
+    """Every test event once, with its label and whether score and prediction agree."""
+    rows = materialize(training_rows(spark, sf_dir), "forest-rows")
+    train, test = rows.where("is_test = 0"), rows.where("is_test = 1")
+    fitted = model.train_forest(train, FEATURES, "label", trees=trees)
+    complete, _ = model.trainable(test, FEATURES, "label")
+    return model.score(fitted, complete).select(
+        "event_id",
+        "label",
+        F.col("score").between(0, 1).alias("score_in_range"),
+        ((F.col("score") > 0.5).cast("int") == F.col("prediction")).alias("prediction_agrees"),
     )
-    scores = model.score(fitted, rows.where(F.col("is_test") == 1))
-    return scores.select("event_id", "label", "score", "prediction")
 
 
-def rf_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_rows(spark, sf_dir)
-    fitted = model.train_forest(
-        rows.where(F.col("is_test") == 0), FEATURES, "label", trees=20
+def rf_importance(spark: SparkSession, sf_dir: str, trees: int = 200) -> DataFrame:
+    """Every feature with whether its importance is a share, and their sum."""
+    rows = training_rows(spark, sf_dir).where("is_test = 0")
+    fitted = model.train_forest(rows, FEATURES, "label", trees=trees)
+    found = model.feature_importance(spark, fitted, FEATURES)
+    total = found.agg(F.round(F.sum("importance"), 6)).first()[0]
+    return found.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("is_share"),
+        F.lit(total).alias("total"),
     )
-    return model.feature_importance(spark, fitted, FEATURES)
 
 
 # --- data tests, conformance, audit --------------------------------------------------
@@ -429,9 +445,8 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.conform_violations(
-        _conformed(spark, sf_dir), SERVED_MACHINE_DAILY_OEE
-    )
+    served = materialize(_conformed(spark, sf_dir), "served")
+    return conform.conform_violations(served, SERVED_MACHINE_DAILY_OEE)
 
 
 def row_count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "silver_dedup": silver_dedup,
     "scan_pruned": scan_pruned,
     "partitioned_scan": partitioned_scan,
+    "scan_dates": scan_dates,
     "spec_flag": spec_flags,
     "quality_daily": quality_daily,
     "downtime_daily": downtime_daily,
@@ -463,16 +479,17 @@ QUERIES: dict[str, Query] = {
     "downtime_pareto_cumulative": downtime_pareto_cumulative,
     "failure_horizon_label": failure_horizon_label,
     "next_failure": next_failure,
-    "next_failure_in_pieces": partial(next_failure, one_task_rows=0),
+    "next_failure_in_pieces": next_failure,
+    "next_failure_left": partial(next_failure, how="left"),
     "label_positive_rate": label_positive_rate,
     "hash_split": hash_split,
     "stratified_split": stratified_split,
-    "stratified_split_in_pieces": partial(stratified_split, one_task_rows=0),
+    "stratified_split_in_pieces": partial(stratified_split, pieces=PIECES),
     "split_balance": split_balance,
     "class_weights": class_weights,
     "classification_metrics": classification_metrics,
     "roc_auc": roc_auc,
-    "roc_auc_in_pieces": partial(roc_auc, one_task_rows=0),
+    "roc_auc_in_pieces": partial(roc_auc, pieces=PIECES),
     "metrics_long": metrics_long,
     "rf_scores": rf_scores,
     "rf_importance": rf_importance,

@@ -18,6 +18,8 @@ what it made.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,7 +35,10 @@ _scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="shopfloor-")
+    """A folder of this process for local runs without setting; it goes when they end."""
+    folder = tempfile.mkdtemp(prefix="shopfloor-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 FILE_POSITION = ("source_file", "source_row")
+ARRIVAL = ("arrived_at", "source_file", "source_block", "source_row")
 
 
 def read_csv(
@@ -61,11 +62,23 @@ def read_parquet(
     return df if columns is None else df.select(*columns)
 
 
+def with_arrival(df: DataFrame) -> DataFrame:
+    """A scan of text files plus where each row came from, in the order of arrival.
+
+    Files follow by modification time, then path; within a file the blocks by their start,
+    and within a block the rows as they stand. Add it where the files are read and store
+    it: what is written from them no longer tells.
+    """
+    names = ("file_modification_time", "file_path", "file_block_start")
+    placed = [F.col(f"_metadata.{n}").alias(a) for n, a in zip(names, ARRIVAL, strict=False)]
+    return df.select("*", *placed, F.monotonically_increasing_id().alias(ARRIVAL[-1]))
+
+
 def with_file_position(df: DataFrame) -> DataFrame:
     """A Parquet scan plus each row's file and its place in that file.
 
-    The pair identifies a row, survives retries, and follows the order of arrival, so
-    it completes an order whose columns may tie.
+    The pair identifies a row and survives retries, so it completes an order whose columns
+    may tie. It says nothing about the order of arrival; see :func:`with_arrival`.
     """
     file_column, row_column = FILE_POSITION
     return df.select(

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         master="local[4]",
         extra={
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

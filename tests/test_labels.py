@@ -75,13 +75,10 @@ def test_label_against_brute_force(dense):
     }
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_next_failure_against_brute_force(dense, one_task_rows, how):
+def test_next_failure_against_brute_force(dense, how):
     readings, failures, df, marks = dense
-    found = labels.next_failure(
-        df, marks, tie_break=["id"], how=how, one_task_rows=one_task_rows
-    ).collect()
+    found = labels.next_failure(df, marks, how=how).collect()
     expected = expected_next(readings, failures)
     if how == "inner":
         expected = {i: ts for i, ts in expected.items() if ts is not None}
@@ -97,4 +94,11 @@ def test_no_failures(dense):
     _, _, df, marks = dense
     none = marks.where("false")
     assert labels.failure_horizon_label(df, none).where("will_fail_within_6h = 1").count() == 0
-    assert labels.next_failure(df, none, tie_break=["id"]).count() == 0
+    assert labels.next_failure(df, none).count() == 0
+
+
+def test_unknown_machines_do_not_match(spark):
+    df = spark.sql("select 1 id, cast(null as string) machine_id, timestamp'2026-07-01 00:00:00' reading_ts")
+    marks = spark.sql("select cast(null as string) machine_id, timestamp'2026-07-01 01:00:00' downtime_start_ts")
+    assert labels.failure_horizon_label(df, marks).first().will_fail_within_6h == 0
+    assert labels.next_failure(df, marks, how="left").first().next_failure_ts is None

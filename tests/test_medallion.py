@@ -79,7 +79,7 @@ def test_contents(spark, run):
     assert dict(served.dtypes)["out_of_control"] == "boolean"
     violations = spark.read.parquet(f"{target}/checks/served_violations")
     assert violations.where("failures > 0").count() == 0
-    tests = spark.read.parquet(f"{target}/checks/staging", f"{target}/checks/marts")
+    tests = spark.read.parquet(f"{target}/checks/staging/*", f"{target}/checks/marts/*")
     assert tests.count() == 7
     assert tests.where("should_error").count() == 0
     chart = spark.read.option("header", True).csv(f"{target}/export/spc_control_chart_data")
@@ -102,6 +102,9 @@ def test_rerun_overwrites(spark, run):
     assert found == {k: v for k, v in counts.items() if k in found}
     runs = spark.read.parquet(f"{target}/model_runs")
     assert runs.select("run_name").distinct().count() == 2
+    assert runs.select("run_id", "started_at").distinct().count() == 2
+    scores = spark.read.parquet(f"{target}/gold/failure_scores")
+    assert {"machine_id", "reading_ts", "score"} <= set(scores.columns)
 
 
 def test_threads_share_the_scratch_scope(spark):
@@ -126,4 +129,37 @@ def test_gate_blocks_the_marts(spark, run, tmp_path):
     broken = days.selectExpr("* except (machine_id)", "cast(null as string) machine_id")
     with pytest.raises(DataCheckError, match="not_null_stg_machine_daily_oee_machine_id"):
         medallion.build_marts(broken, stops, str(tmp_path))
-    assert not (tmp_path / "marts").exists()
+    # The other mart has nothing to do with the broken table.
+    assert sorted(p.name for p in (tmp_path / "marts").iterdir()) == ["fct_downtime_pareto"]
+    unknown = stops.selectExpr("* except (machine_id)", "cast(null as string) machine_id")
+    with pytest.raises(DataCheckError, match="not_null_stg_downtime_events_machine_id"):
+        medallion.build_marts(days, unknown, str(tmp_path / "2"))
+    assert sorted(p.name for p in (tmp_path / "2/marts").iterdir()) == ["fct_line_oee"]
+
+
+def test_failed_marts_do_not_stop_the_model(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_inputs(source)
+    # A line without spread has no Cpk, which its served table demands.
+    flat = ["machine_id,line_id,measured_ts,part_dimension_mm,in_spec"]
+    flat += [f"M1,LINE-A,{(START + timedelta(hours=i)).isoformat()},50.0,1" for i in range(20)]
+    (source / "quality_measurements.csv").write_text("\n".join(flat) + "\n")
+    settings = medallion.Settings(trees=3, max_depth=2, min_leaf=1)
+    with pytest.raises(DataCheckError, match="process_capability"):
+        medallion.run_medallion(spark, str(source), str(tmp_path / "out"), settings)
+    served = {p.name for p in (tmp_path / "out/served").iterdir()}
+    assert served == {"fct_machine_daily_oee", "spc_control_chart_data"}
+    assert (tmp_path / "out/models/predictive-maintenance/1").exists()
+
+
+def test_every_bronze_row_is_accounted_for(spark, run):
+    _, target, counts = run
+    lost = spark.read.parquet(f"{target}/checks/lost_rows").collect()
+    found = {(r.table_name, r.reason): r.rows for r in lost}
+    assert found[("quality_measurements", "duplicate")] == 1
+    assert found[("quality_measurements", "unparsable")] == 1
+    assert found[("quality_measurements", "no_value")] == 0
+    for name in ("sensor_readings", "quality_measurements", "downtime_events", "shift_log"):
+        out = sum(n for (t, reason), n in found.items() if t == name and reason != "no_value")
+        assert counts[f"bronze.{name}"] == counts[f"silver.{name}"] + out

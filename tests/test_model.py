@@ -13,12 +13,12 @@ def scored(spark):
     return spark.createDataFrame(F7, "label int, score double")
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_hand_computed_metrics(scored, one_task_rows):
+@pytest.mark.parametrize("pieces", [7, None])
+def test_hand_computed_metrics(scored, pieces):
     row = evaluation.classification_metrics(scored).first()
     assert (row.tp, row.fp, row.fn, row.tn) == (1, 1, 1, 2)
     assert (row.precision, row.recall, row.f1_score) == (0.5, 0.5, 0.5)
-    area = evaluation.roc_auc(scored, one_task_rows=one_task_rows).first()
+    area = evaluation.roc_auc(scored, pieces=pieces).first()
     assert (area.n_positive, area.n_negative, area.roc_auc) == (2, 3, 0.75)
 
 
@@ -29,15 +29,15 @@ def test_zero_denominators(spark):
     assert evaluation.roc_auc(df).first().roc_auc is None
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_auc_against_all_pairs(spark, one_task_rows):
+@pytest.mark.parametrize("pieces", [7, None])
+def test_auc_against_all_pairs(spark, pieces):
     rng = random.Random(3)
     rows = [(rng.randint(0, 1), rng.randint(0, 40) / 40) for _ in range(400)]
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
     df = spark.createDataFrame(rows, "label int, score double")
-    area = evaluation.roc_auc(df, digits=None, one_task_rows=one_task_rows).first()
+    area = evaluation.roc_auc(df, digits=None, pieces=pieces).first()
     assert area.roc_auc == pytest.approx(wins / len(pos) / len(neg))
 
 
@@ -83,9 +83,9 @@ def test_time_split(spark):
     assert [r.is_test for r in split.collect()] == [0, 0, 1, 1]
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 100_000])
-def test_stratified_split_is_exact(readings, one_task_rows):
-    split = model.stratified_split(readings, ["id"], one_task_rows=one_task_rows)
+@pytest.mark.parametrize("pieces", [7, None])
+def test_stratified_split_is_exact(readings, pieces):
+    split = model.stratified_split(readings, ["id"], pieces=pieces)
     balance = {r.is_test: (r.n_rows, r.n_positive) for r in model.split_balance(split).collect()}
     sizes = dict(readings.groupBy(model.LABEL).count().collect())
     # Half up, as the rows of a class are counted.
@@ -116,7 +116,36 @@ def test_forest_recovers_the_signal(spark, readings, tmp_path):
 def test_run_record(spark):
     metrics = spark.createDataFrame([("roc_auc", 0.9)], "metric string, value double")
     found = model.run_record(metrics, "run-1", {"trees": 200}).collect()
-    assert [tuple(r) for r in found] == [
+    assert len({(r.run_id, r.started_at) for r in found}) == 1
+    assert [tuple(r)[2:] for r in found] == [
         ("run-1", "param", "trees", "200"),
         ("run-1", "metric", "roc_auc", "0.9"),
     ]
+
+
+def test_forest_does_not_depend_on_the_number_of_cores(readings):
+    """The rows' arrangement and the default parallelism play no part."""
+    importances = []
+    for arranged in (readings.coalesce(1), readings.repartition(9, "id")):
+        fitted = model.train_forest(arranged, trees=5, max_depth=4)
+        importances.append(fitted.stages[-1].featureImportances.toArray().tolist())
+    assert importances[0] == importances[1]
+
+
+def test_incomplete_rows_are_left_out(spark):
+    rows = [(1.0, 0), (2.0, 0), (8.0, 1), (9.0, 1), (None, 1), (3.0, None)] * 10
+    df = spark.createDataFrame(rows, "x double, label int")
+    complete, rest = model.trainable(df, ["x"], "label")
+    assert (complete.count(), rest.count()) == (40, 20)
+    weights = {r.label: r.weight for r in model.class_weights(df, "label").collect()}
+    assert weights == {0: pytest.approx(50 / 40), 1: pytest.approx(50 / 60)}
+    fitted = model.train_forest(df, ["x"], "label", trees=3, max_depth=2, min_leaf=1)
+    assert model.score(fitted, complete).count() == 40
+
+
+def test_training_rows_are_bounded_by_hash(readings):
+    once = model.train_forest(readings, trees=2, max_depth=2, max_training_rows=500)
+    again = model.train_forest(readings.repartition(5), trees=2, max_depth=2, max_training_rows=500)
+    # All but the first line, which holds the fit's own name.
+    trees = [m.stages[-1].toDebugString.partition("\n")[2] for m in (once, again)]
+    assert trees[0] == trees[1]

@@ -80,15 +80,15 @@ PARETO = [
 ]
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_pareto(spark, one_task_rows):
+@pytest.mark.parametrize("pieces", [7, None])
+def test_pareto(spark, pieces):
     events = []
     for reason, n, hours, _, _ in PARETO:
         events += [(reason, 0.5)] * (n - 1) + [(reason, round(hours - 0.5 * (n - 1), 2))]
     df = spark.createDataFrame(events, "reason string, downtime_hours double")
     table = pareto.downtime_pareto(df)
     assert [tuple(r) for r in table.collect()] == [row[:4] for row in PARETO]
-    running = pareto.with_cumulative(table, one_task_rows=one_task_rows).collect()
+    running = pareto.with_cumulative(table, pieces=pieces).collect()
     assert [r.cumulative_pct for r in running] == pytest.approx(
         [row[4] for row in PARETO], abs=0.011
     )
@@ -113,3 +113,25 @@ def test_guarded_round_lifts_ties(spark):
         -0.9584,
         0.0,
     ]
+
+
+def test_pareto_does_not_depend_on_partitions(spark):
+    hours = F.round(F.pmod(F.hash("id"), 10**9) / 100 + 1e7, 2)
+    stops = spark.range(200_000).select((F.col("id") % 3).cast("string").alias("reason"), hours.alias("downtime_hours"))
+    found = [
+        sorted(map(tuple, pareto.downtime_pareto(stops.repartition(n)).collect())) for n in (1, 3, 8)
+    ]
+    assert found[0] == found[1] == found[2]
+
+
+def test_unknown_units_stay_unknown(spark):
+    day = "date'2026-07-01'"
+    quality = spark.sql(f"select 'M1' machine_id, 'A' line_id, {day} measured_date, cast(null as int) in_spec")
+    stops = spark.sql(f"select 'M2' machine_id, 'A' line_id, {day} downtime_date, 2.0D downtime_hours")
+    for spine, machines in (("quality", 1), ("full", 2)):
+        days = oee.machine_daily_oee(oee.quality_daily(quality), oee.downtime_daily(stops), spine=spine)
+        rows = {r.machine_id: r for r in days.collect()}
+        assert len(rows) == machines
+        assert rows["M1"].units_in_spec is None and rows["M1"].quality_rate is None
+        assert rows["M1"].downtime_hours == 0
+    assert (rows["M2"].units_measured, rows["M2"].units_in_spec) == (0, 0)

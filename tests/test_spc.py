@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions import capability_grade
 from shopfloor.operators import spc
-from shopfloor.operators.ordered import PIECE, lay_out, piece_count
+from shopfloor.operators.ordered import PIECE, lay_out
 
 START = datetime(2026, 7, 1)
 SCHEMA = "line_id string, machine_id string, measured_ts timestamp, part_dimension_mm double"
@@ -20,14 +20,14 @@ def line_rows(line, values, machine="M1", step=10):
     ]
 
 
-@pytest.fixture(params=[0, spc.ONE_TASK_ROWS], ids=["pieces", "one-task"])
+@pytest.fixture(params=[7, None], ids=["pieces", "default"])
 def plan(request):
     return request.param
 
 
 def test_hand_computed_chart(spark, plan):
     df = spark.createDataFrame(line_rows("L", F1), SCHEMA)
-    groups = spc.subgroups(df, one_task_rows=plan)
+    groups = spc.subgroups(df, pieces=plan)
     found = groups.orderBy("subgroup_index").collect()
     assert [r.xbar for r in found] == pytest.approx([50.0, 50.5])
     assert [r.range for r in found] == pytest.approx([0.4, 0.2])
@@ -51,14 +51,14 @@ def test_hand_computed_chart(spark, plan):
 
 def test_short_and_constant_lines(spark, plan):
     rows = line_rows("short", [50.0] * 4) + line_rows("flat", [50.1] * 15)
-    groups = spc.subgroups(spark.createDataFrame(rows, SCHEMA), one_task_rows=plan)
+    groups = spc.subgroups(spark.createDataFrame(rows, SCHEMA), pieces=plan)
     report = spc.capability_report(groups).collect()
     assert [(r.line_id, r.n_subgroups, r.cpk) for r in report] == [("flat", 3, None)]
     assert {r.out_of_control for r in spc.control_chart(groups).collect()} == {0}
 
 
 def test_no_rows(spark, plan):
-    groups = spc.subgroups(spark.createDataFrame([], SCHEMA), one_task_rows=plan)
+    groups = spc.subgroups(spark.createDataFrame([], SCHEMA), pieces=plan)
     assert spc.control_chart(groups).count() == 0
 
 
@@ -86,7 +86,7 @@ def brute_force(rows, size=5):
 def test_ties_and_partitioning_do_not_matter(spark, plan, partitions):
     rows = tied_rows()
     df = spark.createDataFrame(rows, SCHEMA).orderBy(F.rand(partitions))
-    found = spc.subgroups(df.repartition(partitions), one_task_rows=plan).collect()
+    found = spc.subgroups(df.repartition(partitions), pieces=plan).collect()
     expected = brute_force(rows)
     assert {(r.line_id, r.subgroup_index) for r in found} == set(expected)
     for r in found:
@@ -100,14 +100,14 @@ def test_incomplete_tie_break_is_still_deterministic(spark, plan):
     results = []
     for seed in (1, 2):
         df = spark.createDataFrame(rows, SCHEMA).orderBy(F.rand(seed)).repartition(5)
-        found = spc.subgroups(df, one_task_rows=plan).orderBy("subgroup_index")
+        found = spc.subgroups(df, pieces=plan).orderBy("subgroup_index")
         results.append([(r.xbar, r.range) for r in found.collect()])
     assert results[0] == results[1] == [(5.0 * i + 2, 4.0) for i in range(8)]
 
 
 def test_null_line_is_a_line_and_null_value_is_skipped(spark, plan):
     rows = line_rows(None, [50.0, None, 50.1, 50.2, 50.3, 50.4])
-    groups = spc.subgroups(spark.createDataFrame(rows, SCHEMA), one_task_rows=plan)
+    groups = spc.subgroups(spark.createDataFrame(rows, SCHEMA), pieces=plan)
     assert [r.xbar for r in groups.collect()] == pytest.approx([50.2])
     assert spc.control_chart(groups).count() == 1
 
@@ -117,21 +117,12 @@ def test_hot_line_spreads_over_pieces(spark):
     df = spark.range(4000).select(
         F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("line"), "id"
     )
-    laid = lay_out(df, ["line"], ["id"], ["line", "id"], 8, "test")
+    laid = lay_out(df, ["line"], ["id"], ["line", "id"], "test", 8)
     pieces = laid.where("line = 'hot'").groupBy(PIECE).count().collect()
     assert len(pieces) >= 6
     assert max(p["count"] for p in pieces) < 1000
 
 
-def test_piece_count_follows_the_rows(spark):
-    df = spark.range(1000).selectExpr("id % 4 line", "id")
-    assert piece_count(df, ["line"], 250) == 0
-    assert piece_count(df, ["line"], 249) == 5
-    assert piece_count(df, ["line"], 10) == 100
-    assert piece_count(df, ["line"], 0) == 4
-    assert piece_count(df.where("false"), [], 10) == 0
-
-
 def test_frozen_limits(spark):
     df = spark.createDataFrame(line_rows("L", F1), SCHEMA)
     frozen = spark.createDataFrame(
