@@ -180,7 +180,38 @@ def _conform_violations() -> str:
     return " UNION ALL ".join(rules)
 
 
+STOPS = """
+    SELECT 'M' || user_id AS machine_id, 'L' || (user_id % 5) AS line_id,
+           ts AS downtime_start_ts, value / 100 AS downtime_hours,
+           'Equipment Failure' AS reason
+    FROM events WHERE event_type = 'error'
+"""
+
 ORACLE: dict[str, str] = {
+    "csv_scan": STOPS,
+    "csv_inferred": STOPS,
+    "staged_downtime": STOPS,
+    "streaming_silver": f"""
+        SELECT DISTINCT *, CAST(downtime_start_ts AS DATE) AS downtime_date FROM ({STOPS})
+    """,
+    "dedup_by_arrival": "SELECT event_id, value FROM events",
+    "served_chart": f"""
+        SELECT CAST(line_id AS VARCHAR) AS line_id, subgroup_start_ts,
+               CAST(CAST(xbar AS DECIMAL(8,4)) AS VARCHAR) AS xbar,
+               CAST(CAST("range" AS DECIMAL(8,4)) AS VARCHAR) AS range_val,
+               CAST(CAST(ucl_xbar AS DECIMAL(8,4)) AS VARCHAR) AS ucl_xbar,
+               CAST(CAST(lcl_xbar AS DECIMAL(8,4)) AS VARCHAR) AS lcl_xbar,
+               CAST(CAST(centerline_xbar AS DECIMAL(8,4)) AS VARCHAR) AS centerline_xbar,
+               out_of_control = 1 AS out_of_control
+        FROM ({CHART})
+    """,
+    "served_capability": f"""
+        SELECT CAST(line_id AS VARCHAR) AS line_id, CAST(n_subgroups AS INTEGER) AS n_subgroups,
+               CAST(CAST(cpk AS DECIMAL(6,3)) AS VARCHAR) AS cpk,
+               CAST(out_of_control_subgroups AS INTEGER) AS out_of_control_subgroups,
+               CAST(CAST(out_of_control_pct AS DECIMAL(6,4)) AS VARCHAR) AS out_of_control_pct
+        FROM ({CAPABILITY})
+    """,
     "silver_typed": """
         SELECT event_id, user_id, ts AS reading_ts, CAST(ts AS DATE) AS reading_date
         FROM events

@@ -26,9 +26,23 @@ from shopfloor.operators import (
     spc,
 )
 from shopfloor.scratch import materialize, scratch_path
-from shopfloor.sources.readers import read_parquet
-from shopfloor.sources.schemas import SERVED_MACHINE_DAILY_OEE, STG_MACHINE_DAILY_OEE
-from shopfloor.sources.writers import write_by_date
+from shopfloor.sources.readers import (
+    ARRIVAL,
+    read_csv,
+    read_parquet,
+    split_corrupt,
+    with_arrival,
+)
+from shopfloor.sources.schemas import (
+    DOWNTIME_EVENTS,
+    SERVED_CAPABILITY,
+    SERVED_CONTROL_CHART,
+    SERVED_MACHINE_DAILY_OEE,
+    STG_DOWNTIME_EVENTS,
+    STG_MACHINE_DAILY_OEE,
+)
+from shopfloor.sources.writers import write_by_date, write_csv
+from shopfloor.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +110,18 @@ def stops_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stops_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stops as the raw table of downtime events."""
+    rows = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    return rows.select(
+        F.concat(F.lit("M"), F.col("user_id")).alias("machine_id"),
+        F.concat(F.lit("L"), F.col("user_id") % 5).alias("line_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("downtime_start_ts"),
+        (F.col("value") / 100).alias("downtime_hours"),
+        F.lit("Equipment Failure").alias("reason"),
+    )
+
+
 def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
     return failed.select("user_id", F.col("ts").alias("failure_ts"))
@@ -187,6 +213,46 @@ def scan_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_scan(spark: SparkSession, sf_dir: str, declared: bool = True) -> DataFrame:
+    """Write the stops as CSV and read them back, with declared or inferred types."""
+    path = scratch_path(spark, "stops-csv")
+    rows = stops_as_raw(spark, sf_dir)
+    write_csv(rows, path, rows.columns)
+    read = read_csv(spark, path, DOWNTIME_EVENTS if declared else None)
+    if declared:
+        read, _ = split_corrupt(materialize(read, "stops-read"))
+    stamp = F.col("downtime_start_ts").cast("timestamp_ntz")
+    return read.withColumn("downtime_start_ts", stamp)
+
+
+def dedup_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event arrives twice, later with another value: the first one stays."""
+    rows = table(spark, sf_dir, "events").select("event_id", "value")
+    folder = scratch_path(spark, "arrivals")
+    for turn in range(2):
+        later = rows.withColumn("value", F.col("value") + 1000 * turn)
+        write_csv(later, f"{folder}/{turn}", later.columns)
+    schema = "event_id bigint, value double"
+    read = spark.read.schema(schema).option("header", True).csv(f"{folder}/*")
+    arrived = materialize(with_arrival(read), "arrived")
+    return silver.deduplicate(arrived, ["event_id"], ARRIVAL).select("event_id", "value")
+
+
+def streaming_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stops as a stream of CSV files, typed and free of copies, read from the sink."""
+    rows = stops_as_raw(spark, sf_dir)
+    source, sink = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    write_csv(rows.unionByName(rows), source, rows.columns)
+    key = ["machine_id", "downtime_start_ts", "downtime_hours"]
+    raw = ingest.read_csv_stream(spark, source, DOWNTIME_EVENTS)
+    clean = ingest.silver_stream(raw, "downtime_start_ts", "downtime_date", key)
+    checkpoint = scratch_path(spark, "stream-state")
+    ingest.start_parquet_sink(clean, sink, checkpoint, available_now=True).awaitTermination()
+    return spark.read.schema(clean.schema).parquet(sink).withColumn(
+        "downtime_start_ts", F.col("downtime_start_ts").cast("timestamp_ntz")
+    )
+
+
 # --- quality, downtime, OEE ----------------------------------------------------------
 
 
@@ -433,15 +499,37 @@ def staged_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.staged(machine_daily_oee(spark, sf_dir), STG_MACHINE_DAILY_OEE)
 
 
+def staged_downtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stops_as_raw(spark, sf_dir).withColumn("extra", F.lit("left behind"))
+    staged = conform.staged(rows, STG_DOWNTIME_EVENTS)
+    stamp = F.col("downtime_start_ts").cast("timestamp_ntz")
+    return staged.withColumn("downtime_start_ts", stamp)
+
+
+def served_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The control chart as served: renamed, flags as booleans, decimals shown as text."""
+    served = conform.conform(spc_control_chart(spark, sf_dir), SERVED_CONTROL_CHART)
+    stamp = F.col("subgroup_start_ts").cast("timestamp_ntz")
+    return _decimals_as_text(served).withColumn("subgroup_start_ts", stamp)
+
+
+def served_capability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    served = conform.conform(_capability(spark, sf_dir), SERVED_CAPABILITY)
+    return _decimals_as_text(served)
+
+
+def _decimals_as_text(served: DataFrame) -> DataFrame:
+    decimals = [f.name for f in served.schema if f.dataType.typeName() == "decimal"]
+    return served.withColumns({c: F.col(c).cast("string") for c in decimals})
+
+
 def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.conform(machine_daily_oee(spark, sf_dir), SERVED_MACHINE_DAILY_OEE)
 
 
 def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimals as text, which shows their scale as well as their value."""
-    served = _conformed(spark, sf_dir)
-    decimals = [f.name for f in served.schema if f.dataType.typeName() == "decimal"]
-    return served.withColumns({c: F.col(c).cast("string") for c in decimals})
+    return _decimals_as_text(_conformed(spark, sf_dir))
 
 
 def conform_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,6 +547,10 @@ QUERIES: dict[str, Query] = {
     "scan_pruned": scan_pruned,
     "partitioned_scan": partitioned_scan,
     "scan_dates": scan_dates,
+    "csv_scan": csv_scan,
+    "csv_inferred": partial(csv_scan, declared=False),
+    "dedup_by_arrival": dedup_by_arrival,
+    "streaming_silver": streaming_silver,
     "spec_flag": spec_flags,
     "quality_daily": quality_daily,
     "downtime_daily": downtime_daily,
@@ -498,6 +590,9 @@ QUERIES: dict[str, Query] = {
     "check_summary": check_summary,
     "pk_violations": pk_violations,
     "staged_projection": staged_projection,
+    "staged_downtime": staged_downtime,
+    "served_chart": served_chart,
+    "served_capability": served_capability,
     "conform_schema": conform_schema,
     "conform_violations": conform_violations,
     "row_count_audit": row_count_audit,
