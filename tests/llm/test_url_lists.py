@@ -1,0 +1,109 @@
+import random
+
+import duckdb
+from shopfloor.llm import url_lists
+
+CAPTURES = "page_id long, url string, day int, pattern string, period int"
+EVENTS = "list string, action string, pattern string, day int, added boolean"
+
+
+def plain(captures, events):
+    """Each capture against the state of every pattern on its day."""
+    state = {}
+    for name, action, pattern, day, added in events:
+        if None in (name, action, pattern, day, added):
+            continue
+        days = state.setdefault((name, action, pattern), {})
+        days[day] = days.get(day, True) and added
+    out = {}
+    for page_id, url, day in captures:
+        best, active = None, 0
+        rest = (url or "").partition("://")[2]
+        host, slash, path = rest.partition("/")
+        host = host.rpartition("@")[2].partition(":")[0].lower()
+        path = (slash + path).partition("?")[0].partition("#")[0]
+        steps = [s for s in path.split("/") if s]
+        for (name, action, pattern), days in state.items():
+            domain, cut, prefix = pattern.partition("/")
+            if not host or day is None or not (host == domain or host.endswith("." + domain)):
+                continue
+            wanted = prefix.split("/") if cut else []
+            if steps[: len(wanted)] != wanted:
+                continue
+            past = [d for d in days if d <= day]
+            if past and days[max(past)]:
+                active += 1
+                found = (len(pattern), action == "allow", pattern, name)
+                best = max(best, found) if best else found
+        out[(page_id, url, day)] = (active, best[2] if best else None, bool(best) and not best[1])
+    return out
+
+
+def check(spark, captures, events):
+    df = spark.createDataFrame([(*c, "x", 1) for c in captures], CAPTURES)
+    found = url_lists.evaluated(df, spark.createDataFrame(events, EVENTS)).collect()
+    expected = plain(captures, events)
+    assert {(r["page_id"], r["url"], r["day"]): (r["active"], r["matched"], r["blocked"]) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_against_plain_version(spark):
+    rng = random.Random(6)
+    hosts = ["a.example", "www.a.example", "b.c.a.example", "d.example", "example"]
+    paths = ["", "/", "/x", "/x/y", "/x/y/z.html", "/q"]
+    captures = [
+        (i, f"http://{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '?u=1', '#t'])}", rng.randrange(200))
+        for i in range(400)
+    ]
+    patterns = [h + p for h in hosts for p in ("", "/x", "/x/y", "/q")]
+    events = [
+        (rng.choice("lm"), rng.choice(["block", "block", "allow"]), rng.choice(patterns), rng.randrange(220), rng.random() < 0.6)
+        for _ in range(300)
+    ]
+    check(spark, captures, events)
+
+
+def test_odd_rows(spark):
+    captures = [
+        (1, None, 5),
+        (2, "no url", 5),
+        (3, "HTTP://User@A.Example:80/x", 5),
+        (3, "HTTP://User@A.Example:80/x", 5),
+        (4, "http://a.example/" + "s/" * 300, 5),
+        (None, "http://a.example/", 5),
+        (5, "http://a.example/", None),
+        (6, "http://a.example/", 3),
+    ]
+    events = [
+        ("l", "block", "a.example", 4, True),
+        ("l", "block", "a.example", 9, False),
+        ("l", "block", None, 1, True),
+        ("l", "allow", "a.example/s", 1, True),
+        ("l", "block", "a.example", 9, True),
+        ("m", "block", "b.example", None, True),
+    ]
+    check(spark, captures, events)
+
+
+def test_empty_tables(spark):
+    some = spark.createDataFrame([(1, "http://a.example/", 5, "x", 1)], CAPTURES)
+    events = spark.createDataFrame([("l", "block", "a.example", 1, True)], EVENTS)
+    assert url_lists.evaluated(some.where("false"), events).collect() == []
+    row = url_lists.evaluated(some, events.where("false")).first()
+    assert (row["active"], row["blocked"]) == (0, False)
+
+
+def test_intervals(spark):
+    events = [("l", "block", "p", d, a) for d, a in ((1, True), (4, True), (7, False), (7, True), (9, False), (12, True))]
+    rows = url_lists.intervals(spark.createDataFrame(events, EVENTS)).collect()
+    assert sorted((r["starts"], r["ends"]) for r in rows) == [(1, 7), (12, url_lists.NEVER)]
+
+
+def test_query_equals_sql(spark, sf_dir):
+    found = url_lists.op2_temporal_url_lists(spark, sf_dir)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
+    columns = ", ".join(found.columns)
+    expected = con.execute(f"SELECT {columns} FROM ({url_lists.ORACLE_OP2})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert any(r[-1] for r in expected) and not all(r[-1] for r in expected)
