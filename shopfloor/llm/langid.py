@@ -10,9 +10,11 @@ search per character; grams that no language has fall back through the context w
 next lower order, again by binary search.
 
 The language with the least cross-entropy per character wins. It is rejected if that
-cross-entropy lies beyond the language's cutoff, calibrated on the learning rows that are
-predicted as labelled: their median plus ``SLACK`` times the distance from there to their
-99.9 % quantile. Cross-entropies are counted in hundredths of a bit, so the quantiles cover
+cross-entropy lies beyond the language's cutoff. Cutoffs are calibrated on one part in
+``CALIBRATION`` of the learning rows, by hash of the text, which the models never see (a model
+knows its own texts too well), where they are predicted as labelled: their median plus ``SLACK`` times the distance from there to their
+99.9 % quantile, at least ``LEAST_BITS``, plus ``SHORT_BITS`` over the text's length, as a few
+characters tell little. Cross-entropies are counted in hundredths of a bit, so the quantiles cover
 all rows and merge by adding counts.
 
 Edge cases: a null text, one without letters and any text where nothing could be learned is
@@ -40,10 +42,13 @@ ORDER = 4
 MAX_GRAMS = 200_000
 MAX_LANGUAGES = 256
 SLACK = 2.0
+SHORT_BITS = 16.0
+CALIBRATION = 8
+LEAST_BITS = 1.5
 UNKNOWN = "und"
 # Texts are worked on in slabs of about so many characters.
 SLAB_CHARS = 1 << 20
-# Weight of the uniform distribution below the lowest order.
+# Least weight of the uniform distribution below the lowest order.
 UNIFORM_WEIGHT = 0.01
 ALPHABET = 1 << 16
 
@@ -130,8 +135,7 @@ class Model:
     def probability(self, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Per gram and language the interpolated probability of its last symbol."""
         if not order:
-            floor = UNIFORM_WEIGHT / ALPHABET
-            return np.full((len(packed), len(self.languages)), floor, dtype=np.float32)
+            return np.full((len(packed), len(self.languages)), 1 / ALPHABET, dtype=np.float32)
         level = self.levels[order - 1]
         out = np.empty((len(packed), len(self.languages)), dtype=np.float32)
         spot, known = _find(level.grams, packed)
@@ -262,7 +266,7 @@ def _score(model):
                         pa.array(bits),
                         pa.array(counts),
                     ],
-                    ["row", "lang", "learn", "lang_pred", "score", "bits", "chars"],
+                    ["row", "lang", "calibrates", "lang_pred", "score", "bits", "chars"],
                 )
 
     return run
@@ -276,19 +280,20 @@ def identified(
     lang: str = "lang",
 ) -> DataFrame:
     """Per row: ``row`` (a struct of ``keep``), ``lang_pred``, ``score``, ``bits``, ``accepted``."""
-    fitted = learned(documents, learn, text, lang)
+    calibrates = F.pmod(F.xxhash64(text), F.lit(CALIBRATION)) == 0
+    fitted = learned(documents, learn & ~calibrates, text, lang)
     model = documents.sparkSession.sparkContext.broadcast(fitted)
     given = documents.select(
         F.struct(*keep).alias("row"),
         F.col(text).alias("text"),
         F.col(lang).cast("string").alias("lang"),
-        F.coalesce(learn, F.lit(False)).alias("learn"),
+        F.coalesce(learn & calibrates, F.lit(False)).alias("calibrates"),
     )
     schema = T.StructType(
         [
             T.StructField("row", given.schema["row"].dataType),
             T.StructField("lang", T.StringType()),
-            T.StructField("learn", T.BooleanType()),
+            T.StructField("calibrates", T.BooleanType()),
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("bits", T.DoubleType()),
@@ -296,7 +301,7 @@ def identified(
         ]
     )
     scored = materialize(given.mapInArrow(_score(model), schema), "languages")
-    right = scored.where(F.col("learn") & (F.col("lang") == F.col("lang_pred")))
+    right = scored.where(F.col("calibrates") & (F.col("lang") == F.col("lang_pred")))
     steps = right.groupBy("lang_pred", F.floor(F.col("bits") * 100).alias("step")).agg(
         F.count("*").alias("n")
     )
@@ -305,13 +310,15 @@ def identified(
     summed = steps.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(own))
     middle = F.min(F.when(F.col("upto") * 2 >= F.col("all"), F.col("step")))
     upper = F.min(F.when(F.col("upto") * 1000 >= F.col("all") * 999, F.col("step")))
-    found = summed.groupBy("lang_pred").agg((middle + SLACK * (upper - middle) + 1).alias("cut"))
+    beyond = F.greatest(SLACK * (upper - middle), F.lit(100 * LEAST_BITS))
+    found = summed.groupBy("lang_pred").agg((middle + beyond).alias("cut"))
     # At most MAX_LANGUAGES rows.
     cuts = {row["lang_pred"]: row["cut"] / 100 for row in found.collect()}
     cutoff = F.lit(None).cast("double")
     for name, value in sorted(cuts.items()):
         cutoff = F.when(F.col("lang_pred") == name, value).otherwise(cutoff)
-    accepted = (F.col("lang_pred") != UNKNOWN) & (F.col("bits") <= F.coalesce(cutoff, F.lit(np.inf)))
+    allowed = F.coalesce(cutoff, F.lit(np.inf)) + SHORT_BITS / F.greatest("chars", F.lit(1))
+    accepted = (F.col("lang_pred") != UNKNOWN) & (F.col("bits") <= allowed)
     return scored.select("row", "lang_pred", "score", "bits", "chars", accepted.alias("accepted"))
 
 

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 from shopfloor.llm import langid
 
@@ -19,12 +21,10 @@ def test_probabilities_sum_to_one():
     packed, counts = langid.grams(texts)
     assert counts.sum() == len(packed)
     model = langid.kneser_ney(["x"], {"x": np.unique(packed, return_counts=True)})
-    letters = np.unique(packed & np.uint64(0xFFFF))
-    for context in np.unique(packed >> np.uint64(16))[:20]:
-        total = model.probability((context << np.uint64(16)) | letters).sum()
-        assert 0.98 <= total <= 1.0001
-    unseen = (np.uint64(0x7A7A7A) << np.uint64(16)) | letters
-    assert 0.98 <= model.probability(unseen).sum() <= 1.0001
+    symbols = np.arange(1 << 16, dtype=np.uint64)
+    for context in [*np.unique(packed >> np.uint64(16))[:20], np.uint64(0x7A007A007A)]:
+        total = model.probability((context << np.uint64(16)) | symbols).sum()
+        assert abs(total - 1) < 0.02
 
 
 def test_probability_equals_the_formula():
@@ -34,7 +34,7 @@ def test_probability_equals_the_formula():
 
     def plain(g: int, order: int, counted: dict[int, int]) -> float:
         if order == 0:
-            return langid.UNIFORM_WEIGHT / langid.ALPHABET
+            return 1 / langid.ALPHABET
         lower: dict[int, int] = {}
         for x in counted:
             low = x & ((1 << (16 * (order - 1))) - 1)
@@ -82,12 +82,13 @@ def test_gibberish_is_rejected_and_labels_are_no_input(make_documents):
     rng = np.random.default_rng(1)
     words = {"de": ["der", "und", "nicht", "haus"], "en": ["the", "and", "not", "house"]}
     rows = [
-        (i, " ".join(rng.choice(words[lang], 40)), lang, "s")
+        (i + 10, " ".join(rng.choice(words[lang], 40)), lang, "s")
         for i, lang in enumerate(["de", "en"] * 150)
     ]
-    rows += [(9000, "xqzw vkjq zzxq wvkp " * 20, "en", "s"), (9001, "der und nicht haus " * 10, "en", "s")]
+    odd = next(i for i in range(9000, 9100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    rows += [(odd, "xqzw vkjq zzxq wvkp " * 20, "en", "s"), (1, "der und nicht haus " * 10, "en", "s")]
     found = langid.identified(make_documents(rows), ~langid.held_out("doc_id"), keep=["doc_id"])
     by_id = {r["row"]["doc_id"]: r for r in found.collect()}
-    assert not by_id[9000]["accepted"]
-    assert by_id[9001]["lang_pred"] == "de"
+    assert not by_id[odd]["accepted"]
+    assert by_id[1]["lang_pred"] == "de"
     assert sum(not r["accepted"] for r in by_id.values()) == 1
