@@ -11,7 +11,7 @@ lists are all the driver collects.
 
 Edge cases: a null dimension takes cell 0; a null text counts as no bytes; repeated rows
 each get a place of their own (ties in every ordering column are interchangeable); an empty
-table gives an empty result. Columns that are not named stay behind, so extra ones cannot
+table gives an empty result. The columns of the input sit in a struct, so extra ones cannot
 clash.
 """
 
@@ -104,7 +104,7 @@ def hilbert_shards(
     law: str = "rows",
     bits: int = 6,
 ) -> DataFrame:
-    """``df`` plus ``curve_index``, ``shard`` and ``slot``, the place within the shard.
+    """Per row: ``row`` (a struct of ``df``), ``curve_index``, ``shard``, ``slot`` within the shard.
 
     ``law`` is "rows" (the shards' row counts differ by one at most) or "bytes" (their
     totals of ``size`` differ by no more than one row can). ``df`` is read several times:
@@ -112,32 +112,40 @@ def hilbert_shards(
     """
     if law not in LAWS:
         raise ValueError(f"law must be one of {LAWS}")
-    order = ["curve_index", *tie_break]
-    curved = hilbert_ordered(df, dimensions, bits)
-    ranked = materialize(with_rank(curved, order, "__rank", "curve"), "curve-ranked")
+    dims = [f"d{i}" for i in range(len(dimensions))]
+    ties = [f"t{i}" for i in range(len(tie_break))]
+    narrow = df.select(
+        F.struct("*").alias("row"),
+        F.col(size).alias("size"),
+        *[F.col(c).alias(d) for c, d in zip(dimensions, dims, strict=True)],
+        *[F.col(c).alias(t) for c, t in zip(tie_break, ties, strict=True)],
+    )
+    curved = hilbert_ordered(narrow, dims, bits).select("row", "size", "curve_index", *ties)
+    ranked = materialize(
+        with_rank(curved, ["curve_index", *ties], "rank", "curve"), "curve-ranked"
+    )
     if law == "rows":
         total = ranked.count()
-        shard = F.expr(f"(__rank * {shards}) div {max(total, 1)}").cast("int")
+        shard = F.expr(f"(rank * {shards}) div {max(total, 1)}").cast("int")
         first = F.expr(f"(cast(shard as bigint) * {total} + {shards - 1}) div {shards}")
         return ranked.withColumn("shard", shard).select(
-            *df.columns, "curve_index", "shard", (F.col("__rank") - first).alias("slot")
+            "row", "curve_index", "shard", (F.col("rank") - first).alias("slot")
         )
-    total = ranked.agg(F.sum(size)).first()[0] or 1
-    summed = with_total_before(ranked, ["__rank"], size, "__before", "curve-bytes")
-    shard = F.least(
-        F.expr(f"(__before * {shards}) div {total}"), F.lit(shards - 1)
-    ).cast("int")
+    total = ranked.agg(F.sum("size")).first()[0] or 1
+    summed = with_total_before(ranked, ["rank"], "size", "before", "curve-bytes")
+    shard = F.least(F.expr(f"(before * {shards}) div {total}"), F.lit(shards - 1)).cast("int")
     cut = materialize(summed.withColumn("shard", shard), "curve-cut")
-    firsts = cut.groupBy("shard").agg(F.min("__rank").alias("__first"))
+    firsts = cut.groupBy("shard").agg(F.min("rank").alias("first"))
     return cut.join(firsts, "shard").select(
-        *df.columns, "curve_index", "shard", (F.col("__rank") - F.col("__first")).alias("slot")
+        "row", "curve_index", "shard", (F.col("rank") - F.col("first")).alias("slot")
     )
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
     """Write one folder per shard, rows in slot order, for readers that prune by statistics."""
     (
-        sharded.repartitionByRange("shard", "slot")
+        sharded.select("row.*", "shard", "slot")
+        .repartitionByRange("shard", "slot")
         .sortWithinPartitions("shard", "slot")
         .write.partitionBy("shard")
         .parquet(path)
@@ -168,9 +176,9 @@ def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         law="rows",
     )
     return sharded.select(
-        "doc_id",
-        "size",
-        "text_crc32",
+        "row.doc_id",
+        "row.size",
+        "row.text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",

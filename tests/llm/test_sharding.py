@@ -58,8 +58,8 @@ def test_laws_on_odd_rows(odd_documents, law):
     if law == "rows":
         assert max(counts) - min(counts) <= 1
     else:
-        sizes = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(7)]
-        largest = max(r["size"] for r in rows)
+        sizes = [sum(r["row"]["size"] for r in rows if r["shard"] == s) for s in range(7)]
+        largest = max(r["row"]["size"] for r in rows)
         assert max(sizes) <= sum(sizes) / 7 + largest
 
 

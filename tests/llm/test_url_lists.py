@@ -19,9 +19,9 @@ def plain(captures, events):
     for page_id, url, day in captures:
         best, active = None, 0
         rest = (url or "").partition("://")[2]
+        rest = rest.partition("?")[0].partition("#")[0]
         host, slash, path = rest.partition("/")
         host = host.rpartition("@")[2].partition(":")[0].lower()
-        path = (slash + path).partition("?")[0].partition("#")[0]
         steps = [s for s in path.split("/") if s]
         for (name, action, pattern), days in state.items():
             domain, cut, prefix = pattern.partition("/")
