@@ -41,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,7 @@ from shopfloor.scratch import materialize
 
 FREQUENT_SHARE = 0.001
 # Runs of sets of about so many tokens report those they hold at least so often.
-RUN_TOKENS = 2_000_000
+RUN_TOKENS = 1_500_000
 RUN_LEAST = 4
 STAR_ROUNDS = 1
 # Loose groups hold sets whose bitmaps allow a similarity less than links by so many points.
@@ -669,9 +670,7 @@ def one_of_each(
         .distinct(),
         "chosen",
     )
-    signed = documents.select(
-        F.struct(*columns).alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("id")
-    )
+    signed = documents.select(F.struct(*columns).alias("row"), F.col(key).cast("long").alias("id"))
     schema = T.StructType(
         [
             T.StructField("row", signed.schema["row"].dataType),
@@ -681,7 +680,7 @@ def one_of_each(
             T.StructField("n", T.LongType()),
         ]
     )
-    rows = signed.select("row", "text", "id").mapInArrow(_sign(words), schema)
+    rows = signed.mapInArrow(_sign(words, text), schema)
     # Rows without words are no copies of each other: each is a partition of its own.
     alone = F.when(F.col("n") == 0, F.monotonically_increasing_id())
     place = Window.partitionBy("c1", "c2", "alone").orderBy(F.col("id").asc_nulls_last())
@@ -697,16 +696,16 @@ def one_of_each(
     )
 
 
-def _sign(words: int):
-    """(row, text, id) to (row, id, c1, c2, n)."""
+def _sign(words: int, text: str):
+    """(row, id) to (row, id, c1, c2, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, sets in shingles.slabs(batch.column(1), words):
+            for first, sets in shingles.slabs(pc.struct_field(batch.column(0), [text]), words):
                 c1, c2 = shingles.signatures(sets)
                 part = batch.slice(first, len(c1))
                 yield pa.record_batch(
-                    [part.column(0), part.column(2), *map(pa.array, (c1, c2, sets.sizes()))],
+                    [*part.columns, *map(pa.array, (c1, c2, sets.sizes()))],
                     ["row", "id", "c1", "c2", "n"],
                 )
 

@@ -31,6 +31,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +48,7 @@ CALIBRATION = 8
 LEAST_BITS = 1.5
 UNKNOWN = "und"
 # Texts are worked on in slabs of about so many characters.
-SLAB_CHARS = 1 << 20
+SLAB_CHARS = 1 << 18
 # Least weight of the uniform distribution below the lowest order.
 UNIFORM_WEIGHT = 0.01
 ALPHABET = 1 << 16
@@ -89,7 +90,8 @@ def grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 def _slabs(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     held: list[str] = []
     first, size = 0, 0
-    for row, text in enumerate(texts.to_pylist()):
+    for row, scalar in enumerate(texts):
+        text = scalar.as_py()
         if held and size + len(text or "") > SLAB_CHARS:
             yield first, held
             held, first, size = [], row, 0
@@ -234,14 +236,18 @@ def learned(documents: DataFrame, learn: Column, text: str = "text", lang: str =
 # --- predicting ----------------------------------------------------------------------
 
 
-def _score(model):
-    """(row, text, ...) to the same row with prediction, score, bits and characters."""
+def _score(model, inside: str | None):
+    """(row, lang, calibrates[, text]) to the row with prediction, score, bits and characters.
+
+    The text is a column of its own or, named ``inside``, a field of the row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: Model = model.value
         names = np.asarray([*fitted.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for first, texts in _slabs(batch.column(1)):
+            whole = pc.struct_field(batch.column(0), [inside]) if inside else batch.column(3)
+            for first, texts in _slabs(whole):
                 packed, counts = grams(texts)
                 best = np.full(len(texts), len(names) - 1)
                 score, bits = np.zeros(len(texts)), np.zeros(len(texts))
@@ -258,9 +264,7 @@ def _score(model):
                 part = batch.slice(first, len(texts))
                 yield pa.record_batch(
                     [
-                        part.column(0),
-                        part.column(2),
-                        part.column(3),
+                        *part.columns[:3],
                         pa.array(names[best], pa.string()),
                         pa.array(score),
                         pa.array(bits),
@@ -283,11 +287,13 @@ def identified(
     calibrates = F.pmod(F.xxhash64(text), F.lit(CALIBRATION)) == 0
     fitted = learned(documents, learn & ~calibrates, text, lang)
     model = documents.sparkSession.sparkContext.broadcast(fitted)
+    # A kept text is sent to the workers once.
+    inside = text if text in keep else None
     given = documents.select(
         F.struct(*keep).alias("row"),
-        F.col(text).alias("text"),
         F.col(lang).cast("string").alias("lang"),
         F.coalesce(learn & calibrates, F.lit(False)).alias("calibrates"),
+        *([] if inside else [F.col(text).alias("text")]),
     )
     schema = T.StructType(
         [
@@ -300,7 +306,7 @@ def identified(
             T.StructField("chars", T.LongType()),
         ]
     )
-    scored = materialize(given.mapInArrow(_score(model), schema), "languages")
+    scored = materialize(given.mapInArrow(_score(model, inside), schema), "languages")
     right = scored.where(F.col("calibrates") & (F.col("lang") == F.col("lang_pred")))
     steps = right.groupBy("lang_pred", F.floor(F.col("bits") * 100).alias("step")).agg(
         F.count("*").alias("n")

@@ -42,7 +42,7 @@ END_ID = 2
 # they go. The choice that needs the fewest sequences stays.
 CHOICES = ((1 / 3, 16), (1 / 3, 48), (1 / 4, 48), (1 / 8, 48), (1 / 2, 16))
 # Texts are handed to the tokenizer in lots of about so many characters.
-LOT_CHARS = 1_000_000
+LOT_CHARS = 500_000
 
 
 def default_tokenizer() -> str:
@@ -62,7 +62,7 @@ _WORDS = re.compile(
 )
 _NOT_PLAIN = re.compile("[^\t-\r -~¡-ɏ]")
 # The ids of words are kept from text to text, up to so many words of at most so many characters.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
 KEPT_CHARS = 64
 _kept: dict[str, dict[str, bytes]] = {}
 
@@ -103,15 +103,18 @@ class WordwiseEncoder:
         return [different[t] for t in texts]
 
 
-def _lots(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+def _lots(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    held: list[str] = []
     first, size = 0, 0
-    for row, text in enumerate(texts):
-        if row > first and size + len(text) > LOT_CHARS:
-            yield first, texts[first:row]
-            first, size = row, 0
+    for row, scalar in enumerate(texts):
+        text = scalar.as_py() or ""
+        if held and size + len(text) > LOT_CHARS:
+            yield first, held
+            held, first, size = [], row, 0
+        held.append(text)
         size += len(text)
-    if texts:
-        yield first, texts[first:]
+    if held:
+        yield first, held
 
 
 def cut_documents(
@@ -132,8 +135,7 @@ def cut_documents(
         encoder = WordwiseEncoder(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for first, lot in _lots(texts):
+            for first, lot in _lots(batch.column(1)):
                 rows, pieces, starts, lengths, ids = [], [], [], [], []
                 for row, found in enumerate(encoder.ids(lot), first):
                     raw = found + end

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 # Texts are hashed in slabs of about so many bytes.
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -56,7 +56,7 @@ def _powers(base: int, bits: int) -> np.ndarray:
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hashes of byte ranges, from running sums modulo 2**64."""
-    bits = max(22, int(len(data)).bit_length())
+    bits = max(20, int(len(data)).bit_length())
     summed = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * _powers(_BASE, bits)[: len(data)], out=summed[1:])
     back = _powers(pow(_BASE, -1, 1 << 64), bits)
@@ -108,8 +108,8 @@ def slabs(texts: pa.Array, words: int) -> Iterator[tuple[int, Sets]]:
     """(first row, sets) of consecutive runs of ``texts``; null is the empty text."""
     held: list[bytes] = []
     begin, size = 0, 0
-    for row, text in enumerate(texts.cast(pa.large_binary())):
-        raw = text.as_py() or b""
+    for row, text in enumerate(texts):
+        raw = (text.as_py() or "").encode()
         if held and size + len(raw) > SLAB_BYTES:
             yield begin, _slab(held, words)
             held, begin, size = [], row, 0
