@@ -49,8 +49,8 @@ class Measure:
 
 MEASURES = (
     Measure("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 20),
-    Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 50),
-    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 50),
+    Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 125),
+    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 100),
     Measure("word_length", "100 * word_chars div greatest(n_words, 1)", 100, lower=True),
 )
 
