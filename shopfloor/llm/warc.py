@@ -49,6 +49,8 @@ ARCHIVE_RECORDS = 200_000
 # Records were fetched at no known time; the format wants one.
 WARC_DATE = "1970-01-01T00:00:00Z"
 READ_BLOCK = 1 << 20
+# A reading task takes about so many packed bytes.
+TASK_BYTES = 8 << 20
 
 
 def digest(payload: bytes) -> str:
@@ -287,8 +289,14 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2]
 
 
-def read_records(records: DataFrame, folder: str) -> DataFrame:
-    """Range-read each (path, begin, length): ids, type, reference, digests and payload."""
+def read_records(archives: DataFrame, folder: str) -> DataFrame:
+    """Range-read every record: ids, type, reference, digests and payload.
+
+    The number of tasks follows from the bytes to read, which the index rows do not show.
+    """
+    packed = archives.agg(F.sum("size")).first()[0] or 0
+    parts = max(1, -(-int(packed) // TASK_BYTES))
+    records = list_records(archives, folder)
 
     def page(name: str | None) -> int | None:
         value = name.strip("<>").rpartition(":")[2] if name else "null"
@@ -321,7 +329,7 @@ def read_records(records: DataFrame, folder: str) -> DataFrame:
             file.close()
 
     # In the order of the files, many pieces of an archive to as many tasks.
-    dealt = records.repartitionByRange("path", "begin").sortWithinPartitions("path", "begin")
+    dealt = records.repartitionByRange(parts, "path", "begin").sortWithinPartitions("path", "begin")
     return dealt.mapInArrow(
         run,
         "page_id long, record_type string, refers_to long, declared string, found string, payload binary",
@@ -377,7 +385,7 @@ def op5_zip_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back by ranges."""
     folder = scratch_path(spark, "wacz")
     archives = write_archives(table(spark, sf_dir, "pages"), folder)
-    records = read_records(list_records(archives, folder), folder)
+    records = read_records(archives, folder)
     narrow = records.select(
         "page_id",
         "record_type",

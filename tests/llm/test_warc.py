@@ -34,7 +34,7 @@ def expected(rows):
 
 def read_back(df, folder):
     archives = warc.write_archives(df, folder)
-    records = warc.read_records(warc.list_records(archives, folder), folder)
+    records = warc.read_records(archives, folder)
     narrow = records.selectExpr(
         "page_id", "record_type", "refers_to", "declared", "found",
         "cast(octet_length(payload) AS long) AS payload_bytes",
