@@ -1,13 +1,17 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Texts are lower-cased; everything but letters becomes one space between words. Spark counts
-the 4-grams of all learning rows per language, partly summed where they are read. Per
-language the ``MAX_GRAMS`` most frequent ones make the model (a bound on the classifier's
-size, whatever the input). From these counts the driver works out the interpolated
-Kneser-Ney probabilities and stores them for all languages side by side: per order one sorted
-array of packed grams and, next to it, a row of probabilities. Scoring a text is a binary
-search per character; grams that no language has fall back through the context weights to the
-next lower order, again by binary search.
+the 4-grams of all learning rows per language, partly summed where they are read. All of them,
+of all languages, make the model, so counts of counts, context totals and continuation counts
+are those of the whole corpus. The driver fetches the counts in portions, works out the
+interpolated Kneser-Ney probabilities and stores them sparsely: per language and order one
+sorted array of packed grams and one of probabilities, and the same for contexts. Scoring is a
+binary search per language and different gram of a slab; grams that a language does not have
+fall back through its context weights to the next lower order, again by binary search.
+
+The model takes some 12 bytes per different 4-gram of a language and as much per context, on the
+driver and on each executor's Python workers. It grows with the different grams, not with the
+rows; where it outgrows their memory, let ``learn`` take a sample of the labelled rows.
 
 The language with the least cross-entropy per character wins. It is rejected if that
 cross-entropy lies beyond the language's cutoff. Cutoffs are calibrated on one part in
@@ -40,8 +44,8 @@ from shopfloor.llm.layout import table
 from shopfloor.scratch import materialize
 
 ORDER = 4
-MAX_GRAMS = 200_000
-MAX_LANGUAGES = 256
+# Counts are fetched in portions of about so many grams.
+PORTION_GRAMS = 4_000_000
 SLACK = 2.0
 SHORT_BITS = 16.0
 CALIBRATION = 8
@@ -131,28 +135,40 @@ class Level:
 
 @dataclass
 class Model:
+    """Per language its levels, from the lowest order up."""
+
     languages: list[str]
-    levels: list[Level]
+    levels: list[list[Level]]
+
+    def column(self, language: int, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Per gram the interpolated probability of its last symbol in one language."""
+        return _probability(self.levels[language], packed, order)
 
     def probability(self, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Per gram and language the interpolated probability of its last symbol."""
-        if not order:
-            return np.full((len(packed), len(self.languages)), 1 / ALPHABET, dtype=np.float32)
-        level = self.levels[order - 1]
         out = np.empty((len(packed), len(self.languages)), dtype=np.float32)
-        spot, known = _find(level.grams, packed)
-        out[known] = level.probability[spot[known]]
-        other = np.flatnonzero(~known)
-        if len(other):
-            missing = packed[other]
-            lower = self.probability(missing & _low(order - 1), order - 1)
-            spot, known = _find(level.contexts, missing >> np.uint64(16))
-            weight = np.ones_like(lower)
-            weight[known] = level.weight[spot[known]]
-            out[other] = weight * lower
+        for language in range(len(self.languages)):
+            out[:, language] = self.column(language, packed, order)
         return out
 
 
+def _probability(levels: Sequence[Level], packed: np.ndarray, order: int) -> np.ndarray:
+    if not order:
+        return np.full(len(packed), 1 / ALPHABET, dtype=np.float32)
+    level = levels[order - 1]
+    out = np.empty(len(packed), dtype=np.float32)
+    spot, known = _find(level.grams, packed)
+    out[known] = level.probability[spot[known]]
+    other = np.flatnonzero(~known)
+    if len(other):
+        missing = packed[other]
+        lower = _probability(levels, missing & _low(order - 1), order - 1)
+        spot, known = _find(level.contexts, missing >> np.uint64(16))
+        lower[known] *= level.weight[spot[known]]
+        out[other] = lower
+    return out
+
+
 def _low(order: int) -> np.uint64:
     return np.uint64((1 << (16 * order)) - 1)
 
@@ -164,41 +180,31 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return spot, keys[spot] == wanted
 
 
+def _levels(gram: np.ndarray, n: np.ndarray) -> list[Level]:
+    """One language's levels from its sorted 4-grams and their counts."""
+    # From the highest order down: grams with counts, below the highest the number of
+    # different symbols seen before them.
+    orders = [(gram, n)]
+    for order in range(ORDER - 1, 0, -1):
+        orders.append(np.unique(orders[-1][0] & _low(order), return_counts=True))
+    levels: list[Level] = []
+    for order, (keys, n) in zip(range(1, ORDER + 1), reversed(orders), strict=True):
+        once, twice = int((n == 1).sum()), int((n == 2).sum())
+        discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+        contexts, own = np.unique(keys >> np.uint64(16), return_inverse=True)
+        total = np.bincount(own, weights=n)
+        weight = (discount * np.bincount(own) / total).astype(np.float32)
+        if order == 1:
+            weight = np.maximum(weight, np.float32(UNIFORM_WEIGHT))
+        probability = ((n - discount) / total[own]).astype(np.float32)
+        probability += weight[own] * _probability(levels, keys & _low(order - 1), order - 1)
+        levels.append(Level(keys, probability, contexts, weight))
+    return levels
+
+
 def kneser_ney(languages: Sequence[str], counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     """The model from each language's sorted 4-grams and their counts."""
-    model = Model(list(languages), [])
-    # Per language, from the highest order down: grams with counts, below the highest the
-    # number of different symbols seen before them.
-    orders: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [dict(counted)]
-    for order in range(ORDER - 1, 0, -1):
-        orders.append(
-            {
-                lang: np.unique(gram & _low(order), return_counts=True)
-                for lang, (gram, _) in orders[-1].items()
-            }
-        )
-    for order, by_lang in zip(range(1, ORDER + 1), reversed(orders), strict=True):
-        keys = np.unique(np.concatenate([g for g, _ in by_lang.values()]))
-        contexts = np.unique(keys >> np.uint64(16))
-        lower = model.probability(keys & _low(order - 1), order - 1)
-        probability = np.zeros((len(keys), len(languages)), dtype=np.float32)
-        weight = np.ones((len(contexts), len(languages)), dtype=np.float32)
-        for column, lang in enumerate(languages):
-            gram, n = by_lang[lang]
-            once, twice = int((n == 1).sum()), int((n == 2).sum())
-            discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
-            own = np.searchsorted(contexts, gram >> np.uint64(16))
-            total = np.bincount(own, weights=n, minlength=len(contexts))
-            kinds = np.bincount(own, minlength=len(contexts))
-            seen = total > 0
-            weight[seen, column] = discount * kinds[seen] / total[seen]
-            if order == 1:
-                weight[seen, column] = np.maximum(weight[seen, column], UNIFORM_WEIGHT)
-            at = np.searchsorted(keys, gram)
-            probability[at, column] = (n - discount) / total[own]
-        probability += weight[np.searchsorted(contexts, keys >> np.uint64(16))] * lower
-        model.levels.append(Level(keys, probability, contexts, weight))
-    return model
+    return Model(list(languages), [_levels(*counted[lang]) for lang in languages])
 
 
 def learned(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> Model:
@@ -211,26 +217,26 @@ def learned(documents: DataFrame, learn: Column, text: str = "text", lang: str =
         .agg(F.sum("n").alias("n")),
         "grams",
     )
-    largest = (
-        counts.groupBy("lang").agg(F.sum("n").alias("total"))
-        .orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
-    )
-    languages = sorted(row["lang"] for row in largest.collect())
-    most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = (
-        counts.withColumn("place", F.row_number().over(most))
-        .where((F.col("place") <= MAX_GRAMS) & F.col("lang").isin(languages))
-        .select("lang", "gram", "n")
-        .toArrow()
-    )
-    owner = np.asarray(kept["lang"].to_pylist(), dtype=object)
-    gram, n = kept["gram"].to_numpy().view(np.uint64), kept["n"].to_numpy()
-    counted = {}
+    # One row per language.
+    sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
+    portions = -(-sum(sizes.values()) // PORTION_GRAMS)
+    fetched: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {name: [] for name in languages}
+    for portion in range(portions):
+        own = F.pmod(F.xxhash64("gram"), F.lit(portions)) == portion
+        part = counts.where(own).select("lang", "gram", "n").toArrow()
+        owner = pc.index_in(part["lang"], pa.array(languages, pa.string())).to_numpy()
+        gram, n = part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy()
+        order = np.lexsort((gram, owner))
+        ends = np.cumsum(np.bincount(owner, minlength=len(languages)))
+        for name, at in zip(languages, np.split(order, ends[:-1]), strict=True):
+            fetched[name].append((gram[at], n[at]))
+    levels = []
     for name in languages:
-        own = np.flatnonzero(owner == name)
-        own = own[np.argsort(gram[own])]
-        counted[name] = (gram[own], n[own])
-    return kneser_ney(languages, counted) if languages else Model([], [])
+        gram, n = (np.concatenate(x) for x in zip(*fetched.pop(name), strict=True))
+        order = np.argsort(gram, kind="stable")
+        levels.append(_levels(gram[order], n[order]))
+    return Model(languages, levels)
 
 
 # --- predicting ----------------------------------------------------------------------
@@ -254,8 +260,12 @@ def _score(model, inside: str | None):
                 some = np.flatnonzero(counts)
                 if len(some) and fitted.languages:
                     own = counts[some]
-                    cost = -np.log2(fitted.probability(packed)).astype(np.float64)
-                    mean = np.add.reduceat(cost, np.cumsum(own) - own, axis=0) / own[:, None]
+                    begin = np.cumsum(own) - own
+                    different, place = np.unique(packed, return_inverse=True)
+                    mean = np.empty((len(some), len(fitted.languages)))
+                    for language in range(len(fitted.languages)):
+                        cost = -np.log2(fitted.column(language, different)).astype(np.float64)
+                        mean[:, language] = np.add.reduceat(cost[place], begin) / own
                     best[some] = mean.argmin(axis=1)
                     least = mean.min(axis=1)
                     bits[some] = least
@@ -318,14 +328,12 @@ def identified(
     upper = F.min(F.when(F.col("upto") * 1000 >= F.col("all") * 999, F.col("step")))
     beyond = F.greatest(SLACK * (upper - middle), F.lit(100 * LEAST_BITS))
     found = summed.groupBy("lang_pred").agg((middle + beyond).alias("cut"))
-    # At most MAX_LANGUAGES rows.
-    cuts = {row["lang_pred"]: row["cut"] / 100 for row in found.collect()}
-    cutoff = F.lit(None).cast("double")
-    for name, value in sorted(cuts.items()):
-        cutoff = F.when(F.col("lang_pred") == name, value).otherwise(cutoff)
-    allowed = F.coalesce(cutoff, F.lit(np.inf)) + SHORT_BITS / F.greatest("chars", F.lit(1))
+    # One row per language.
+    cuts = materialize(found.select("lang_pred", (F.col("cut") / 100).alias("cut")), "cutoffs")
+    allowed = F.coalesce("cut", F.lit(np.inf)) + SHORT_BITS / F.greatest("chars", F.lit(1))
     accepted = (F.col("lang_pred") != UNKNOWN) & (F.col("bits") <= allowed)
-    return scored.select("row", "lang_pred", "score", "bits", "chars", accepted.alias("accepted"))
+    judged = scored.join(cuts, "lang_pred", "left")
+    return judged.select("row", "lang_pred", "score", "bits", "chars", accepted.alias("accepted"))
 
 
 def held_out(key: str) -> Column:

@@ -92,3 +92,39 @@ def test_gibberish_is_rejected_and_labels_are_no_input(make_documents):
     assert not by_id[odd]["accepted"]
     assert by_id[1]["lang_pred"] == "de"
     assert sum(not r["accepted"] for r in by_id.values()) == 1
+
+
+def test_every_language_is_learned(make_documents):
+    """More languages than the largest few hundred, each of four letters of its own."""
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 4 * 300)]
+    own = {f"l{i:03}": letters[4 * i : 4 * i + 4] for i in range(300)}
+    rng = np.random.default_rng(6)
+    rows = [
+        (10 * k, "".join(rng.choice(own[lang], 60)), lang, "s")
+        for k, lang in enumerate([*own] * 4)
+    ]
+    df = make_documents(rows)
+    found = langid.identified(df, langid.F.lit(True), keep=["doc_id", "lang"]).collect()
+    assert len(found) == len(rows)
+    assert [r["lang_pred"] for r in found] == [r["row"]["lang"] for r in found]
+    assert all(r["accepted"] for r in found)
+
+
+def test_all_grams_make_the_model(make_documents, monkeypatch):
+    """Rare grams count, however many there are and in whatever portions they come."""
+    monkeypatch.setattr(langid, "PORTION_GRAMS", 70_000)
+    rng = np.random.default_rng(7)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x4E00 + 3000, 6000))) for _ in range(40)]
+    texts += [texts[0]]
+    model = langid.learned(make_documents([(i, t, "zh", "s") for i, t in enumerate(texts)]), langid.F.lit(True))
+    gram, n = np.unique(langid.grams(texts)[0], return_counts=True)
+    assert len(gram) > 200_000
+    whole = langid.kneser_ney(["zh"], {"zh": (gram, n)})
+    assert model.languages == ["zh"]
+    assert (model.probability(gram) == whole.probability(gram)).all()
+    # Once-seen grams are there, so the discount is the one of the counts.
+    once, twice = int((n == 1).sum()), int((n == 2).sum())
+    discount = min(max(once / (once + 2 * twice), 0.1), 0.9)
+    top = model.levels[0][-1]
+    seen = gram >> np.uint64(16) == top.contexts[0]
+    assert np.isclose(top.weight[0], discount * seen.sum() / n[seen].sum())
