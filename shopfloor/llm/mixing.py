@@ -9,6 +9,10 @@ Values that the targets do not name share the entry ``OTHER``. So the cells are
 the targets, whatever the data hold; these sums are all the driver collects, and fitting
 them takes milliseconds. The documents are read twice and not shuffled.
 
+Targets without an entry ``OTHER`` say nothing about unnamed values: these keep the budget's share
+of their tokens, and the targets hold for the tokens that remain. Nulls and unlisted languages are
+sampled like that in ``DOCUMENT_TARGETS``; an entry ``OTHER`` of 0 leaves them out.
+
 Edge cases: null values fall under ``OTHER``; targets of values without tokens are spread over
 the rest; where no probabilities can meet the targets (too few tokens) the last iterate is
 taken, which stays within the tokens there are; a null text or one without words has no tokens
@@ -76,6 +80,22 @@ def rake(tokens: np.ndarray, margins: Sequence[np.ndarray], budget: float) -> np
     return fitted
 
 
+def _shares(held: np.ndarray, labels: Sequence[str], shares: Mapping[str, float]) -> np.ndarray:
+    """Shares in the order of ``labels``, given the tokens that each holds."""
+    wanted = np.array([shares.get(v, 0.0) for v in labels])
+    at = labels.index(OTHER)
+    if OTHER in shares or not held[at]:
+        return wanted
+    # Unnamed values keep what they hold; the named ones with tokens share the rest.
+    unnamed = held[at] / held.sum()
+    wanted = np.where(held > 0, wanted, 0.0)
+    if not wanted.sum():
+        return held / held.sum()
+    wanted *= (1 - unnamed) / wanted.sum()
+    wanted[at] = unnamed
+    return wanted
+
+
 def _named(column: Column, shares: Mapping[str, float]) -> Column:
     known = [name for name in shares if name != OTHER]
     value = column.cast("string")
@@ -115,8 +135,10 @@ def sampled(
     held = np.zeros([len(x) for x in labels])
     for cell in cells:
         held[tuple(x.index(cell[d]) for d, x in zip(names, labels, strict=True))] = cell["tokens"]
+    axes = range(len(names))
     margins = [
-        np.array([targets.shares[d].get(v, 0.0) for v in x]) for d, x in zip(names, labels, strict=True)
+        _shares(held.sum(axis=tuple(a for a in axes if a != axis)), labels[axis], targets.shares[names[axis]])
+        for axis in axes
     ]
     fitted = rake(held, margins, targets.budget)
     chance = np.divide(fitted, held, out=np.full_like(held, targets.budget), where=held > 0)

@@ -78,3 +78,38 @@ def test_odd_rows(make_documents, odd_rows):
     assert ids.count(20) in (0, 2)
     assert all(0 < r["probability"] <= 1 for r in rows)
     assert mixing.sampled_documents(df.where("false"), keep=df.columns).collect() == []
+
+
+def test_null_and_unlisted_languages_keep_the_share_of_the_budget(make_documents):
+    rng = np.random.default_rng(5)
+    langs = ["en", "en", "de", "fr", "es", "it", None]
+    rows = [
+        (i, "w " * int(rng.integers(5, 900)), langs[i % len(langs)], f"src{i % 3}") for i in range(4200)
+    ]
+    found = mixing.sampled_documents(make_documents(rows), keep=["doc_id", "lang"]).collect()
+    expected = {}
+    for r in found:
+        lang = r["row"]["lang"]
+        expected[lang] = expected.get(lang, 0) + r["tokens"]
+    given = {}
+    for _, text, lang, _ in rows:
+        given[lang] = given.get(lang, 0) + len(text.split())
+    budget, named = mixing.DOCUMENT_TARGETS.budget, mixing.DOCUMENT_TARGETS.shares["lang"]
+    for lang in ("it", None):
+        assert abs(expected[lang] / given[lang] - budget) < 0.06
+    rest = sum(expected[lang] for lang in named)
+    for lang, share in named.items():
+        assert abs(expected[lang] / rest - share) < 0.04
+
+
+def test_unnamed_values_alone_and_an_entry_of_zero(make_documents):
+    df = make_documents([(i, "some words here", "it", "s") for i in range(400)])
+    dimensions = {"lang": F.col("lang")}
+    for shares, least, most in (({"en": 1.0}, 170, 230), ({"en": 0.5, "*": 0.5}, 170, 230)):
+        targets = mixing.Targets({"lang": shares}, budget=0.5)
+        found = mixing.sampled(df, targets, dimensions, ["doc_id"], mixing.word_count("text"))
+        assert least <= found.count() <= most
+    both = df.union(make_documents([(1000 + i, "some words here", "en", "s") for i in range(400)]))
+    targets = mixing.Targets({"lang": {"en": 1.0, "*": 0.0}}, budget=0.4)
+    found = mixing.sampled(both, targets, dimensions, ["lang"], F.lit(3)).collect()
+    assert found and {r["lang"] for r in found} == {"en"}
