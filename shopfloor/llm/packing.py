@@ -17,7 +17,8 @@ within their length over all executors and looks each one's run up.
 
 Edge cases: a null or empty text is its end token alone; a text longer than a sequence is cut
 into full pieces, the first one taking the remainder; repeated rows are packed as often as
-they occur; columns that are not named are not read; an empty table gives an empty result.
+they occur; literals of added tokens (``<|endoftext|>``) become that token, as the tokenizer file
+has it; columns that are not named are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,22 +65,28 @@ _NOT_PLAIN = re.compile("[^\t-\r -~¡-ɏ]")
 # The ids of words are kept from text to text, up to so many words of at most so many characters.
 KEPT_WORDS = 400_000
 KEPT_CHARS = 64
-_kept: dict[str, dict[str, bytes]] = {}
+_kept: dict[tuple[str, bool], dict[str, bytes]] = {}
 
 
 class WordwiseEncoder:
     """The ids of texts, word by word: the tokenizer splits a text first and merges within words.
 
     Words repeat, so each is handed to the tokenizer once and remembered. Texts with other
-    characters than those of Western European scripts go to the tokenizer as they are.
+    characters than those of Western European scripts go to the tokenizer as they are. So do, if
+    ``added_tokens`` stay whole as in the tokenizer's default state, texts that hold the literal
+    of one; otherwise such literals are split like any other text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.kept = _kept.setdefault(path, {})
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # Added tokens that are not special stay whole in either state.
+        literals = [x.content for x in added if added_tokens or not x.special]
+        self.whole = re.compile("|".join([_NOT_PLAIN.pattern, *map(re.escape, literals)]))
+        self.kept = _kept.setdefault((path, added_tokens), {})
 
     def _encoded(self, texts: list[str]) -> Iterator[bytes]:
         for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
@@ -88,7 +95,7 @@ class WordwiseEncoder:
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
         different = dict.fromkeys(texts)
-        other = [t for t in different if _NOT_PLAIN.search(t)]
+        other = [t for t in different if self.whole.search(t)]
         different.update(zip(other, self._encoded(other), strict=True))
         words = {t: _WORDS.findall(t) for t, done in different.items() if done is None}
         if len(self.kept) > KEPT_WORDS:
@@ -132,7 +139,7 @@ def cut_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordwiseEncoder(tokenizer)
+        encoder = WordwiseEncoder(tokenizer, added_tokens=True)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for first, lot in _lots(batch.column(1)):

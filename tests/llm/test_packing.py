@@ -132,3 +132,20 @@ def test_groups_are_of_equal_cardinality():
     assert [sum(m.values()) for m in members] == [20, 10, 10]
     assert sizes == sorted(sizes, reverse=True)
     assert all(max(m) <= s for s, m in zip(sizes, members, strict=True))
+
+
+def test_literals_of_added_tokens_are_those_tokens(make_documents):
+    """The ids are those of a tokenizer in its default state."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    literals = [x.content for x in plain.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in literals
+    texts = [f"{a}{x}{b}" for x in literals for a, b in (("", ""), ("hello ", " world"), ("don't", "x"))]
+    texts += [x * 2 for x in literals] + ["hello <|endoftext| world", "漢<|endoftext|>", "  a  b\t"]
+    df = make_documents([(i, t, "en", "s") for i, t in enumerate(texts)])
+    rows = packing.cut_documents(df, packing.default_tokenizer(), 1024, end_id=2).collect()
+    found = {r["doc_id"]: np.frombuffer(r["ids"], dtype="<u4").tolist() for r in rows}
+    for i, text in enumerate(texts):
+        assert found[i] == [*plain.encode(text, add_special_tokens=False).ids, 2]
+    assert found[texts.index("hello <|endoftext|> world")] == [31373, 220, 50256, 995, 2]
