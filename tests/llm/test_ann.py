@@ -86,3 +86,49 @@ def test_rotations_keep_lengths_and_angles():
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     turned = y / np.linalg.norm(y, axis=1, keepdims=True)
     assert np.allclose(unit @ unit.T, turned @ turned.T)
+
+
+def by_query(found):
+    out = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    return out
+
+
+@pytest.mark.parametrize("count", [5, 8, 11])
+def test_few_vectors_are_all_candidates(spark, count):
+    rng = np.random.default_rng(count)
+    rows = [(i, rng.normal(size=64).astype(np.float32).tolist()) for i in range(count)]
+    near = by_query(ann.neighbours(vectors(spark, rows), F.lit(True), k=10).collect())
+    for query_id, _ in rows:
+        expected = brute(rows, query_id, 10)
+        assert len(expected) == min(10, count - 1)
+        assert near[query_id] == [(pytest.approx(s), i) for s, i in expected]
+
+
+def test_queries_that_meet_too_few_go_on(spark):
+    """Two far clusters: a lone vector's own buckets hold nothing else."""
+    rng = np.random.default_rng(9)
+    axis = np.eye(64)
+    rows = [(i, (axis[0] + 0.001 * rng.normal(size=64)).tolist()) for i in range(60)]
+    rows += [(100 + i, (axis[i + 1] * 5).tolist()) for i in range(3)]
+    near = by_query(ann.neighbours(vectors(spark, rows), F.col("vec_id") >= 100, k=5, probes=1).collect())
+    assert sorted(near) == [100, 101, 102]
+    for query_id, found in near.items():
+        assert len(found) == 5
+        assert [s for s, _ in found] == sorted(s for s, _ in found)
+        assert query_id not in {i for _, i in found}
+
+
+def test_recall_of_long_vectors(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(1000, 384)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    near = by_query(ann.neighbours(vectors(spark, rows), F.col("vec_id") % 50 == 0, k=10).collect())
+    assert len(near) == 20 and all(len(found) == 10 for found in near.values())
+    hits = 0
+    for query_id, found in near.items():
+        apart = np.sqrt(((x.astype(float) - x[query_id]) ** 2).sum(axis=1))
+        apart[query_id] = np.inf
+        hits += len(set(np.argsort(apart)[:10].tolist()) & {i for _, i in found})
+    assert hits >= 0.85 * 200
