@@ -9,6 +9,7 @@ from shopfloor.llm.langid import op3_kneser_ney_language
 from shopfloor.llm.mixing import op10_raked_mixture
 from shopfloor.llm.packing import op6_linear_grouping_packing
 from shopfloor.llm.quality import ORACLE_OP7, op7_adaptive_quality
+from shopfloor.llm.runs import op11_periodic_runs
 from shopfloor.llm.sharding import op1_hilbert_sharding
 from shopfloor.llm.url_lists import ORACLE_OP2, op2_temporal_url_lists
 from shopfloor.llm.warc import op5_zip_warc_round_trip
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_chat_round_trip": op8_chat_round_trip,
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_raked_mixture": op10_raked_mixture,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE = {
