@@ -24,7 +24,6 @@ has it; columns that are not named are not read; an empty table gives an empty r
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -35,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.llm.layout import table, with_rank
+from shopfloor.llm.tokens import Encoder, default_tokenizer, lots
 from shopfloor.scratch import materialize
 
 MAX_TOKENS = 1024
@@ -42,88 +42,11 @@ END_ID = 2
 # Tried in turn: lengths above which part of a sequence are large, and into how many groups
 # they go. The choice that needs the fewest sequences stays.
 CHOICES = ((1 / 3, 16), (1 / 3, 48), (1 / 4, 48), (1 / 8, 48), (1 / 2, 16))
-# Texts are handed to the tokenizer in lots of about so many characters.
-LOT_CHARS = 500_000
-
-
-def default_tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 # --- tokens --------------------------------------------------------------------------
 
 
-# What byte-level BPE splits texts by before it merges, for the characters of PLAIN.
-_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
-_WORDS = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+"
-    rf"| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+"
-)
-_NOT_PLAIN = re.compile("[^\t-\r -~¡-ɏ]")
-# The ids of words are kept from text to text, up to so many words of at most so many characters.
-KEPT_WORDS = 400_000
-KEPT_CHARS = 64
-_kept: dict[tuple[str, bool], dict[str, bytes]] = {}
-
-
-class WordwiseEncoder:
-    """The ids of texts, word by word: the tokenizer splits a text first and merges within words.
-
-    Words repeat, so each is handed to the tokenizer once and remembered. Texts with other
-    characters than those of Western European scripts go to the tokenizer as they are. So do, if
-    ``added_tokens`` stay whole as in the tokenizer's default state, texts that hold the literal
-    of one; otherwise such literals are split like any other text.
-    """
-
-    def __init__(self, path: str, added_tokens: bool = False):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not added_tokens
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        # Added tokens that are not special stay whole in either state.
-        literals = [x.content for x in added if added_tokens or not x.special]
-        self.whole = re.compile("|".join([_NOT_PLAIN.pattern, *map(re.escape, literals)]))
-        self.kept = _kept.setdefault((path, added_tokens), {})
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, dtype="<u4").tobytes()
-
-    def ids(self, texts: Sequence[str]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit numbers."""
-        different = dict.fromkeys(texts)
-        other = [t for t in different if self.whole.search(t)]
-        different.update(zip(other, self._encoded(other), strict=True))
-        words = {t: _WORDS.findall(t) for t, done in different.items() if done is None}
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        new = list(set().union(*words.values()) - self.kept.keys())
-        self.kept.update(zip(new, self._encoded(new), strict=True))
-        for text, own in words.items():
-            different[text] = b"".join(map(self.kept.__getitem__, own))
-        for word in new:
-            if len(word) > KEPT_CHARS:
-                del self.kept[word]
-        return [different[t] for t in texts]
-
-
-def _lots(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    held: list[str] = []
-    first, size = 0, 0
-    for row, scalar in enumerate(texts):
-        text = scalar.as_py() or ""
-        if held and size + len(text) > LOT_CHARS:
-            yield first, held
-            held, first, size = [], row, 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield first, held
-
-
 def cut_documents(
     documents: DataFrame,
     tokenizer: str,
@@ -139,10 +62,10 @@ def cut_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordwiseEncoder(tokenizer, added_tokens=True)
+        encoder = Encoder(tokenizer, added_tokens=True)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for first, lot in _lots(batch.column(1)):
+            for first, lot in lots(batch.column(1)):
                 rows, pieces, starts, lengths, ids = [], [], [], [], []
                 for row, found in enumerate(encoder.ids(lot), first):
                     raw = found + end

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from shopfloor.llm import packing
+from shopfloor.llm import packing, tokens
 from shopfloor.scratch import materialize
 
 
@@ -67,10 +67,11 @@ def test_odd_rows_and_sequences(spark, make_documents, odd_rows, encoder):
     )
 )
 @settings(max_examples=150, deadline=None)
-def test_wordwise_ids_are_those_of_whole_texts(encoder, texts):
+def test_ids_are_those_of_the_tokenizer(encoder, texts):
     texts = [*texts, "it's we'll I'D  don't<|endoftext|> x", "  \n\n a  b\t"]
+    texts += [" " * 500 + "x", "a" * 700, "\r\n \t" * 200, ("b" + " " * 399) * 3]
     encoder.encode_special_tokens = True
-    found = packing.WordwiseEncoder(packing.default_tokenizer()).ids(texts)
+    found = tokens.Encoder(packing.default_tokenizer()).ids(texts)
     for text, ids in zip(texts, found, strict=True):
         whole = encoder.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, dtype="<u4").tolist() == whole
