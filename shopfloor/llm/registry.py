@@ -6,6 +6,7 @@ from shopfloor.llm.ann import op9_cross_polytope_neighbours
 from shopfloor.llm.chat import ORACLE_OP8, op8_chat_round_trip
 from shopfloor.llm.jaccard import op4_ngram_jaccard_join
 from shopfloor.llm.langid import op3_kneser_ney_language
+from shopfloor.llm.lexical import op13_lexical_retrieval_packing
 from shopfloor.llm.mixing import op10_raked_mixture
 from shopfloor.llm.packing import op6_linear_grouping_packing
 from shopfloor.llm.quality import ORACLE_OP7, op7_adaptive_quality
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_raked_mixture": op10_raked_mixture,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_lexical_retrieval_packing": op13_lexical_retrieval_packing,
 }
 
 ORACLE = {
