@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shopfloor.llm.ann import op9_cross_polytope_neighbours
 from shopfloor.llm.chat import ORACLE_OP8, op8_chat_round_trip
+from shopfloor.llm.crosstoken import op12_cross_tokenizer_alignment
 from shopfloor.llm.jaccard import op4_ngram_jaccard_join
 from shopfloor.llm.langid import op3_kneser_ney_language
 from shopfloor.llm.lexical import op13_lexical_retrieval_packing
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_raked_mixture": op10_raked_mixture,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
     "op13_lexical_retrieval_packing": op13_lexical_retrieval_packing,
 }
 

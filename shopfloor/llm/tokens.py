@@ -66,15 +66,15 @@ def _file(path: str) -> dict:
         return json.load(file)
 
 
-def _special(path: str) -> set[str]:
-    return {x["content"] for x in _file(path)["added_tokens"]}
+def _added(path: str) -> dict[str, int]:
+    return {x["content"]: x["id"] for x in _file(path)["added_tokens"]}
 
 
 @cache
 def token_bytes(path: str) -> list[bytes]:
-    """Per id the bytes of its entry."""
-    symbols, special = byte_of_symbol(), _special(path)
-    vocabulary = _file(path)["model"]["vocab"]
+    """Per id the bytes of its entry; added tokens stand for their own text."""
+    symbols, special = byte_of_symbol(), _added(path)
+    vocabulary = _file(path)["model"]["vocab"] | special
     entries = [b""] * (max(vocabulary.values(), default=-1) + 1)
     for entry, number in vocabulary.items():
         plain = entry not in special and all(c in symbols for c in entry)
@@ -101,7 +101,7 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     made = [model["vocab"][a + b] for a, b in pairs]
     if any(a >= b for a, b in zip(made, made[1:], strict=False)):
         return None
-    special = _special(path)
+    special = _added(path)
     known = token_bytes(path)
     return {known[n]: n for entry, n in model["vocab"].items() if entry not in special}
 

@@ -126,6 +126,7 @@ def test_powers_of_two():
 
 
 def test_odd_rows(make_documents, odd_rows, encoder):
+    odd_rows = [*odd_rows, (30, "x <|endoftext|> y", "en", "s")]
     df = make_documents(odd_rows)
     rows = lexical.retrieval_packed(df, window=64, shard_pieces=3).collect()
     total = sum(len(encoder.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in odd_rows)
