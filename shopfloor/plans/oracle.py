@@ -132,6 +132,16 @@ def _long(pairs: dict[str, tuple[str, str]], source_digits: int = 4) -> str:
     )
 
 
+METRICS = _long(
+    {
+        "precision": ("p", HARD),
+        "recall": ("rc", HARD),
+        "f1_score": ("f", HARD),
+        "roc_auc": ("auc", AUC),
+    }
+)
+
+
 def _null_counts(columns: list[str], source: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS failures FROM ({source})"
@@ -323,15 +333,44 @@ ORACLE: dict[str, str] = {
                          AS next_failure_ts
               FROM events)
     """,
-    # What holds for every fitted forest.
+    # The first two hold for every fitted forest.
     "rf_scores": f"""
         SELECT event_id, label, true AS score_in_range, true AS prediction_agrees
         FROM ({LABELLED}) WHERE {IS_TEST} = 1
     """,
     "rf_importance": """
-        SELECT unnest(['value', 'hour_of_day', 'k']) AS feature, true AS is_share,
+        SELECT unnest(['value', 'hour_of_day', 'vibration']) AS feature, true AS is_share,
                CAST(1 AS DOUBLE) AS total
     """,
+    # What a useless or wrongly walked forest breaks.
+    "forest_walk": f"""
+        SELECT event_id, label, true AS loads_alike, true AS walks_alike, true AS predicts_alike
+        FROM ({LABELLED})
+    """,
+    "forest_quality": f"""
+        SELECT CAST(sum(label) AS BIGINT) AS n_positive,
+               CAST(count(*) - sum(label) AS BIGINT) AS n_negative,
+               true AS ranks_failures_first, true AS scores_failures_higher,
+               true AS tells_rows_apart
+        FROM ({LABELLED}) WHERE {IS_TEST} = 1
+    """,
+    "forest_importance": """
+        SELECT unnest(['value', 'hour_of_day', 'vibration']) AS feature, true AS agrees,
+               unnest([false, false, true]) AS leads
+    """,
+    "forest_audit": """
+        SELECT range AS tree, true AS is_binary, true AS is_connected, true AS is_grown,
+               true AS leaves_are_large
+        FROM range(200)
+    """,
+    "run_records": f"""
+        SELECT 'failure-1' AS run_name, 'metric' AS kind, metric AS name,
+               CAST(2 AS BIGINT) AS n_runs, value AS metric, CAST(NULL AS VARCHAR) AS param
+        FROM ({METRICS})
+        UNION ALL
+        SELECT 'failure-1', 'param', unnest(['trees', 'max_depth', 'class_weights']), 2,
+               CAST(NULL AS DOUBLE), unnest(['200', '8', 'balanced'])
+    """,
     "scan_dates": """
         SELECT event_id, value, CAST(ts AS DATE) AS reading_date FROM events
         WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'
@@ -372,14 +411,7 @@ ORACLE: dict[str, str] = {
                {rounded("auc", 6)} AS roc_auc
         FROM ({AUC})
     """,
-    "metrics_long": _long(
-        {
-            "precision": ("p", HARD),
-            "recall": ("rc", HARD),
-            "f1_score": ("f", HARD),
-            "roc_auc": ("auc", AUC),
-        }
-    ),
+    "metrics_long": METRICS,
     "check_not_null": _null_counts(
         ["machine_id", "production_date", "quality_rate", "downtime_hours"],
         DAYS_BEFORE_FILL,

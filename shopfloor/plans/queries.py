@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from shopfloor.operators import (
     checks,
     conform,
     evaluation,
+    forest,
     labels,
     model,
     oee,
@@ -50,7 +52,10 @@ TARGET, TOLERANCE = 50.0, 30.0
 # For queries that set the number of pieces of an ordered pass.
 PIECES = 16
 USL, LSL = TARGET + TOLERANCE, TARGET - TOLERANCE
-FEATURES = ("value", "hour_of_day", "k")
+FEATURES = ("value", "hour_of_day", "vibration")
+# What a forest has to reach on the test rows: guessing gives 0.5 and no gap between the classes.
+LEAST_AUC, LEAST_GAP = 0.75, 0.2
+TREES, MAX_DEPTH, MIN_LEAF = 200, 8, 5
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -146,16 +151,32 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled(spark, sf_dir, "value", "props").select(
+    """Events as readings; a machine that has just failed vibrates more than others."""
+    failed = (F.col("event_type") == "error").cast("int")
+    rows = labelled(spark, sf_dir, "value", "event_type").select(
         "event_id",
         "value",
         F.hour("ts").cast("double").alias("hour_of_day"),
-        F.get_json_object("props", "$.k").cast("double").alias("k"),
+        (F.col("value") / 50 + 5 * failed).alias("vibration"),
         "label",
     )
     return model.hash_split(rows, ["event_id"])
 
 
+_forests: dict[tuple, PipelineModel] = {}
+
+
+def _forest(spark: SparkSession, sf_dir: str, trees: int = TREES) -> PipelineModel:
+    """The forest of the training rows, fitted once for all queries of an application."""
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, trees)
+    if key not in _forests:
+        rows = training_rows(spark, sf_dir).where("is_test = 0")
+        _forests[key] = model.train_forest(
+            rows, FEATURES, "label", trees=trees, max_depth=MAX_DEPTH, min_leaf=MIN_LEAF
+        )
+    return _forests[key]
+
+
 # --- silver --------------------------------------------------------------------------
 
 
@@ -433,13 +454,11 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(evaluation.to_long(area.select("roc_auc")))
 
 
-def rf_scores(spark: SparkSession, sf_dir: str, trees: int = 200) -> DataFrame:
+def rf_scores(spark: SparkSession, sf_dir: str, trees: int = TREES) -> DataFrame:
     """Every test event once, with its label and whether score and prediction agree."""
-    rows = materialize(training_rows(spark, sf_dir), "forest-rows")
-    train, test = rows.where("is_test = 0"), rows.where("is_test = 1")
-    fitted = model.train_forest(train, FEATURES, "label", trees=trees)
+    test = training_rows(spark, sf_dir).where("is_test = 1")
     complete, _ = model.trainable(test, FEATURES, "label")
-    return model.score(fitted, complete).select(
+    return model.score(_forest(spark, sf_dir, trees), complete).select(
         "event_id",
         "label",
         F.col("score").between(0, 1).alias("score_in_range"),
@@ -447,11 +466,9 @@ def rf_scores(spark: SparkSession, sf_dir: str, trees: int = 200) -> DataFrame:
     )
 
 
-def rf_importance(spark: SparkSession, sf_dir: str, trees: int = 200) -> DataFrame:
+def rf_importance(spark: SparkSession, sf_dir: str, trees: int = TREES) -> DataFrame:
     """Every feature with whether its importance is a share, and their sum."""
-    rows = training_rows(spark, sf_dir).where("is_test = 0")
-    fitted = model.train_forest(rows, FEATURES, "label", trees=trees)
-    found = model.feature_importance(spark, fitted, FEATURES)
+    found = model.feature_importance(spark, _forest(spark, sf_dir, trees), FEATURES)
     total = found.agg(F.round(F.sum("importance"), 6)).first()[0]
     return found.select(
         "feature",
@@ -460,6 +477,105 @@ def rf_importance(spark: SparkSession, sf_dir: str, trees: int = 200) -> DataFra
     )
 
 
+def forest_walk(spark: SparkSession, sf_dir: str, trees: int = TREES) -> DataFrame:
+    """Every event, scored by the fitted forest, by the saved and loaded one and by a walk over
+    the saved one's nodes: whether all three agree."""
+    fitted = _forest(spark, sf_dir, trees)
+    root = scratch_path(spark, "models")
+    model.save_model(fitted, root, "failure", 1)
+    loaded = model.load_model(root, "failure", 1)
+    nodes = forest.nodes_of(loaded)
+    rows = materialize(training_rows(spark, sf_dir), "forest-rows")
+    walked = forest.walk(rows, nodes, ["event_id"], FEATURES, forest.depth_of(loaded))
+    by_fitted = model.score(fitted, rows).select("event_id", "label", "score", "prediction")
+    by_loaded = model.score(loaded, rows).select("event_id", F.col("score").alias("loaded"))
+    both = by_fitted.join(by_loaded, "event_id").join(
+        walked.withColumnRenamed("score", "walked"), "event_id"
+    )
+    gap = F.abs(F.col("score") - F.col("walked"))
+    return both.select(
+        "event_id",
+        "label",
+        (F.col("score") == F.col("loaded")).alias("loads_alike"),
+        (gap < 1e-9).alias("walks_alike"),
+        # A tie is 0.5 give or take the order of addition.
+        ((gap < 1e-9) & ((F.abs(F.col("walked") - 0.5) < 1e-9) | (
+            (F.col("walked") > 0.5).cast("int") == F.col("prediction")
+        ))).alias("predicts_alike"),
+    )
+
+
+def forest_quality(spark: SparkSession, sf_dir: str, trees: int = TREES) -> DataFrame:
+    """What a forest that has learned nothing misses, by the walk's scores of the test events."""
+    fitted = _forest(spark, sf_dir, trees)
+    test = materialize(training_rows(spark, sf_dir).where("is_test = 1"), "forest-test")
+    nodes = forest.nodes_of(fitted)
+    walked = forest.walk(test, nodes, ["event_id"], FEATURES, forest.depth_of(fitted))
+    rows = materialize(test.join(walked, "event_id").select("label", "score"), "forest-scores")
+    area = evaluation.roc_auc(rows, digits=None)
+    means = rows.agg(
+        F.avg(F.when(F.col("label") == 1, F.col("score"))).alias("positive"),
+        F.avg(F.when(F.col("label") == 0, F.col("score"))).alias("negative"),
+        F.countDistinct("score").alias("n_scores"),
+    )
+    return area.select(
+        "n_positive",
+        "n_negative",
+        (F.col("roc_auc") >= LEAST_AUC).alias("ranks_failures_first"),
+        means.select(F.col("positive") - F.col("negative") >= LEAST_GAP)
+        .scalar()
+        .alias("scores_failures_higher"),
+        means.select(F.col("n_scores") >= 20).scalar().alias("tells_rows_apart"),
+    )
+
+
+def forest_importance(spark: SparkSession, sf_dir: str, trees: int = TREES) -> DataFrame:
+    """Importance from the node table beside the model's own; the informative feature leads."""
+    fitted = _forest(spark, sf_dir, trees)
+    own = forest.importance(forest.nodes_of(fitted), FEATURES)
+    given = model.feature_importance(spark, fitted, FEATURES).withColumnRenamed("importance", "given")
+    return own.join(given, "feature").select(
+        "feature",
+        (F.abs(F.col("importance") - F.col("given")) < 1e-9).alias("agrees"),
+        (F.col("importance") > 0.5).alias("leads"),
+    )
+
+
+def forest_audit(spark: SparkSession, sf_dir: str, trees: int = TREES) -> DataFrame:
+    """Every tree: whether it is a binary tree from one root with leaves of enough rows."""
+    found = forest.audit(forest.nodes_of(_forest(spark, sf_dir, trees)))
+    return found.select(
+        F.col("tree").cast("bigint").alias("tree"),
+        (F.col("n_nodes") == 2 * F.col("n_leaves") - 1).alias("is_binary"),
+        (F.col("n_strays") == 0).alias("is_connected"),
+        (F.col("n_leaves").between(2, 1 << MAX_DEPTH)).alias("is_grown"),
+        (F.col("least_rows") >= MIN_LEAF).alias("leaves_are_large"),
+    )
+
+
+def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of two runs appended to one table: what each holds, and in how many runs."""
+    path = scratch_path(spark, "model-runs")
+    measured = materialize(metrics_long(spark, sf_dir), "metrics")
+    params = {"trees": TREES, "max_depth": MAX_DEPTH, "class_weights": "balanced"}
+    for _ in range(2):
+        model.run_record(measured, "failure-1", params).write.mode("append").parquet(path)
+    is_metric = F.col("kind") == "metric"
+    return (
+        spark.read.parquet(path)
+        .groupBy("run_name", "kind", "name")
+        .agg(F.countDistinct("run_id").alias("n_runs"), F.min("value").alias("held"))
+        .select(
+            "run_name",
+            "kind",
+            "name",
+            "n_runs",
+            F.when(is_metric, F.col("held").try_cast("double")).alias("metric"),
+            F.when(~is_metric, F.col("held")).alias("param"),
+        )
+    )
+
+
 # --- data tests, conformance, audit --------------------------------------------------
 
 
@@ -585,6 +701,11 @@ QUERIES: dict[str, Query] = {
     "metrics_long": metrics_long,
     "rf_scores": rf_scores,
     "rf_importance": rf_importance,
+    "forest_walk": forest_walk,
+    "forest_quality": forest_quality,
+    "forest_importance": forest_importance,
+    "forest_audit": forest_audit,
+    "run_records": run_records,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_summary": check_summary,
