@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions import epoch_micros, guarded_round
 from shopfloor.operators.joins import join_on
+from shopfloor.operators.ordered import PIECE, POSITION, lay_out
 from shopfloor.scratch import materialize
 
 HORIZON_HOURS = 6
@@ -143,6 +144,68 @@ def next_failure(
         .where(F.col("__is_mark") == 0)
         .withColumn("__next", F.when(F.col("__next") <= F.col(AT) + F.lit(horizon), F.col("__next")))
     )
+    return _with_next(found, readings, ts, how)
+
+
+def next_failure_in_pieces(
+    readings: DataFrame,
+    failures: DataFrame,
+    machine: str = "machine_id",
+    ts: str = "reading_ts",
+    failure_ts: str = "downtime_start_ts",
+    horizon_hours: float = HORIZON_HOURS,
+    how: str = "inner",
+    tie_break: Sequence[str] = (),
+    pieces: int | None = None,
+) -> DataFrame:
+    """:func:`next_failure` for machines with more rows in one horizon than a task should sort.
+
+    The timeline of readings and failures is range-partitioned on (machine, time, ``tie_break``)
+    and written, so a hot machine is cut anywhere, also within a horizon. Each piece carries
+    its failures backward to its own readings; what is left looks at the first failure of the
+    machine's later pieces, a suffix minimum over one row per (machine, piece). ``tie_break``
+    tells readings of one machine and time apart; rows that tie on all of it stay in one piece.
+    """
+    horizon = int(horizon_hours * MICROS_PER_HOUR)
+    timed = readings.withColumn(AT, epoch_micros(F.col(ts))).withColumn("__is_mark", F.lit(0))
+    marks = (
+        failures.where(F.col(failure_ts).isNotNull() & F.col(machine).isNotNull())
+        .select(machine, epoch_micros(F.col(failure_ts)).alias(AT))
+        .distinct()
+        .select(machine, AT, F.col(AT).alias("__mark"), F.lit(1).alias("__is_mark"))
+    )
+    timeline = timed.unionByName(marks, allowMissingColumns=True)
+    # A failure stands behind the readings of its own time, for which it is the next one.
+    order = [AT, "__is_mark", *tie_break]
+    keep = [*dict.fromkeys([*readings.columns, machine]), AT, "__mark", "__is_mark"]
+    rows = lay_out(timeline, [machine], order, keep, "failure-timeline", pieces)
+    # One row per machine and written piece.
+    firsts = rows.groupBy(machine, PIECE).agg(F.min("__mark").alias("__first"))
+    later = Window.partitionBy(machine).orderBy(F.col(PIECE).desc())
+    carried = materialize(
+        firsts.select(
+            machine,
+            PIECE,
+            F.min("__first").over(later.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
+        ),
+        "failure-carry",
+    )
+    # Descending, so the frame grows and each row is visited once.
+    within = (
+        Window.partitionBy(machine, PIECE)
+        .orderBy(F.col(POSITION).desc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    nearest = rows.withColumn("__here", F.min("__mark").over(within)).where("__is_mark = 0")
+    upcoming = F.coalesce("__here", "__carry")
+    found = join_on(nearest, carried, [machine, PIECE], "left").withColumn(
+        "__next", F.when(upcoming <= F.col(AT) + F.lit(horizon), upcoming)
+    )
+    return _with_next(found, readings, ts, how)
+
+
+def _with_next(found: DataFrame, readings: DataFrame, ts: str, how: str) -> DataFrame:
+    """``readings`` with the time in ``__next`` and the hours until then."""
     if how == "inner":
         found = found.where(F.col("__next").isNotNull())
     hours = (F.col("__next") - F.col(AT)) / F.lit(MICROS_PER_HOUR)

@@ -469,5 +469,7 @@ ORACLE: dict[str, str] = {
 }
 
 # The same results are due whatever the number of pieces.
-for _name in ("spc_subgroups", "next_failure", "stratified_split", "roc_auc"):
+for _name in (
+    "spc_subgroups", "next_failure", "next_failure_left", "stratified_split", "roc_auc"
+):
     ORACLE[f"{_name}_in_pieces"] = ORACLE[_name]

@@ -411,6 +411,20 @@ def next_failure(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFr
     )
 
 
+def next_failure_in_pieces(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+    """By pieces of the timeline, as for machines with very many rows in one horizon."""
+    return labels.next_failure_in_pieces(
+        table(spark, sf_dir, "events").select("event_id", "user_id", "ts"),
+        _failures(spark, sf_dir),
+        machine="user_id",
+        ts="ts",
+        failure_ts="failure_ts",
+        how=how,
+        tie_break=["event_id"],
+        pieces=PIECES,
+    )
+
+
 def label_positive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.positive_rate(labelled(spark, sf_dir))
 
@@ -687,7 +701,8 @@ QUERIES: dict[str, Query] = {
     "downtime_pareto_cumulative": downtime_pareto_cumulative,
     "failure_horizon_label": failure_horizon_label,
     "next_failure": next_failure,
-    "next_failure_in_pieces": next_failure,
+    "next_failure_in_pieces": next_failure_in_pieces,
+    "next_failure_left_in_pieces": partial(next_failure_in_pieces, how="left"),
     "next_failure_left": partial(next_failure, how="left"),
     "label_positive_rate": label_positive_rate,
     "hash_split": hash_split,

@@ -3,8 +3,10 @@ from bisect import bisect_left
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopfloor.operators import labels
+from shopfloor.operators.ordered import PIECE
 
 T0 = datetime(2026, 7, 10, 9, 40)
 
@@ -76,9 +78,15 @@ def test_label_against_brute_force(dense):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_next_failure_against_brute_force(dense, how):
+@pytest.mark.parametrize("pieces", [None, 1, 3, 40])
+def test_next_failure_against_brute_force(dense, how, pieces):
     readings, failures, df, marks = dense
-    found = labels.next_failure(df, marks, how=how).collect()
+    if pieces is None:
+        found = labels.next_failure(df, marks, how=how).collect()
+    else:
+        found = labels.next_failure_in_pieces(
+            df, marks, how=how, tie_break=["id"], pieces=pieces
+        ).collect()
     expected = expected_next(readings, failures)
     if how == "inner":
         expected = {i: ts for i, ts in expected.items() if ts is not None}
@@ -95,6 +103,8 @@ def test_no_failures(dense):
     none = marks.where("false")
     assert labels.failure_horizon_label(df, none).where("will_fail_within_6h = 1").count() == 0
     assert labels.next_failure(df, none).count() == 0
+    assert labels.next_failure_in_pieces(df, none).count() == 0
+    assert labels.next_failure_in_pieces(df, none, how="left").count() == 600
 
 
 def test_unknown_machines_do_not_match(spark):
@@ -102,3 +112,28 @@ def test_unknown_machines_do_not_match(spark):
     marks = spark.sql("select cast(null as string) machine_id, timestamp'2026-07-01 01:00:00' downtime_start_ts")
     assert labels.failure_horizon_label(df, marks).first().will_fail_within_6h == 0
     assert labels.next_failure(df, marks, how="left").first().next_failure_ts is None
+    assert labels.next_failure_in_pieces(df, marks, how="left").first().next_failure_ts is None
+
+
+def test_a_hot_machine_is_cut_within_one_horizon(spark, monkeypatch):
+    """A third of all rows belong to one machine and one hour; no task gets them all."""
+    written = []
+    plain = labels.lay_out
+    monkeypatch.setattr(labels, "lay_out", lambda *a: written.append(plain(*a)) or written[-1])
+    hot = spark.range(4000).select(
+        F.col("id"), F.lit("HOT").alias("machine_id"), (F.lit(T0) + F.make_dt_interval(secs=F.col("id") % 3600)).alias("reading_ts")
+    )
+    rest = spark.range(4000, 12000).select(
+        F.col("id"),
+        F.concat(F.lit("M"), F.col("id") % 50).alias("machine_id"),
+        (F.lit(T0) + F.make_dt_interval(mins=F.col("id") % 977)).alias("reading_ts"),
+    )
+    readings = hot.union(rest)
+    marks = spark.createDataFrame([("HOT", minutes(70)), ("M1", minutes(500))], "machine_id string, downtime_start_ts timestamp")
+    found = labels.next_failure_in_pieces(readings, marks, tie_break=["id"], pieces=12)
+    assert found.where("machine_id = 'HOT'").count() == 4000
+    assert found.where("machine_id = 'HOT'").select("next_failure_ts").distinct().count() == 1
+    same = labels.next_failure(readings, marks)
+    assert found.exceptAll(same).isEmpty() and same.exceptAll(found).isEmpty()
+    pieces = written[0].where("machine_id = 'HOT'").groupBy(PIECE).count().collect()
+    assert len(pieces) >= 3 and max(r["count"] for r in pieces) < 2000
