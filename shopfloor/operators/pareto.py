@@ -25,6 +25,11 @@ def downtime_pareto(
         ),
         "downtime-by-reason",
     )
+    return with_share(by_reason, reason)
+
+
+def with_share(by_reason: DataFrame, reason: str = "reason") -> DataFrame:
+    """Totals per reason plus their share of all, largest first; read twice."""
     grand_total = by_reason.agg(F.sum("total_downtime_hours")).scalar()
     share = F.try_divide(F.col("total_downtime_hours"), grand_total)
     return by_reason.withColumn("pct_of_total_downtime", guarded_round(share, 4)).orderBy(

@@ -44,6 +44,14 @@ MACHINE_DAYS = f"""
            {rounded("(24 - coalesce(downtime_hours, 0.0)) / 24", 4)} AS availability
     FROM ({DAYS_BEFORE_FILL})
 """
+LINE_OEE = f"""
+    SELECT line_id, production_date,
+           {rounded("avg(availability)", 4)} AS availability,
+           {rounded("avg(quality_rate)", 4)} AS quality_rate,
+           CAST(1 AS DOUBLE) AS performance_assumed,
+           {rounded("avg(availability) * avg(quality_rate)", 4)} AS oee
+    FROM ({MACHINE_DAYS}) GROUP BY line_id, production_date
+"""
 SUBGROUPS = """
     SELECT line_id, CAST(place // 5 AS BIGINT) AS subgroup_index,
            min(ts) AS subgroup_start_ts, avg(value) AS xbar,
@@ -190,6 +198,59 @@ def _conform_violations() -> str:
     return " UNION ALL ".join(rules)
 
 
+# Which delivery brings an event for the first time, and which bring it at all.
+DELIVERED = """
+    SELECT *, CAST(ts AS DATE) AS day, 3 AS delivery FROM events WHERE event_id % 97 = 0
+    UNION ALL
+    SELECT *, CAST(ts AS DATE), 1 FROM events
+    WHERE event_id % 97 <> 0 AND CAST(ts AS DATE) <= DATE '2024-01-15'
+    UNION ALL
+    SELECT *, CAST(ts AS DATE), 2 FROM events
+    WHERE event_id % 97 <> 0 AND (CAST(ts AS DATE) > DATE '2024-01-15' OR event_id % 7 = 0)
+"""
+STOP_REASONS = f"""
+    SELECT 'reason ' || (user_id % 3) AS reason, count(*) AS event_count,
+           {rounded("CAST(sum(CAST(value / 100 AS DECIMAL(28, 6))) AS DOUBLE)", 2)} AS total_downtime_hours
+    FROM events WHERE event_type = 'error' GROUP BY 1
+"""
+GATED = {
+    "orders": [
+        ("not_null_orders_o_orderkey", "SELECT 1 FROM orders WHERE o_orderkey IS NULL"),
+        ("not_null_orders_o_totalprice", "SELECT 1 FROM orders WHERE o_totalprice IS NULL"),
+        (
+            "unique_orders_o_orderkey",
+            "SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1",
+        ),
+    ],
+    "lineitem": [
+        ("not_null_lineitem_l_orderkey", "SELECT 1 FROM lineitem WHERE l_orderkey IS NULL"),
+        (
+            "unique_lineitem_l_orderkey_l_linenumber",
+            "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+        ),
+    ],
+    "days": [
+        ("not_null_days_machine_id", f"SELECT 1 FROM ({DAYS_BEFORE_FILL}) WHERE machine_id IS NULL"),
+        (
+            "not_null_days_downtime_hours",
+            f"SELECT 1 FROM ({DAYS_BEFORE_FILL}) WHERE downtime_hours IS NULL",
+        ),
+    ],
+}
+
+
+def _gated() -> str:
+    each = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{check}' AS check_name, count(*) AS failures"
+        f" FROM ({failing})"
+        for table, tests in GATED.items()
+        for check, failing in tests
+    )
+    return f"""
+        SELECT *, sum(failures) OVER (PARTITION BY table_name) = 0 AS published FROM ({each})
+    """
+
+
 STOPS = """
     SELECT 'M' || user_id AS machine_id, 'L' || (user_id % 5) AS line_id,
            ts AS downtime_start_ts, value / 100 AS downtime_hours,
@@ -254,14 +315,7 @@ ORACLE: dict[str, str] = {
                {rounded("avg(quality_rate)", 4)} AS avg_quality_rate
         FROM ({MACHINE_DAYS}) GROUP BY line_id ORDER BY line_id
     """,
-    "line_oee": f"""
-        SELECT line_id, production_date,
-               {rounded("avg(availability)", 4)} AS availability,
-               {rounded("avg(quality_rate)", 4)} AS quality_rate,
-               CAST(1 AS DOUBLE) AS performance_assumed,
-               {rounded("avg(availability) * avg(quality_rate)", 4)} AS oee
-        FROM ({MACHINE_DAYS}) GROUP BY line_id, production_date
-    """,
+    "line_oee": LINE_OEE,
     "line_oee_with_rate": f"""
         SELECT line_id, production_date, {rounded("a", 4)} AS availability,
                {rounded("q", 4)} AS quality_rate, {rounded("p", 4)} AS performance,
@@ -462,6 +516,30 @@ ORACLE: dict[str, str] = {
         FROM ({CONFORMED})
     """,
     "conform_violations": _conform_violations(),
+    "incremental_machine_days": MACHINE_DAYS,
+    "incremental_line_oee": LINE_OEE,
+    "incremental_pareto": f"""
+        SELECT reason, event_count, total_downtime_hours,
+               {rounded("total_downtime_hours / sum(total_downtime_hours) OVER ()", 4)}
+                   AS pct_of_total_downtime
+        FROM ({STOP_REASONS})
+    """,
+    "delivery_manifest": f"""
+        SELECT CASE WHEN event_type = 'error' THEN 'downtime_events'
+                    ELSE 'quality_measurements' END AS table_name,
+               day, delivery, count(*) AS n_rows
+        FROM ({DELIVERED}) GROUP BY 1, 2, 3
+    """,
+    "published_versions": "SELECT event_id, value, event_id % 2 = 0 AS in_first FROM events",
+    "published_layer": f"""
+        SELECT CAST(machine_id AS VARCHAR) AS machine_id, CAST(line_id AS VARCHAR) AS line_id,
+               production_date,
+               row_number() OVER (ORDER BY production_date, CAST(machine_id AS VARCHAR),
+                                           CAST(line_id AS VARCHAR)) - 1 AS place,
+               count(*) OVER () AS row_count
+        FROM ({MACHINE_DAYS})
+    """,
+    "gate_blocks": _gated(),
     "row_count_audit": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
         for name in TABLES

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def publish_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace ``database.table`` from a query and return the table."""
+def publish_table(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
+    """Create or replace ``database.table`` from a query and return the table.
+
+    The files go to ``location``, if given, and else to the warehouse.
+    """
     spark = df.sparkSession
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    if location is not None:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
     return spark.table(name)
 
 
