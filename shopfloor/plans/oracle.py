@@ -208,6 +208,23 @@ DELIVERED = """
     SELECT *, CAST(ts AS DATE), 2 FROM events
     WHERE event_id % 97 <> 0 AND (CAST(ts AS DATE) > DATE '2024-01-15' OR event_id % 7 = 0)
 """
+
+
+def _in_time(kind: str) -> str:
+    """The rows that a daily stream counts: those of days that the watermark, one hour behind the
+    latest row, had not closed when they came, and has closed in the end."""
+    return f"""
+        SELECT * FROM (
+            SELECT *, CAST(ts AS DATE) AS day, CAST(ts AS DATE) + INTERVAL 1 DAY AS closes,
+                   CAST(ts AS DATE) <= DATE '2024-01-15' AND event_id % 13 <> 0 AS in_first,
+                   max(ts) OVER () - INTERVAL 1 HOUR AS last_mark,
+                   max(CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-15' AND event_id % 13 <> 0
+                            THEN ts END) OVER () - INTERVAL 1 HOUR AS first_mark
+            FROM events WHERE {kind})
+        WHERE closes <= last_mark AND (in_first OR closes > first_mark)
+    """
+
+
 STOP_REASONS = f"""
     SELECT 'reason ' || (user_id % 3) AS reason, count(*) AS event_count,
            {rounded("CAST(sum(CAST(value / 100 AS DECIMAL(28, 6))) AS DOUBLE)", 2)} AS total_downtime_hours
@@ -540,6 +557,26 @@ ORACLE: dict[str, str] = {
         FROM ({MACHINE_DAYS})
     """,
     "gate_blocks": _gated(),
+    "spc_stream_chart": f"SELECT * FROM ({CHART})",
+    "streaming_silver_late": f"""
+        SELECT DISTINCT *, CAST(downtime_start_ts AS DATE) AS downtime_date FROM ({STOPS})
+    """,
+    "streaming_rejects": f"""
+        SELECT machine_id, line_id, 'about 2024-01-20' AS text FROM ({STOPS})
+        WHERE CAST(downtime_start_ts AS DATE) = DATE '2024-01-20'
+    """,
+    "streaming_quality_daily": f"""
+        SELECT user_id AS machine_id, user_id % 5 AS line_id, day AS production_date,
+               count(*) AS units_measured,
+               CAST(sum(CASE WHEN abs(value - 50.0) <= 30.0 THEN 1 ELSE 0 END) AS BIGINT)
+                   AS units_in_spec
+        FROM ({_in_time("event_type <> 'error'")}) GROUP BY 1, 2, 3
+    """,
+    "streaming_downtime_daily": f"""
+        SELECT user_id AS machine_id, user_id % 5 AS line_id, day AS production_date,
+               CAST(sum(CAST(value / 100 AS DECIMAL(28, 6))) AS DOUBLE) AS downtime_hours
+        FROM ({_in_time("event_type = 'error'")}) GROUP BY 1, 2, 3
+    """,
     "row_count_audit": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
         for name in TABLES

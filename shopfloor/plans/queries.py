@@ -30,6 +30,8 @@ from shopfloor.operators import (
 )
 from shopfloor.operators.ordered import with_sequence
 from shopfloor.plans import incremental
+from shopfloor.plans.roles import TARGET, TOLERANCE, measurements, stops_as_raw, table
+from shopfloor.plans.streams import STREAM_QUERIES
 from shopfloor.scratch import materialize, scratch_path
 from shopfloor.sources import tables, versions
 from shopfloor.sources.readers import (
@@ -52,7 +54,6 @@ from shopfloor.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TARGET, TOLERANCE = 50.0, 30.0
 # For queries that set the number of pieces of an ordered pass.
 PIECES = 16
 USL, LSL = TARGET + TOLERANCE, TARGET - TOLERANCE
@@ -66,22 +67,9 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 # --- roles ---------------------------------------------------------------------------
 
 
-def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("line_id"),
-        "event_id",
-        F.col("ts").alias("measured_ts"),
-        F.col("value").alias("part_dimension_mm"),
-    )
-
-
 def _machine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("machine_id"),
@@ -119,18 +107,6 @@ def stops_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stops_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stops as the raw table of downtime events."""
-    rows = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
-    return rows.select(
-        F.concat(F.lit("M"), F.col("user_id")).alias("machine_id"),
-        F.concat(F.lit("L"), F.col("user_id") % 5).alias("line_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("downtime_start_ts"),
-        (F.col("value") / 100).alias("downtime_hours"),
-        F.lit("Equipment Failure").alias("reason"),
-    )
-
-
 def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
     return failed.select("user_id", F.col("ts").alias("failure_ts"))
@@ -880,4 +856,5 @@ QUERIES: dict[str, Query] = {
     "published_versions": published_versions,
     "published_layer": published_layer,
     "gate_blocks": gate_blocks,
+    **STREAM_QUERIES,
 }

@@ -13,6 +13,12 @@ FILE_POSITION = ("source_file", "source_row")
 ARRIVAL = ("arrived_at", "source_file", "source_block", "source_row")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
