@@ -4,9 +4,10 @@
    of each document, less than a window, is a piece to be packed with others.
 2. Terms are token ids, so document frequencies are one number per entry of the vocabulary: the
    only data that is collected and broadcast, bounded by the vocabulary.
-3. Pieces are dealt into index shards by likeness. Each draws ``SAMPLES`` of its terms, a term in
-   proportion to its BM25 weight by random clocks that all pieces share, so pieces of like weights
-   draw alike. Range partitions of (drawn terms, id, place) hold like pieces side by side; a hot
+3. Pieces are dealt into index shards by likeness. Each draws ``SAMPLES`` of its terms, by random
+   clocks that all pieces share, sped up by how often the piece has the term and by how rare it is;
+   so like pieces draw alike. Vocabularies list frequent entries first, so the id itself tells the
+   rarity here and the draw needs no pass of its own. Range partitions of (drawn terms, id, place) hold like pieces side by side; a hot
    draw, such as a group of copies, is cut by the id. Within a partition shards of
    ``SHARD_PIECES`` are indexed one after the other: postings per term with BM25 weights, by
    the frequencies of the whole corpus.
@@ -30,6 +31,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,10 @@ WINDOW = 2048
 END_ID = 1
 SHARD_PIECES = 1024
 SAMPLES = 4
+# Terms that more than this share of a shard's pieces hold have a dense row.
+DENSE_SHARE = 1 / 8
+# So many neighbours are ranked at first; more if they do not fill the window.
+FIRST_NEIGHBOURS = 16
 # BM25's usual saturation and length normalisation.
 K1, B = 1.2, 0.75
 _SEED = 13
@@ -60,6 +66,17 @@ class Statistics:
     mean: float
 
 
+DRAWS = [f"draw_{k}" for k in range(SAMPLES)]
+
+
+def _kinds(key: str) -> str:
+    return f"`{key}` long, start long, length long, doc_tokens long, ids binary"
+
+
+def vocabulary_size(tokenizer: str, end_id: int) -> int:
+    return max(len(token_bytes(tokenizer)), end_id + 1)
+
+
 # --- pieces --------------------------------------------------------------------------
 
 
@@ -71,7 +88,11 @@ def cut_windows(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Whole windows of each document and its rest: id, ``start``, ``length``, ``doc_tokens``, ``ids``."""
+    """Whole windows of each document and its rest: id, ``start``, ``length``, ``doc_tokens``, ``ids``.
+
+    The ``draw`` columns hold the drawn terms of a rest; those of a whole window are null.
+    """
+    terms = vocabulary_size(tokenizer, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,10 +100,12 @@ def cut_windows(
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for first, lot in lots(batch.column(1)):
-                rows, starts, lengths, totals, ids = [], [], [], [], []
+                rows, starts, lengths, totals, ids, rests = [], [], [], [], [], []
                 for row, found in enumerate(encoder.ids(lot), first):
                     raw = found + end
                     total = len(raw) // 4
+                    if total % window:
+                        rests.append(len(rows) + total // window)
                     for start in range(0, total, window):
                         stop = min(start + window, total)
                         rows.append(row)
@@ -90,6 +113,12 @@ def cut_windows(
                         lengths.append(stop - start)
                         totals.append(total)
                         ids.append(raw[4 * start : 4 * stop])
+                drawn = np.zeros((len(rows), SAMPLES), dtype=np.int32)
+                if rests:
+                    numbers = [np.frombuffer(ids[k], dtype="<u4") for k in rests]
+                    sizes = np.array([len(x) for x in numbers], dtype=np.int64)
+                    drawn[rests] = drawn_terms(np.concatenate(numbers).astype(np.int64), sizes, terms)
+                whole = np.array(lengths, dtype=np.int64) == window
                 yield pa.record_batch(
                     [
                         batch.column(0).take(pa.array(rows, pa.int64())),
@@ -97,14 +126,13 @@ def cut_windows(
                         pa.array(lengths, pa.int64()),
                         pa.array(totals, pa.int64()),
                         pa.array(ids, pa.binary()),
+                        *(pa.array(np.ascontiguousarray(d), mask=whole) for d in drawn.T),
                     ],
-                    [key, "start", "length", "doc_tokens", "ids"],
+                    [key, "start", "length", "doc_tokens", "ids", *DRAWS],
                 )
 
     given = documents.select(F.col(key).cast("long").alias(key), F.col(text).cast("string"))
-    return given.mapInArrow(
-        run, f"`{key}` long, start long, length long, doc_tokens long, ids binary"
-    )
+    return given.mapInArrow(run, f"{_kinds(key)}, {', '.join(f'{d} int' for d in DRAWS)}")
 
 
 # --- terms ---------------------------------------------------------------------------
@@ -138,7 +166,9 @@ def statistics(pieces: DataFrame, terms: int) -> Statistics:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holds = np.zeros(terms, dtype=np.int64)
         for batch in batches:
-            holds += np.bincount(_terms(*_flat(batch.column(0)), terms)[1], minlength=terms)
+            for begin in range(0, batch.num_rows, 256):
+                own = _flat(batch.column(0).slice(begin, 256))
+                holds += np.bincount(_terms(*own, terms)[1], minlength=terms)
         term = np.flatnonzero(holds)
         yield pa.record_batch([pa.array(term), pa.array(holds[term])], ["term", "n"])
 
@@ -157,18 +187,21 @@ def statistics(pieces: DataFrame, terms: int) -> Statistics:
     return Statistics(idf, float(total["mean"] or 1))
 
 
-def drawn_terms(
-    flat: np.ndarray, sizes: np.ndarray, known: Statistics, samples: int = SAMPLES
-) -> np.ndarray:
-    """Per row and sample the term whose shared random clock, sped up by its weight, rings first."""
-    terms = len(known.idf)
+@cache
+def _clocks(terms: int, samples: int) -> np.ndarray:
+    """Per sample and term when its shared clock rings, by the rarity that the id tells."""
+    rings = np.random.default_rng(_SEED).exponential(size=(samples, terms))
+    return rings / np.log(np.arange(terms) + 2.0)
+
+
+def drawn_terms(flat: np.ndarray, sizes: np.ndarray, terms: int, samples: int = SAMPLES) -> np.ndarray:
+    """Per row and sample the term whose clock rings first, sped up by its frequency there."""
     rows, term, often = _terms(flat, sizes, terms)
-    weight = weights(rows, term, often, sizes, known)
-    clocks = np.random.default_rng(_SEED).exponential(size=(samples, terms))
+    speed = often * (K1 + 1) / (often + K1)
     begin = np.searchsorted(rows, np.arange(len(sizes)))
     drawn = np.empty((len(sizes), samples), dtype=np.int32)
-    for k, clock in enumerate(clocks):
-        rings = clock[term] / weight
+    for k, clock in enumerate(_clocks(terms, samples)):
+        rings = clock[term] / speed
         first = np.flatnonzero(rings == np.minimum.reduceat(rings, begin)[rows])
         own, at = np.unique(rows[first], return_index=True)
         drawn[own, k] = term[first[at]]
@@ -179,29 +212,57 @@ def drawn_terms(
 
 
 class Shard:
-    """An inverted index of the pieces of one shard."""
+    """An inverted index of the pieces of one shard.
+
+    Terms that many pieces hold have a dense row of weights, the others a list of postings.
+    """
 
     def __init__(self, ids: list[np.ndarray], known: Statistics):
         terms = len(known.idf)
         self.sizes = np.array([len(x) for x in ids], dtype=np.int64)
         rows, term, often = _terms(np.concatenate(ids).astype(np.int64), self.sizes, terms)
-        weight = weights(rows, term, often, self.sizes, known)
+        weight = weights(rows, term, often, self.sizes, known).astype(np.float32)
         self.term, self.first = term, np.searchsorted(rows, np.arange(len(ids) + 1))
-        by_term = np.argsort(term, kind="stable")
-        self.holder, self.weight = rows[by_term], weight[by_term]
-        self.begin = np.searchsorted(term[by_term], np.arange(terms + 1))
+        frequent = np.flatnonzero(np.bincount(term, minlength=terms) > DENSE_SHARE * len(ids))
+        self.dense_row = np.full(terms, -1, dtype=np.int64)
+        self.dense_row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), len(ids)), dtype=np.float32)
+        row = self.dense_row[term]
+        self.dense[row[row >= 0], rows[row >= 0]] = weight[row >= 0]
+        rest = np.flatnonzero(row < 0)
+        rest = rest[np.argsort(term[rest], kind="stable")]
+        self.holder, self.weight = rows[rest], weight[rest]
+        self.begin = np.searchsorted(term[rest], np.arange(terms + 1))
         self.unused = np.ones(len(ids), dtype=bool)
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """The unused pieces, best score for the seed's terms first; ties in their order."""
+    def scores(self, seed: int) -> np.ndarray:
+        """The BM25 score of each piece for the seed's terms."""
         own = self.term[self.first[seed] : self.first[seed + 1]]
-        begin, size = self.begin[own], self.begin[own + 1] - self.begin[own]
-        shift = np.repeat(begin - (np.cumsum(size) - size), size)
-        at = shift + np.arange(size.sum())
-        score = np.bincount(self.holder[at], self.weight[at], len(self.unused))
+        row = self.dense_row[own]
+        score = self.dense[row[row >= 0]].sum(axis=0)
+        rare = own[row < 0]
+        spans = list(zip(self.begin[rare].tolist(), self.begin[rare + 1].tolist(), strict=True))
+        if spans:
+            holder = np.concatenate([self.holder[x:y] for x, y in spans])
+            weight = np.concatenate([self.weight[x:y] for x, y in spans])
+            score = score + np.bincount(holder, weight, len(score)).astype(np.float32)
+        return score
+
+    def neighbours(self, seed: int, enough: int) -> np.ndarray:
+        """The unused pieces, best score for the seed's terms first; ties in their order.
+
+        Those after the first ones that hold ``enough`` tokens together may be left out.
+        """
         left = np.flatnonzero(self.unused)
-        return left[np.argsort(-score[left], kind="stable")]
-
+        score = self.scores(seed)[left]
+        some = FIRST_NEIGHBOURS
+        while some < len(left):
+            best = np.flatnonzero(score >= np.partition(score, -some)[-some])
+            if self.sizes[left[best]].sum() >= enough:
+                left, score = left[best], score[best]
+                break
+            some *= 8
+        return left[np.argsort(-score, kind="stable")]
 
     def fill(self, filled: int, window: int) -> list[int]:
         """The order of all pieces, the first window being ``filled`` already.
@@ -220,7 +281,7 @@ class Shard:
                 self.unused[seed] = False
                 order.append(seed)
                 filled = (filled + int(self.sizes[seed])) % window
-            ranked = self.neighbours(seed)
+            ranked = self.neighbours(seed, window - filled)
             reach = np.cumsum(self.sizes[ranked])
             count = int(np.searchsorted(reach, window - filled)) + 1
             taken = ranked[:count]
@@ -305,7 +366,6 @@ def retrieval_packed(
     if window & (window - 1):
         raise ValueError("the window has to be a power of two")
     tokenizer = tokenizer or default_tokenizer()
-    terms = max(len(token_bytes(tokenizer)), end_id + 1)
     cut = materialize(cut_windows(documents, tokenizer, window, end_id, key, text), "windows")
     columns = [key, "start", "length", "doc_tokens", "ids"]
     names = [*columns, "sequence_id", "offset"]
@@ -315,15 +375,10 @@ def retrieval_packed(
         F.lit(0).cast("long").alias("offset"),
     )
     pieces = cut.where(F.col("length") < window)
-    # Two numbers and one of each entry of the vocabulary.
-    known = documents.sparkSession.sparkContext.broadcast(statistics(pieces, terms))
-    draws = [f"draw_{k}" for k in range(SAMPLES)]
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            drawn = drawn_terms(*_flat(batch.column("ids")), known.value)
-            more = [pa.array(np.ascontiguousarray(drawn[:, k])) for k in range(SAMPLES)]
-            yield pa.record_batch([*batch.columns, *more], [*columns, *draws])
+    # One number per entry of the vocabulary.
+    known = documents.sparkSession.sparkContext.broadcast(
+        statistics(pieces, vocabulary_size(tokenizer, end_id))
+    )
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tape = Tape(window, TaskContext.get().partitionId() << TASK_BITS)
@@ -347,11 +402,10 @@ def retrieval_packed(
         tape.close()
         yield tape.batch(names)
 
-    kinds = f"`{key}` long, start long, length long, doc_tokens long, ids binary"
-    drawn = pieces.mapInArrow(draw, f"{kinds}, {', '.join(f'{d} int' for d in draws)}")
-    order = [*draws, key, "start", F.crc32("ids")]
-    shards = drawn.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
-    return shards.mapInArrow(fill, f"{kinds}, sequence_id long, offset long").union(whole)
+    order = [*DRAWS, key, "start", F.crc32("ids")]
+    shards = pieces.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
+    packed = shards.mapInArrow(fill, f"{_kinds(key)}, sequence_id long, offset long")
+    return packed.union(whole)
 
 
 def op13_lexical_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
