@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor.functions import guarded_round, hash_bucket
@@ -54,12 +54,28 @@ def stratified_split(
 ) -> DataFrame:
     """``df`` plus 1 for test rows, the same share of each class to the row.
 
-    Within a class the rows with the least key hashes form the test side. ``key`` has
-    to identify a row. ``df`` is evaluated and written once, then sorted;
-    :func:`hash_split` costs neither.
+    Within a class the rows with the least key hashes form the test side. ``key`` has to
+    identify a row. ``df`` is evaluated and written once; then the last test row of each class is
+    found by counting hash prefixes (:func:`kth_least`), and all rows are compared with it where
+    they lie. With ``pieces`` the rows are sorted in that many pieces instead.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
     hashed = materialize(df.withColumn("__hash", F.md5(text)), "split-input")
+    sizes = materialize(
+        hashed.groupBy(label).agg(
+            F.round(F.count("*") * test_fraction).cast("bigint").alias("__n_test")
+        ),
+        "class-sizes",
+    )
+    if pieces is None:
+        wanted = sizes.select(label, F.col("__n_test").alias("rank"))
+        last = kth_least(hashed, wanted, label, "__hash", key).select(
+            label, F.col("last").alias("__last")
+        )
+        up_to = F.struct("__hash", *key) <= F.col("__last")
+        return join_on(hashed, last, [label], "left").select(
+            *df.columns, F.coalesce(up_to, F.lit(False)).cast("int").alias(name)
+        )
     ranked = with_sequence(
         hashed,
         [label],
@@ -68,16 +84,64 @@ def stratified_split(
         "__sequence",
         pieces,
     )
-    sizes = materialize(
-        hashed.groupBy(label).agg(F.round(F.count("*") * test_fraction).alias("__n_test")),
-        "class-sizes",
-    )
     in_test = F.col("__sequence") < F.col("__n_test")
     return join_on(ranked, sizes, [label]).select(
         *df.columns, in_test.cast("int").alias(name)
     )
 
 
+def kth_least(
+    rows: DataFrame,
+    wanted: DataFrame,
+    label: str,
+    hashed: str,
+    ties: Sequence[str],
+    digits: int = 4,
+    few: int = 10_000,
+) -> DataFrame:
+    """Per class of ``wanted`` its row of place ``rank``, from 1, in the order of (hash, ties).
+
+    ``label, last``, the latter a struct of hash and ties. ``hashed`` holds hexadecimal text.
+    A class's rows are counted by the next ``digits`` of their hash, on the map side; the
+    prefix that holds the place is refined until no more than ``few`` rows share it, and only
+    these are sorted. So ``n`` rows take a scan for every factor of ``16 ** digits`` in ``n / few``.
+    """
+    state = materialize(
+        wanted.where(F.col("rank") > 0).select(
+            label, F.lit("").alias("prefix"), "rank", F.lit(None).cast("bigint").alias("held")
+        ),
+        "split-state",
+    )
+
+    def inside(state: DataFrame) -> DataFrame:
+        given = state.select(label, "prefix", "rank")
+        return join_on(rows.select(label, hashed, *ties), given, [label]).where(
+            F.startswith(F.col(hashed), F.col("prefix"))
+        )
+
+    for known in range(0, 32, digits):
+        counted = (
+            inside(state)
+            .groupBy(label, "rank", F.substring(hashed, 1, known + digits).alias("prefix"))
+            .agg(F.count("*").alias("held"))
+        )
+        # At most 16 ** digits rows of a class.
+        upto = F.sum("held").over(Window.partitionBy(label).orderBy("prefix"))
+        state = materialize(
+            counted.withColumn("upto", upto)
+            .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("held") < F.col("rank")))
+            .select(label, "prefix", (F.col("rank") - F.col("upto") + F.col("held")).alias("rank"), "held"),
+            "split-state",
+        )
+        # One row per class.
+        if state.where(F.col("held") > few).isEmpty():
+            break
+    order = [hashed, *ties]
+    place = F.row_number().over(Window.partitionBy(label).orderBy(*order))
+    found = inside(state).withColumn("place", place).where(F.col("place") == F.col("rank"))
+    return materialize(found.select(label, F.struct(*order).alias("last")), "split-borders")
+
+
 def split_balance(df: DataFrame, label: str = LABEL, split: str = "is_test") -> DataFrame:
     """Rows and positive share on each side of a split."""
     return df.groupBy(split).agg(

@@ -94,6 +94,45 @@ def test_stratified_split_is_exact(readings, pieces):
     assert balance[0][0] + balance[1][0] == 3000
 
 
+def test_splits_by_selection_and_by_sorting_are_the_same(readings):
+    chosen = model.stratified_split(readings, ["id"]).where("is_test = 1").select("id").collect()
+    ranked = model.stratified_split(readings, ["id"], pieces=5).where("is_test = 1").select("id").collect()
+    assert sorted(chosen) == sorted(ranked)
+
+
+@pytest.mark.parametrize("few", [0, 3, 10_000])
+def test_kth_least_refines_prefixes(spark, few):
+    rows = spark.range(3000).select(
+        (F.col("id") % 3).alias("label"),
+        # A third of the rows share one hash, so that the ties decide.
+        F.md5(F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string"))).alias("h"),
+        "id",
+    )
+    ranks = {0: 1, 1: 700, 2: 1000}
+    wanted = spark.createDataFrame([(k, v) for k, v in ranks.items()] + [(9, 4)], "label long, rank long")
+    found = model.kth_least(rows, wanted, "label", "h", ["id"], digits=1, few=few).collect()
+    every = rows.collect()
+    for r in found:
+        own = sorted((x["h"], x["id"]) for x in every if x["label"] == r["label"])
+        assert tuple(r["last"]) == own[ranks[r["label"]] - 1]
+    assert len(found) == 3
+
+
+def test_selection_does_not_shuffle_rows(spark, readings):
+    split = model.stratified_split(readings, ["id"])
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
+def test_stratified_split_with_null_and_single_classes(spark):
+    df = spark.sql("select id, case when id % 5 = 0 then null when id = 1 then 7 else 0 end will_fail_within_6h from range(40)")
+    for pieces in (None, 3):
+        split = model.stratified_split(df, ["id"], pieces=pieces)
+        assert split.count() == 40
+        tested = dict(split.where("is_test = 1").groupBy(model.LABEL).count().collect())
+        assert tested == {None: 2, 0: 8}
+
+
 def test_forest_recovers_the_signal(spark, readings, tmp_path):
     split = model.hash_split(readings, ["id"])
     fitted = model.train_forest(split.where("is_test = 0"), trees=10, max_depth=4)
