@@ -16,8 +16,11 @@ def staged(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def _served(value: Column, field: T.StructField) -> Column:
+def _served(value: Column, source: T.DataType, field: T.StructField) -> Column:
     kind = field.dataType
+    if isinstance(source, T.DecimalType) and isinstance(kind, T.DecimalType):
+        # Exact as it is: no way through a double, which holds some fifteen digits.
+        return F.round(value, kind.scale).try_cast(kind)
     if isinstance(kind, T.DecimalType):
         # Rounded like every other published figure; NULL where it does not fit.
         return guarded_round(value.cast("double"), kind.scale).try_cast(kind)
@@ -32,8 +35,9 @@ def conform(df: DataFrame, table: ServingTable) -> DataFrame:
     source_of = {new: old for old, new in table.renames.items()}
     return df.select(
         *[
-            _served(F.col(source_of.get(f.name, f.name)), f).alias(f.name)
+            _served(F.col(source), df.schema[source].dataType, f).alias(f.name)
             for f in table.schema
+            for source in [source_of.get(f.name, f.name)]
         ]
     )
 

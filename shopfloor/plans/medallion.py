@@ -4,9 +4,9 @@ Each layer is written once and read back, so a later step never recomputes an ea
 one and the row counts are those of the stored tables. Everything is overwritten in
 place; a rerun needs no clean-up. Only the record of model runs is appended to.
 
-After the transform two branches follow: charts, served tables and marts, and the failure
-model. A failed data test stops what depends on it and is raised at the end; the other
-branch is finished all the same.
+After the transform three branches run beside each other: charts and served tables, marts, and
+the failure model. A failed data test stops what depends on it and is raised at the end; the other
+branches are finished all the same.
 """
 
 from __future__ import annotations
@@ -80,6 +80,14 @@ def together(builders: dict[str, Callable[[], DataFrame]]) -> Tables:
         return {name: future.result() for name, future in running.items()}
 
 
+def attempt(build: Callable[..., Tables], *args) -> tuple[Tables, checks.DataCheckError | None]:
+    """What a branch has built, or the failed data test that stopped it."""
+    try:
+        return build(*args), None
+    except checks.DataCheckError as error:
+        return {}, error
+
+
 def build_bronze(spark: SparkSession, source: str, target: str, settings: Settings) -> Tables:
     """Raw CSV as Parquet, with the order of arrival.
 
@@ -396,16 +404,23 @@ def run_medallion(
         clean = build_silver(bronze, target)
         days = build_gold(clean, target, settings)
         lost = lost_rows(bronze, clean, target)
-        failed: checks.DataCheckError | None = None
-        try:
-            charts = build_spc(bronze, target, settings)
-            served = build_served(days, charts, target)
-            marts = build_marts(days, clean["downtime_events"], target)
-        except checks.DataCheckError as error:
-            failed = error
-        metrics = build_model(clean["sensor_readings"], target, settings)
-        if failed is not None:
-            raise failed
+        charts: Tables = {}
+
+        def charted() -> Tables:
+            charts.update(build_spc(bronze, target, settings))
+            return build_served(days, charts, target)
+
+        branches = together(
+            {
+                "served": partial(attempt, charted),
+                "marts": partial(attempt, build_marts, days, clean["downtime_events"], target),
+                "model": partial(attempt, build_model, clean["sensor_readings"], target, settings),
+            }
+        )
+    failed = [str(error) for _, error in branches.values() if error is not None]
+    if failed:
+        raise checks.DataCheckError("; ".join(failed))
+    served, marts, metrics = (branches[name][0] for name in ("served", "marts", "model"))
     written = {
         **{f"bronze.{name}": df for name, df in bronze.items()},
         **{f"silver.{name}": df for name, df in clean.items()},

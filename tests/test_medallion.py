@@ -151,6 +151,28 @@ def test_failed_marts_do_not_stop_the_model(spark, tmp_path):
     served = {p.name for p in (tmp_path / "out/served").iterdir()}
     assert served == {"fct_machine_daily_oee", "spc_control_chart_data"}
     assert (tmp_path / "out/models/predictive-maintenance/1").exists()
+    # Nor does a broken served table stop the marts.
+    assert {p.name for p in (tmp_path / "out/marts").iterdir()} == {"fct_line_oee", "fct_downtime_pareto"}
+
+
+def test_failures_of_several_branches_are_raised_together(spark, monkeypatch, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_inputs(source)
+
+    def fail(name):
+        def build(*args):
+            raise DataCheckError(name)
+
+        return build
+
+    monkeypatch.setattr(medallion, "build_served", fail("served is broken"))
+    monkeypatch.setattr(medallion, "build_marts", fail("marts are broken"))
+    with pytest.raises(DataCheckError, match="served is broken; marts are broken"):
+        medallion.run_medallion(
+            spark, str(source), str(tmp_path / "out"), medallion.Settings(trees=2, max_depth=2, min_leaf=1)
+        )
+    assert (tmp_path / "out/gold/predictive_maintenance_metrics").exists()
 
 
 def test_every_bronze_row_is_accounted_for(spark, run):

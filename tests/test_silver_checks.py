@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopfloor.operators import checks, conform, silver
 from shopfloor.sources import schemas
@@ -106,3 +107,15 @@ def test_conform_reports_what_does_not_fit(spark):
 def test_row_count_audit(spark):
     audit = checks.row_count_audit({"a": spark.range(3), "b": spark.range(0)})
     assert {tuple(r) for r in audit.collect()} == {("a", 3), ("b", 0)}
+
+
+def test_conform_keeps_every_digit_of_decimals(spark):
+    table = schemas.ServingTable(
+        schema=T.StructType([T.StructField("x", T.DecimalType(38, 4)), T.StructField("y", T.DecimalType(6, 2))])
+    )
+    df = spark.sql(
+        "select cast('123456789012345678901234.56785' as decimal(38,6)) x, cast('1.005' as decimal(10,4)) y"
+        " union all select cast(-1.00005 as decimal(38,6)), cast(99999.999 as decimal(10,4))"
+    )
+    rows = [(str(r.x), None if r.y is None else str(r.y)) for r in conform.conform(df, table).collect()]
+    assert rows == [("123456789012345678901234.5679", "1.01"), ("-1.0001", None)]
