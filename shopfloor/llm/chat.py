@@ -29,9 +29,10 @@ from shopfloor.llm.layout import table
 
 OPEN = "<turn "
 CLOSE = "\n</turn>\n"
-# A control string with the backslashes before it; escaping adds one in front.
-CONTROL = r"(\\*</turn>)"
-ESCAPED = r"\\(\\*</turn>)"
+# A control string with all backslashes before it; escaping adds one in front. A match starts at the
+# first of a run of backslashes and never goes back in it, so long runs take linear time.
+CONTROL = r"(?<!\\)(\\*+</turn>)"
+ESCAPED = r"(?<!\\)\\(\\*+</turn>)"
 HEADER = r"^<turn ((?:[^\\>]|\\.)*+)>\n"
 
 

@@ -1,6 +1,8 @@
 import hashlib
+import time
 
 import duckdb
+from pyspark.sql import functions as F
 from shopfloor.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, n int, turns string"
@@ -81,3 +83,19 @@ def test_query_equals_source_and_sql(spark, sf_dir):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat.format_chats(empty).collect() == []
+
+
+def test_long_runs_of_backslashes_take_linear_time(spark):
+    """A megabyte of them, before a control string or anything else, and many short runs."""
+    run = "\\" * 1_000_000
+    texts = [run, run + "</turn>", run + "x</turn>" + run, ("\\" * 99 + "y") * 10_000]
+    rows = [(i, t, role, text, 1, "x") for i, text in enumerate(texts) for t, role in enumerate(("user", "assistant"))]
+    started = time.monotonic()
+    found = chat.format_chats(spark.createDataFrame(rows, SCHEMA)).count()
+    back = spark.createDataFrame(rows, SCHEMA).select(
+        (chat.unescape(chat.escape(F.col("text"))) == F.col("text")).alias("same"),
+        F.length(chat.escape(F.col("text"))).alias("n"),
+    )
+    assert found == 4 and all(r["same"] for r in back.collect())
+    assert sorted({r["n"] for r in back.collect()}) == [10**6, 10**6 + 8, 2 * 10**6 + 9]
+    assert time.monotonic() - started < 60
