@@ -60,10 +60,16 @@ ALPHABET = 1 << 16
 
 @cache
 def _symbols() -> np.ndarray:
-    """Code point to symbol: letters to themselves (16 bits), all else to a space."""
+    """Code point to symbol: letters to themselves (16 bits), all else to a space.
+
+    Letters beyond U+FFFF are folded into 16 bits; none becomes the space.
+    """
     letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
     code = np.arange(0x110000)
-    return np.where(letter, (code ^ (code >> 16 << 5)) & 0xFFFF, 0x20).astype(np.uint16)
+    folded = (code ^ (code >> 16 << 5)) & 0xFFFF
+    # The exclamation mark is no letter, so its symbol is free.
+    folded[folded == 0x20] = 0x21
+    return np.where(letter, folded, 0x20).astype(np.uint16)
 
 
 def grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -128,3 +128,13 @@ def test_all_grams_make_the_model(make_documents, monkeypatch):
     top = model.levels[0][-1]
     seen = gram >> np.uint64(16) == top.contexts[0]
     assert np.isclose(top.weight[0], discount * seen.sum() / n[seen].sum())
+
+
+def test_letters_beyond_the_first_plane_are_letters():
+    """None of them reads as a space, whatever 16 bits it folds into."""
+    for letter in ("\U00010000", "\U00020060", "\U00030040", "\U0001D504"):
+        assert letter.isalpha()
+        _, counts = langid.grams([letter, f"{letter}a", "1 2"])
+        assert counts[0] > 0 and counts[1] > 0 and counts[2] == 0
+    symbols = langid._symbols()
+    assert all(symbols[c] != 0x20 for c in range(0x10000, 0x110000) if chr(c).isalpha())
