@@ -535,6 +535,7 @@ ORACLE: dict[str, str] = {
     "conform_violations": _conform_violations(),
     "incremental_machine_days": MACHINE_DAYS,
     "incremental_line_oee": LINE_OEE,
+    "bucketed_machine_days": MACHINE_DAYS,
     "incremental_pareto": f"""
         SELECT reason, event_count, total_downtime_hours,
                {rounded("total_downtime_hours / sum(total_downtime_hours) OVER ()", 4)}
