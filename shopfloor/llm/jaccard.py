@@ -1,7 +1,9 @@
 """Exact n-gram Jaccard join with token-combination prefixes.
 
 Tokens are the distinct word shingles of a text. All sets order their tokens alike: rare
-ones first (by hash), frequent ones last (by how often they occur). Two sets of which the
+ones first, by a table that counts the tokens of all sets in a fixed number of buckets, then
+frequent ones by how often they occur. So a passage that many texts share stays out of their
+prefixes. Two sets of which the
 similarity reaches the threshold share a token among the first ``p`` of either, and ``g + 1``
 tokens among the first ``p + g``. So
 
@@ -36,7 +38,8 @@ are not named are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -63,6 +66,10 @@ SALTS = 64
 # The filter that spares texts without partner a shuffle has 2**23 bits: 1 MB, whatever the
 # input. Where it fills up it lets more texts pass, and the join after it still decides.
 FILTER_BITS = 23
+# Tokens are counted in so many buckets, whatever the input: two megabytes once they are levels.
+COUNTERS = 1 << 21
+# Counters are handed on in blocks of so many.
+COUNTER_BLOCK = 1 << 15
 PROBE, INDEX = 1, 2
 
 
@@ -76,8 +83,54 @@ def _fresh(seen: set, c1: np.ndarray, c2: np.ndarray, sizes: np.ndarray) -> np.n
     return out
 
 
+def _counter_rows(counters: np.ndarray, names: Sequence[str]) -> pa.RecordBatch:
+    """A row for each block of counters that is not all zero: its number as ``token``, and itself."""
+    blocks = counters.reshape(-1, COUNTER_BLOCK)
+    own = np.flatnonzero(blocks.any(axis=1))
+    packed = [zlib.compress(np.minimum(blocks[k], 65535).astype("<u2").tobytes(), 1) for k in own]
+    none, short = pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.int32())
+    columns = [none, none, short, none, pa.array(packed, pa.binary()), pa.array(own), none]
+    return pa.record_batch(columns, names)
+
+
+def _token_levels(scanned: DataFrame) -> np.ndarray:
+    """Per bucket how many tokens of all sets fell into it, in steps of a quarter of a doubling.
+
+    Counters are summed by the tasks that read them, then by block, so that no group holds more
+    than one block of each reading task.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(zlib.decompress(packed), dtype="<u2").astype(np.int64)
+                total[block] = total[block] + own if block in total else own
+        held = [zlib.compress(total[b].tobytes(), 1) for b in total]
+        yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(held, pa.binary())], ["block", "counts"])
+
+    def level(key: tuple, parts: pa.Table) -> pa.Table:
+        packed = parts.column("counts").to_pylist()
+        counts = sum(np.frombuffer(zlib.decompress(x), dtype="<i8") for x in packed)
+        levels = np.floor(4 * np.log2(counts + 1.0)).astype(np.uint8).tobytes()
+        return pa.table({"block": [key[0].as_py()], "levels": pa.array([levels], pa.binary())})
+
+    blocks = scanned.where("token is not null and count is null").select("token", "bits")
+    found = (
+        blocks.mapInArrow(read, "block long, counts binary")
+        .groupBy("block")
+        .applyInArrow(level, "block long, levels binary")
+        .toArrow()
+    )
+    out = np.zeros((COUNTERS // COUNTER_BLOCK, COUNTER_BLOCK), dtype=np.uint8)
+    for block, levels in zip(*(found.column(c).to_pylist() for c in found.column_names), strict=True):
+        out[block] = np.frombuffer(levels, dtype=np.uint8)
+    return out.ravel()
+
+
 def _scan_sets(words: int):
-    """(id, text) to one row per text, and one per token that a run holds several times."""
+    """(id, text) to one row per text, one per token that a run holds several times, and the
+    task's counters of tokens."""
     names = ["id", "c1", "c2", "n", "bits", "token", "count"]
 
     def report(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -94,6 +147,7 @@ def _scan_sets(words: int):
         held: list[np.ndarray] = []
         seen: set = set()
         size = 0
+        counters = np.zeros(COUNTERS, dtype=np.int32)
         for batch in batches:
             for first, sets in shingles.slabs(batch.column(1), words):
                 c1, c2 = shingles.signatures(sets)
@@ -105,6 +159,7 @@ def _scan_sets(words: int):
                 yield pa.record_batch([*own, bits, none, none], names)
                 fresh = _fresh(seen, c1, c2, sizes)
                 held.append(sets.hashes[np.repeat(fresh, sizes)])
+                np.add.at(counters, _bucket(held[-1]), 1)
                 size += len(held[-1])
                 if size >= RUN_TOKENS:
                     yield report(held)
@@ -112,10 +167,15 @@ def _scan_sets(words: int):
                     seen.clear()
         if size:
             yield report(held)
+        yield _counter_rows(counters, names)
 
     return run
 
 
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
 def _least_overlap(percent: int, n: int) -> int:
     return -(-percent * n // 100)
 
@@ -180,7 +240,7 @@ def _scan_keys(words: int, percent: int, frequent):
     """(text) to the keys of its prefix: (frequent, key, c1, c2, n, mark)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = frequent.value
+        known, rank, levels = frequent.value
         for batch in batches:
             seen: set = set()
             for _, sets in shingles.slabs(batch.column(0), words):
@@ -196,7 +256,11 @@ def _scan_keys(words: int, percent: int, frequent):
                 else:
                     spot, often = None, np.zeros(len(hashes), dtype=bool)
                 rares = np.bincount(owner[~often], minlength=len(sizes))
-                place = np.cumsum(~often) - 1 - np.repeat(np.cumsum(rares) - rares, sizes)
+                # Rare tokens first, by level and then by hash, in which they are sorted already.
+                order = owner.astype(np.uint64) << np.uint64(9) | often.astype(np.uint64) << np.uint64(8)
+                order = np.argsort(order | levels[_bucket(hashes)], kind="stable")
+                place = np.empty(len(hashes), dtype=np.int64)
+                place[order] = np.arange(len(hashes)) - np.repeat(sets.ends - sizes, sizes)
                 probe = sizes - -(-percent * sizes // 100) + 1
                 index = sizes - -(-2 * percent * sizes // (100 + percent)) + 1
                 single = ~often & (place < probe[owner]) & fresh[owner]
@@ -391,7 +455,7 @@ def _group_pairs(differences: DataFrame, labels: DataFrame, percent: int) -> Dat
     ranked = materialize(
         ranked.withColumn("indexed", F.col("place") <= F.col("a") - least_index + 1)
         .where(F.col("place") <= F.col("a") - F.least(least_probe, least_index) + 1)
-        .select("root", "token", "node", "n", "comp", "a", "useful", "indexed"),
+        .select("root", "token", "node", "n", "comp", "a", "useful", "place", "indexed"),
         "apart-keys",
     )
     one, two = (
@@ -404,6 +468,8 @@ def _group_pairs(differences: DataFrame, labels: DataFrame, percent: int) -> Dat
         .join(two, ["root", "token"])
         .where(F.expr("comp1 <> comp2 and (a1 < a2 or (a1 = a2 and node1 < node2))"))
         .where(2 * F.least("useful1", "useful2") >= bound)
+        # The first token that two members share leaves only what follows it in either to share.
+        .where(2 * (1 + F.least(F.col("a1") - F.col("place1"), F.col("a2") - F.col("place2"))) >= bound)
         .where(_compatible(percent, "n1", "n2"))
         .select(F.col("node1").alias("a"), F.col("node2").alias("b"))
         .distinct()
@@ -563,7 +629,7 @@ def similarity_components(
     )
     total = rows.count()
     often = (
-        scanned.where("token is not null")
+        scanned.where("count is not null")
         .groupBy("token")
         .agg(F.sum("count").alias("count"))
         .where(F.col("count") >= FREQUENT_SHARE * total)
@@ -574,7 +640,7 @@ def similarity_components(
     known, count = token[order], often["count"].to_numpy()[order]
     rank = np.empty(len(known), dtype=np.int64)
     rank[np.lexsort((known, count))] = np.arange(len(known))
-    frequent = spark.sparkContext.broadcast((known, rank))
+    frequent = spark.sparkContext.broadcast((known, rank, _token_levels(scanned)))
 
     shared = _shared_keys(texts, words, percent, frequent)
     nodes = materialize(
