@@ -9,11 +9,16 @@ outweighs a block list.
 A pattern's events are first reduced to one per day, so its history is bounded by days, and an
 interval appears once in each period of ``PERIOD_DAYS`` it touches. Captures join on
 (pattern, period), which spreads a hot host over its periods, and skewed join splitting cuts
-what is still large. No pair outside a period is formed.
+what is still large. No pair outside a period is formed. Where the captures' days span more than
+``FAN`` periods, ``FAN`` of them make one of the next level, and so on: an interval becomes at
+most ``2 * FAN`` rows a level, of the largest periods that fit, and a capture asks at each level.
+
+A capture asks for patterns no deeper than the deepest entry, in labels of the host and in steps
+of the path, so a very long URL costs no more than its length.
 
 Edge cases: a null URL or one without host matches nothing and is not blocked; a null day
 likewise; events with a null field are left out; of several events on a day removal wins;
-equal captures are one row; empty lists block nothing; an empty table gives an empty result.
+equal captures are one row; very long URLs and far days are bounded as above; empty lists block nothing; an empty table gives an empty result.
 Only named columns are read.
 """
 
@@ -26,6 +31,8 @@ from shopfloor.llm.layout import table
 from shopfloor.scratch import materialize
 
 PERIOD_DAYS = 32
+# Periods of one level that make one of the next.
+FAN = 64
 # Half-open intervals without an end close here.
 NEVER = 1 << 30
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -54,21 +61,23 @@ def host(url: str) -> Column:
     return F.lower(F.regexp_extract(url, HOST, 1))
 
 
-def patterns(url: str) -> Column:
-    """The host and its parent domains, each alone and with every leading part of the path."""
-    labels = F.split(host(url), r"\.")
-    n = F.size(labels)
+def patterns(url: str, labels: Column, steps: Column) -> Column:
+    """The host and its parent domains of at most ``labels`` labels, each alone and with every
+    leading part of the path up to ``steps`` steps."""
+    own = F.split(host(url), r"\.")
+    n = F.size(own)
+    first = F.greatest(F.lit(1), n - labels + 1)
     domains = F.when(
-        host(url) != "",
+        (host(url) != "") & (labels > 0),
         F.transform(
-            F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n - i + 1), ".")
+            F.sequence(first, n), lambda i: F.array_join(F.slice(own, i, n - i + 1), ".")
         ),
     ).otherwise(F.array().cast("array<string>"))
-    steps = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda x: x != "")
+    parts = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda x: x != "")
     paths = F.transform(
-        F.sequence(F.lit(0), F.size(steps)),
+        F.sequence(F.lit(0), F.least(F.size(parts), steps)),
         lambda i: F.when(i == 0, "").otherwise(
-            F.concat(F.lit("/"), F.array_join(F.slice(steps, 1, i), "/"))
+            F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))
         ),
     )
     return F.flatten(
@@ -76,27 +85,83 @@ def patterns(url: str) -> Column:
     )
 
 
+def deepest(entries: DataFrame) -> DataFrame:
+    """One row: the most ``labels`` and path ``steps`` of a pattern; zeros without patterns."""
+    parts = F.split("pattern", "/")
+    return entries.agg(
+        F.coalesce(F.max(F.size(F.split(parts[0], r"\."))), F.lit(0)).alias("labels"),
+        F.coalesce(F.max(F.size(parts) - 1), F.lit(0)).alias("steps"),
+    )
+
+
+def levels(first: int, last: int) -> int:
+    """How many levels of periods days from ``first`` to ``last`` need."""
+    span, found = last // PERIOD_DAYS - first // PERIOD_DAYS + 1, 1
+    while span > FAN:
+        span, found = span // FAN + 1, found + 1
+    return found
+
+
+def _blocks(low: Column, high: Column, level: int) -> Column:
+    return F.when(
+        low <= high,
+        F.transform(
+            F.sequence(low, high),
+            lambda x: F.struct(F.lit(level).alias("level"), x.cast("long").alias("period")),
+        ),
+    ).otherwise(F.array().cast("array<struct<level: int, period: bigint>>"))
+
+
+def with_periods(valid: DataFrame, first: int, last: int) -> DataFrame:
+    """``valid`` once for each (``level``, ``period``) that makes up its days in [first, last]."""
+    count = levels(first, last)
+    rows = valid.withColumn(
+        "low", F.floor(F.greatest("starts", F.lit(first)) / PERIOD_DAYS)
+    ).withColumn("high", F.floor(F.least(F.col("ends") - 1, F.lit(last)) / PERIOD_DAYS))
+    made = [f"made{level}" for level in range(count)]
+    for level, name in enumerate(made):
+        low, high = F.col("low"), F.col("high")
+        if level == count - 1:
+            rows = rows.withColumn(name, _blocks(low, high, level))
+            continue
+        # The whole periods of the next level, and what is left on either side of them.
+        up, down = F.ceil(low / FAN), F.floor((high + 1) / FAN) - 1
+        whole = up <= down
+        own = F.when(
+            whole,
+            F.concat(_blocks(low, up * FAN - 1, level), _blocks((down + 1) * FAN, high, level)),
+        ).otherwise(_blocks(low, high, level))
+        rows = rows.withColumn(name, own).withColumns(
+            {"low": F.when(whole, up).otherwise(F.lit(1)), "high": F.when(whole, down).otherwise(F.lit(0))}
+        )
+    every = F.concat(*made) if len(made) > 1 else F.col(made[0])
+    return rows.select(*valid.columns, F.inline(every))
+
+
 def evaluated(captures: DataFrame, events: DataFrame, *, url: str = "url", day: str = "day", key: str = "page_id") -> DataFrame:
     """Per capture: id, url, day, ``active`` (how many entries), ``matched``, ``blocked``."""
     dated = captures.select(
         F.col(key).alias("capture"), F.col(url).alias("url"), F.col(day).cast("int").alias("day")
     ).distinct()
     valid = intervals(events)
-    last = dated.agg(F.max("day")).first()[0]
-    last = 0 if last is None else int(last)
-    periods = F.sequence(
-        F.floor(F.col("starts") / PERIOD_DAYS),
-        F.floor(F.least(F.col("ends") - 1, F.lit(max(last, 0))) / PERIOD_DAYS),
-    )
-    entries = materialize(
-        valid.where(F.col("starts") <= last).withColumn("period", F.explode(periods)), "intervals"
+    first, last = dated.agg(F.min("day"), F.max("day")).first()
+    first, last = (0, 0) if last is None else (int(first), int(last))
+    active = valid.where((F.col("starts") <= last) & (F.col("ends") > first))
+    entries = materialize(with_periods(active, first, last), "intervals")
+    deep = deepest(entries).first()
+    wanted = F.array_distinct(patterns("url", F.lit(deep["labels"]), F.lit(deep["steps"])))
+    own = F.floor(F.col("day") / PERIOD_DAYS)
+    periods = F.array(
+        *[
+            F.struct(F.lit(level).alias("level"), F.floor(own / FAN**level).alias("period"))
+            for level in range(levels(first, last))
+        ]
     )
-    asked = (
-        dated.withColumn("pattern", F.explode(F.array_distinct(patterns("url"))))
-        .withColumn("period", F.floor(F.col("day") / PERIOD_DAYS))
+    asked = dated.where(F.col("day").isNotNull()).withColumn("pattern", F.explode(wanted)).select(
+        "capture", "url", "day", "pattern", F.inline(periods)
     )
     met = (
-        asked.join(entries, ["pattern", "period"])
+        asked.join(entries, ["pattern", "level", "period"])
         .where((F.col("starts") <= F.col("day")) & (F.col("day") < F.col("ends")))
         .select("capture", "url", "day", "list", "action", "pattern")
     )

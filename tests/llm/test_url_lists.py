@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+from pyspark.sql import functions as F
 from shopfloor.llm import url_lists
 
 CAPTURES = "page_id long, url string, day int, pattern string, period int"
@@ -107,3 +108,51 @@ def test_query_equals_sql(spark, sf_dir):
     expected = con.execute(f"SELECT {columns} FROM ({url_lists.ORACLE_OP2})").fetchall()
     assert sorted(map(tuple, found.collect())) == sorted(expected)
     assert any(r[-1] for r in expected) and not all(r[-1] for r in expected)
+
+
+def test_far_days_and_very_long_urls_stay_small(spark):
+    deep = "http://" + "a." * 500 + "example/" + "s/" * 2000
+    captures = [(1, deep, 5), (2, "http://a.example/s/t", 20_000_000), (3, "http://a.example/s", -3_000_000), (4, deep, 700)]
+    events = [
+        ("l", "block", "a.example", 4, True),
+        ("l", "allow", "a.example/s", 600, True),
+        ("m", "block", "a.example/s/s/s", 3, True),
+        ("m", "block", "example", -2_000_000_000, True),
+        ("n", "block", "example", 10, True),
+        ("n", "block", "example", 19_999_999, False),
+    ]
+    check(spark, captures, events)
+    valid = url_lists.intervals(spark.createDataFrame(events, EVENTS))
+    first, last = -3_000_000, 20_000_000
+    made = url_lists.with_periods(valid, first, last)
+    assert made.count() <= valid.count() * 2 * url_lists.FAN * url_lists.levels(first, last)
+    asked = spark.createDataFrame([(deep,)], "url string").select(
+        F.size(url_lists.patterns("url", F.lit(2), F.lit(3))).alias("n")
+    )
+    assert asked.first()["n"] == 2 * 4
+
+
+def test_levels_cover_each_day_once(spark, monkeypatch):
+    """With few periods to a level: every day of an interval lies in exactly one of its rows."""
+    monkeypatch.setattr(url_lists, "FAN", 3)
+    rng = random.Random(2)
+    spans = [(rng.randrange(-2000, 9000), rng.randrange(1, 4000)) for _ in range(60)]
+    rows = [(i, s, s + n) for i, (s, n) in enumerate(spans)]
+    valid = spark.createDataFrame(rows, "id int, starts int, ends int")
+    first, last = -700, 8000
+    held = {}
+    for r in url_lists.with_periods(valid, first, last).collect():
+        held.setdefault(r["id"], []).append((r["level"], r["period"]))
+    for i, starts, ends in rows:
+        for day in range(first, last + 1, 29):
+            period = day // url_lists.PERIOD_DAYS
+            met = sum(period // 3**level == p for level, p in held.get(i, []))
+            assert met <= 1
+            if starts <= day < ends:
+                assert met == 1
+    found = [
+        (rng.choice("lm"), "block", rng.choice(["a.example", "example", "a.example/x"]), rng.randrange(-900, 9000), rng.random() < 0.6)
+        for _ in range(120)
+    ]
+    captures = [(i, "http://a.example/x/y", rng.randrange(-800, 9000)) for i in range(300)]
+    check(spark, captures, found)
