@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from shopfloor.llm import mixing
 
@@ -113,3 +114,27 @@ def test_unnamed_values_alone_and_an_entry_of_zero(make_documents):
     targets = mixing.Targets({"lang": {"en": 1.0, "*": 0.0}}, budget=0.4)
     found = mixing.sampled(both, targets, dimensions, ["lang"], F.lit(3)).collect()
     assert found and {r["lang"] for r in found} == {"en"}
+
+
+def test_raking_is_the_plain_one():
+    """Fitting cell by cell with loops, the caps at what a cell holds included."""
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        tokens = rng.integers(0, 500, (3, 4)).astype(float)
+        tokens[0, 1] = 0
+        margins = [rng.random(3) + 0.2, rng.random(4) + 0.2]
+        cells = {at: v for at, v in np.ndenumerate(tokens)}
+        total = tokens.sum()
+        fitted = {at: v * 0.3 for at, v in cells.items()}
+        for _ in range(5000):
+            for axis, share in enumerate(margins):
+                for k, part in enumerate(share):
+                    own = [at for at in cells if at[axis] == k]
+                    now = sum(fitted[at] for at in own)
+                    if now:
+                        for at in own:
+                            fitted[at] *= part / share.sum() * 0.3 * total / now
+            fitted = {at: min(v, cells[at]) for at, v in fitted.items()}
+        found = mixing.rake(tokens, margins, 0.3)
+        for at, v in fitted.items():
+            assert found[at] == pytest.approx(v, abs=1e-3 * total)

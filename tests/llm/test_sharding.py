@@ -82,3 +82,53 @@ def test_files_of_shards_prune(spark, tmp_path):
     assert len(boxes) == 64
     touched = stored.where("x < 16 AND y < 16").select("shard").distinct().count()
     assert touched <= 64 * (1 / 16) + 2
+
+
+def plain_hilbert(point, bits):
+    """The place of one point on the curve, bit by bit with Python's numbers."""
+    x = list(point)
+    n, bit = len(x), 1 << (bits - 1)
+    while bit > 1:
+        low = bit - 1
+        for i in range(n):
+            if x[i] & bit:
+                x[0] ^= low
+            else:
+                t = (x[0] ^ x[i]) & low
+                x[0] ^= t
+                x[i] ^= t
+        bit >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t, bit = 0, 1 << (bits - 1)
+    while bit > 1:
+        if x[-1] & bit:
+            t ^= bit - 1
+        bit >>= 1
+    x = [v ^ t for v in x]
+    place = 0
+    for level in range(bits - 1, -1, -1):
+        for v in x:
+            place = place << 1 | v >> level & 1
+    return place
+
+
+def test_query_is_the_plain_order_of_the_table(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    rows = [(r["source"], r["lang"], len((r["text"] or "").encode()) + 1, r["doc_id"], zlib.crc32((r["text"] or "").encode())) for r in given]
+    cells = []
+    for axis in range(3):
+        values = sorted(r[axis] for r in rows if r[axis] is not None)
+        least = {}
+        for at, value in enumerate(values):
+            if not at or value != values[at - 1]:
+                least.setdefault(at * 64 // len(values), value)
+        bounds = sorted(least.values())[1:]
+        cells.append([0 if r[axis] is None else sum(b <= r[axis] for b in bounds) for r in rows])
+    ordered = sorted((plain_hilbert(point, 6), *r[3:]) for point, r in zip(zip(*cells, strict=True), rows, strict=True))
+    expected = {}
+    for rank, (place, doc_id, checksum) in enumerate(ordered):
+        shard = rank * 16 // len(rows)
+        expected[doc_id] = (checksum, place, shard, rank - -(-shard * len(rows) // 16))
+    found = sharding.op1_hilbert_sharding(spark, sf_dir).collect()
+    assert {r["doc_id"]: (r["text_crc32"], r["curve_index"], r["shard"], r["slot"]) for r in found} == expected
