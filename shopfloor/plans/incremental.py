@@ -19,12 +19,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions import guarded_round
 from shopfloor.operators import oee, pareto, silver
+from shopfloor.plans.medallion import together
 from shopfloor.scratch import materialize
 from shopfloor.sources.writers import write_by_date
 
@@ -111,8 +113,13 @@ def run_increment(
     reason: str = "reason",
 ) -> Tables:
     """Take one delivery in; returns the layers, and its part of the manifest."""
-    measured_raw, measured_days = land(quality_raw, target, quality, batch)
-    stopped_raw, stopped_days = land(downtime_raw, target, downtime, batch)
+    landed = together(
+        {
+            "quality": partial(land, quality_raw, target, quality, batch),
+            "stops": partial(land, downtime_raw, target, downtime, batch),
+        }
+    )
+    (measured_raw, measured_days), (stopped_raw, stopped_days) = landed["quality"], landed["stops"]
     manifest = materialize(measured_days.unionByName(stopped_days), "touched-days")
     # One row per table and day of the delivery: a calendar bounds them.
     touched = manifest.select("table_name", "day").collect()
@@ -120,19 +127,34 @@ def run_increment(
     for row in touched:
         days.add(row["day"])
         own[row["table_name"]].add(row["day"])
-    measured = rebuild_silver(measured_raw, target, quality, own[quality.name])
-    stopped = rebuild_silver(stopped_raw, target, downtime, own[downtime.name])
-    facts = oee.machine_daily_oee(
-        oee.quality_daily(of_days(measured, quality.date, days), date=quality.date, in_spec=in_spec),
-        oee.downtime_daily(of_days(stopped, downtime.date, days), date=downtime.date, hours=hours),
-        planned_hours=planned_hours,
+    clean = together(
+        {
+            "quality": partial(rebuild_silver, measured_raw, target, quality, own[quality.name]),
+            "stops": partial(rebuild_silver, stopped_raw, target, downtime, own[downtime.name]),
+        }
     )
-    gold = write_by_date(facts, f"{target}/gold/fct_machine_daily_oee", DAY, replace_all=False)
+    measured, stopped = clean["quality"], clean["stops"]
+
+    def rebuild_gold() -> DataFrame:
+        lost = of_days(stopped, downtime.date, days)
+        facts = oee.machine_daily_oee(
+            oee.quality_daily(
+                of_days(measured, quality.date, days), date=quality.date, in_spec=in_spec
+            ),
+            oee.downtime_daily(lost, date=downtime.date, hours=hours),
+            planned_hours=planned_hours,
+        )
+        return write_by_date(facts, f"{target}/gold/fct_machine_daily_oee", DAY, replace_all=False)
+
+    def rebuild_totals() -> DataFrame:
+        stops = of_days(stopped, downtime.date, own[downtime.name])
+        by_reason = reason_days(stops, downtime.date, reason, hours)
+        return write_by_date(by_reason, f"{target}/gold/downtime_by_reason", DAY, replace_all=False)
+
+    facts = together({"gold": rebuild_gold, "totals": rebuild_totals})
+    gold, totals = facts["gold"], facts["totals"]
     line_days = oee.line_oee(of_days(gold, DAY, days))
     mart = write_by_date(line_days, f"{target}/marts/fct_line_oee", DAY, replace_all=False)
-    stops = of_days(stopped, downtime.date, own[downtime.name])
-    by_reason = reason_days(stops, downtime.date, reason, hours)
-    totals = write_by_date(by_reason, f"{target}/gold/downtime_by_reason", DAY, replace_all=False)
     return {
         "fct_machine_daily_oee": gold,
         "fct_line_oee": mart,

@@ -578,10 +578,10 @@ _delivered: dict[tuple, incremental.Tables] = {}
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> incremental.Tables:
-    """The layers after four deliveries of the events, made once for all queries.
+    """The layers after three deliveries of the events, made once for all queries.
 
     The first holds the days up to the middle of the month, the second the later ones and copies
-    of some earlier rows, the third is the second again, and the fourth brings late rows of all days.
+    of some earlier rows, and the third brings late rows of all days.
     """
     key = (spark.conf.get("spark.app.id", ""), sf_dir)
     if key in _delivered:
@@ -604,7 +604,7 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> incremental.Tables:
         F.concat(F.lit("reason "), F.col("user_id") % 3).alias("reason"),
     )
     target = scratch_path(spark, "increments")
-    for batch in (1, 2, 2, 3):
+    for batch in parts:
         own = rows.where(parts[batch])
         layers = incremental.run_increment(
             own.where("event_type <> 'error'").drop("event_type", "downtime_hours", "reason"),
