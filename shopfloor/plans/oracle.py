@@ -275,6 +275,10 @@ STOPS = """
     FROM events WHERE event_type = 'error'
 """
 
+ROW_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
+)
+
 ORACLE: dict[str, str] = {
     "csv_scan": STOPS,
     "csv_inferred": STOPS,
@@ -578,10 +582,8 @@ ORACLE: dict[str, str] = {
                CAST(sum(CAST(value / 100 AS DECIMAL(28, 6))) AS DOUBLE) AS downtime_hours
         FROM ({_in_time("event_type = 'error'")}) GROUP BY 1, 2, 3
     """,
-    "row_count_audit": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
-        for name in TABLES
-    ),
+    "row_count_audit": ROW_COUNTS,
+    "row_counts_from_footers": ROW_COUNTS,
 }
 
 # The same results are due whatever the number of pieces.

@@ -815,6 +815,11 @@ def row_count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.row_count_audit({name: table(spark, sf_dir, name) for name in TABLES})
 
 
+def row_counts_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = {name: f"{sf_dir.rstrip('/')}/{name}.parquet" for name in TABLES}
+    return checks.footer_counts(spark, paths)
+
+
 QUERIES: dict[str, Query] = {
     "silver_typed": silver_typed,
     "silver_dedup": silver_dedup,
@@ -876,6 +881,7 @@ QUERIES: dict[str, Query] = {
     "conform_schema": conform_schema,
     "conform_violations": conform_violations,
     "row_count_audit": row_count_audit,
+    "row_counts_from_footers": row_counts_from_footers,
     "incremental_machine_days": incremental_machine_days,
     "incremental_line_oee": incremental_line_oee,
     "incremental_pareto": incremental_pareto,

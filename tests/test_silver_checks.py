@@ -119,3 +119,24 @@ def test_conform_keeps_every_digit_of_decimals(spark):
     )
     rows = [(str(r.x), None if r.y is None else str(r.y)) for r in conform.conform(df, table).collect()]
     assert rows == [("123456789012345678901234.5679", "1.01"), ("-1.0001", None)]
+
+
+def test_footer_counts_read_no_column(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).select("id", (F.col("id") % 3).alias("part"))
+    rows.write.parquet(str(tmp_path / "plain"))
+    rows.write.partitionBy("part").parquet(str(tmp_path / "parts"))
+    rows.limit(0).write.parquet(str(tmp_path / "empty"))
+    plans = []
+    audit = checks.row_count_audit
+
+    def spy(tables):
+        counted = audit(tables)
+        plans.append(counted._jdf.queryExecution().executedPlan().toString())
+        return counted
+
+    monkeypatch.setattr(checks, "row_count_audit", spy)
+    found = checks.footer_counts(spark, {n: str(tmp_path / n) for n in ("plain", "parts", "empty")})
+    assert dict(map(tuple, found.collect())) == {"plain": 1000, "parts": 1000, "empty": 0}
+    assert plans[0].count("PushedAggregation: [COUNT(*)]") == 3
+    # The caller's session is as before.
+    assert "FileScan parquet" in spark.read.parquet(str(tmp_path / "plain"))._jdf.queryExecution().executedPlan().toString()
