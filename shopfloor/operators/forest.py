@@ -6,9 +6,11 @@ scores, and it lets a forest be scored, audited and explained by SQL alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,11 +44,24 @@ def node_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def nodes_of(model: PipelineModel) -> DataFrame:
-    """The node table of a fitted pipeline's forest; its size depends on the forest alone."""
+    """The node table of a fitted pipeline's forest; its size depends on the forest alone.
+
+    If the pipeline puts its features into bins first, the thresholds are the bins' edges, so
+    that they hold for the features themselves.
+    """
     spark = SparkSession.active()
     path = scratch_path(spark, "forest")
     model.stages[-1].write().save(path)
-    return materialize(node_table(spark, path), "forest-nodes")
+    nodes = node_table(spark, path)
+    for stage in model.stages:
+        if isinstance(stage, Bucketizer):
+            edges = [
+                F.array(*[F.lit(math.nextafter(s, -math.inf)) for s in splits[1:]])
+                for splits in stage.getSplitsArray()
+            ]
+            edge = F.get(F.get(F.array(*edges), F.col("feature")), F.floor("threshold").cast("int"))
+            nodes = nodes.withColumn("threshold", F.when(F.col("feature") != LEAF, edge))
+    return materialize(nodes, "forest-nodes")
 
 
 def depth_of(model: PipelineModel) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime
@@ -9,7 +10,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -178,6 +179,54 @@ def trainable(
     return df.where(complete), df.where(~complete)
 
 
+def bucketizer(
+    edges: Sequence[Sequence[float]], features: Sequence[str], names: Sequence[str], invalid: str = "error"
+) -> Bucketizer:
+    """The bin of each feature: how many of its ``edges`` lie below the value."""
+    splits = []
+    for own in edges:
+        # A bucket does not hold its upper split, but a bin holds its edge.
+        above = sorted({math.nextafter(e, math.inf) for e in own} - {math.inf}) or [0.0]
+        splits.append([-math.inf, *above, math.inf])
+    return Bucketizer(
+        splitsArray=splits, inputCols=list(features), outputCols=list(names), handleInvalid=invalid
+    )
+
+
+def bin_edges(
+    weighted: DataFrame,
+    features: Sequence[str],
+    label: str,
+    max_bins: int,
+    seed: int,
+    partitions: int,
+) -> list[list[float]]:
+    """Per feature the upper edges of at most ``max_bins`` bins.
+
+    As MLlib does, the edges are taken of ``max_bins ** 2`` rows, at least 10,000, drawn by
+    ``weight``: all values if they are few, else as many quantiles of each class.
+    """
+    columns = weighted.columns
+    dealt = weighted.repartition(partitions, *columns).sortWithinPartitions(*columns)
+    share = max(max_bins**2, 10_000) / max(weighted.count(), 1)
+    drawn = materialize(dealt.where(F.rand(seed) < F.col("weight") * share), "bin-rows")
+    classes = drawn.select(label).distinct().count()
+    cuts = max(max_bins // max(classes, 1), 2)
+    shares = [k / cuts for k in range(1, cuts)]
+    # This accuracy is exact for so few rows.
+    quantiles = drawn.groupBy(label).agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, 1_000_000).alias(c) for c in features]
+    ).collect()
+    values = [F.collect_set(F.col(c).cast("double")) for c in features]
+    few = drawn.agg(
+        *[F.when(F.size(v) <= max_bins, F.sort_array(v)).alias(c) for v, c in zip(values, features, strict=True)]
+    ).first()
+    return [
+        few[c][:-1] if few[c] is not None else sorted({q for row in quantiles for q in row[c]})
+        for c in features
+    ]
+
+
 def train_forest(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -191,6 +240,7 @@ def train_forest(
     seed: int = 42,
     training_partitions: int = 16,
     max_training_rows: int | None = None,
+    cell_parts: int = 64,
 ) -> PipelineModel:
     """Random forest with balanced class weights.
 
@@ -198,12 +248,18 @@ def train_forest(
     root of three features. Rows without label or with a missing feature are left out.
     The training columns are written once, since fitting reads them several times.
 
-    MLlib draws its bootstrap samples per partition, so the rows are dealt into
+    The learner tells rows apart by their bins and class alone, so all rows are counted in cells
+    of (bins, class) and the forest is fitted on these. A cell of up to ``cell_parts`` rows enters
+    as its rows, a larger one as ``cell_parts`` parts that share its whole weight: each tree's
+    bootstrap draws parts instead of single rows there. So the fit grows with the cells, not
+    with the rows; ``cell_parts`` at or above the rows draws every row by itself.
+
+    MLlib draws its bootstrap samples per partition, so the parts are dealt into
     ``training_partitions`` by their hash and sorted there: the model depends on the rows,
-    the seed and that number, not on the cluster. Raise it with the number of rows.
+    the seed and that number, not on the cluster. Raise it with the number of cells.
     ``max_training_rows`` bounds the rows by their hash (in expectation).
-    ``cache_node_ids`` keeps each row's node per tree, which spares walking every tree anew
-    at every level at the price of four bytes per row and tree.
+    ``cache_node_ids`` keeps each part's node per tree, which spares walking every tree anew
+    at every level at the price of four bytes per part and tree.
     """
     complete, _ = trainable(train, features, label)
     rows = complete.select(*features, F.col(label).cast("double").alias(label))
@@ -212,9 +268,26 @@ def train_forest(
         chosen = F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.lit(1_000_000))
         rows = rows.where(chosen < round(share * 1_000_000))
     weighted = materialize(with_class_weights(rows, label), "training-rows")
-    columns = weighted.columns
-    weighted = weighted.repartition(training_partitions, *columns).sortWithinPartitions(*columns)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    bins = [f"__bin_{c}" for c in features]
+    binning = bucketizer(
+        bin_edges(weighted, features, label, max_bins, seed, training_partitions), features, bins
+    )
+    # The cast drops the mark of a nominal column: bins have an order.
+    numbers = [F.col(b).cast("int").alias(b) for b in bins]
+    binned = binning.transform(weighted).select(*numbers, label, "weight")
+    cells = materialize(
+        binned.groupBy(*bins, label, "weight").agg(F.count("*").alias("n_rows")), "training-cells"
+    )
+    parts = F.least(F.col("n_rows"), F.lit(cell_parts))
+    drawn = cells.select(
+        *bins,
+        label,
+        (F.col("weight") * (F.col("n_rows") / parts)).alias("weight"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), parts)).alias("part"),
+    )
+    columns = drawn.columns
+    drawn = drawn.repartition(training_partitions, *columns).sortWithinPartitions(*columns)
+    assembler = VectorAssembler(inputCols=bins, outputCol="features")
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol=label,
@@ -227,7 +300,7 @@ def train_forest(
         cacheNodeIds=cache_node_ids,
         seed=seed,
     )
-    return Pipeline(stages=[assembler, forest]).fit(weighted)
+    return PipelineModel([binning, *Pipeline(stages=[assembler, forest]).fit(drawn).stages])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
