@@ -14,6 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopfloor.operators.model import bucketizer
 from shopfloor.scratch import materialize, scratch_path
 
 LEAF = -1
@@ -73,27 +74,61 @@ def walk(
 ) -> DataFrame:
     """``key`` and the mean ``score`` of the leaves that each row reaches, one per tree.
 
-    ``key`` identifies a row. Each row descends all trees level by level; the node table is
-    small, so the levels are joins without a shuffle of the rows, and a row's leaves are averaged
-    where they are found.
+    Rows between the same thresholds in every feature reach the same leaves. So the rows are put
+    into cells between the forest's thresholds, each cell descends all trees level by level, and a
+    row takes the score of its cell; rows with the same ``key`` are averaged. ``rows`` is read
+    twice. The node table is small, so the levels are joins without a shuffle, and a cell's
+    leaves are averaged where they are found.
     """
     trees = nodes.agg(F.max("tree")).scalar()
     every_tree = F.explode(F.sequence(F.lit(0), trees)).alias("tree")
-    state = rows.select(
-        *key,
-        F.array(*[F.col(c).cast("double") for c in features]).alias("__x"),
-        every_tree,
-    ).withColumn("node", F.lit(0))
+    binned, bins = _between_thresholds(rows, nodes, key, features)
+    # Any row of a cell stands for it.
+    cells = binned.groupBy(*bins).agg(F.min("__x").alias("__x"))
+    # Few rows, but much work for each.
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    state = (
+        materialize(cells, "forest-cells")
+        .repartition(spread, *bins)
+        .select(*bins, "__x", every_tree)
+        .withColumn("node", F.lit(0))
+    )
     value = F.get(F.col("__x"), F.col("feature"))
     below = F.when(value <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
     step = F.when(F.col("feature") == LEAF, F.col("node")).otherwise(below)
     split = nodes.select("tree", "node", "feature", "threshold", "left", "right")
     for _ in range(depth):
-        state = state.join(split, ["tree", "node"]).select(*key, "__x", "tree", step.alias("node"))
+        state = state.join(split, ["tree", "node"]).select(*bins, "__x", "tree", step.alias("node"))
     leaves = nodes.where(F.col("feature") == LEAF).select("tree", "node", "share")
+    scores = materialize(
+        state.join(leaves, ["tree", "node"]).groupBy(*bins).agg(F.avg("share").alias("score")),
+        "forest-cell-scores",
+    )
     return (
-        state.join(leaves, ["tree", "node"]).groupBy(*key).agg(F.avg("share").alias("score"))
+        binned.select(*key, *bins).join(scores, bins).groupBy(*key).agg(F.avg("score").alias("score"))
+    )
+
+
+def _between_thresholds(
+    rows: DataFrame, nodes: DataFrame, key: Sequence[str], features: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """``rows`` with their features as ``__x``, and their bins between the thresholds.
+
+    A missing feature is at most no threshold, and so is NaN: they share a bin.
+    """
+    found = nodes.where(F.col("feature") != LEAF).groupBy("feature").agg(
+        F.collect_set("threshold").alias("edges")
+    )
+    edges = {r["feature"]: r["edges"] for r in found.collect()}
+    columns = [F.col(c).cast("double") for c in features]
+    values, bins = ([f"__{kind}_{k}" for k in range(len(columns))] for kind in ("value", "bin"))
+    plain = rows.select(
+        *key,
+        F.array(*columns).alias("__x"),
+        *[F.coalesce(c, F.lit(math.nan)).alias(v) for c, v in zip(columns, values, strict=True)],
     )
+    cut = bucketizer([edges.get(k, []) for k in range(len(columns))], values, bins, "keep")
+    return cut.transform(plain).drop(*values), bins
 
 
 def importance(nodes: DataFrame, features: Sequence[str]) -> DataFrame:

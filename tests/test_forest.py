@@ -52,6 +52,34 @@ def test_walk_shuffles_no_rows_before_they_are_combined(rows, fitted):
     assert plan.count("hashpartitioning") <= 1 and "SortMergeJoin" not in plan
 
 
+def test_walk_carries_cells_and_not_rows_through_the_trees(rows, fitted):
+    """The rows are read and joined with their cells' scores; only cells meet every tree."""
+    nodes = forest.nodes_of(fitted)
+    plan = forest.walk(rows, nodes, ["id"], FEATURES, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("BroadcastHashJoin") <= 1
+
+
+def test_walk_with_missing_features_thresholds_and_repeated_keys(spark, fitted):
+    nodes = forest.nodes_of(fitted)
+    by_hand = nodes.collect()
+    on = next(n["threshold"] for n in by_hand if n["feature"] == 0)
+    nan, inf = float("nan"), float("inf")
+    given = [
+        (1, on, 3.0, 0.5), (2, None, 3.0, 0.5), (3, nan, 3.0, 0.5), (4, inf, -inf, 0.5),
+        (5, -0.0, 0.0, -0.0), (6, 1.0, 2.0, 0.1), (6, 9.0, 2.0, 0.9), (None, 9.0, 2.0, 0.9),
+    ]
+    walked = forest.walk(
+        spark.createDataFrame(given, "id long, a double, b double, c double"),
+        nodes, ["id"], FEATURES, forest.depth_of(fitted),
+    ).collect()
+    expected = {}
+    for k, *x in given:
+        # A missing feature is at most no threshold.
+        expected.setdefault(k, []).append(plain_score(by_hand, [inf if v is None or v != v else v for v in x]))
+    assert len(walked) == len(expected) == 7
+    assert all(r["score"] == pytest.approx(sum(expected[r["id"]]) / len(expected[r["id"]])) for r in walked)
+
+
 def test_importance_is_the_library(rows, fitted):
     own = {r["feature"]: r["importance"] for r in forest.importance(forest.nodes_of(fitted), FEATURES).collect()}
     given = fitted.stages[-1].featureImportances.toArray()
